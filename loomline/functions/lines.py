@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ UNIVERSAL = r"\r\n|[\n\x{0B}\x{0C}\r\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
 SPACE = r"[\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once. An expression used inside a lambda is otherwise evaluated again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Both ends freed of Unicode white space."""
     return F.regexp_replace(F.regexp_replace(text, f"^{SPACE}+", ""), f"{SPACE}+$", "")
@@ -23,7 +30,7 @@ def split_lines(text: Column) -> Column:
 def split_universal(text: Column) -> Column:
     """Split at every universal newline; no empty last line, an empty text has no lines."""
     parts = F.split(text, UNIVERSAL, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return let(parts, lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, 1, F.size(p) - 1)).otherwise(p))
 
 
 def split_stripped(text: Column) -> Column:
@@ -34,21 +41,17 @@ def join_lines(lines: Column) -> Column:
     return F.array_join(lines, "\n")
 
 
-def fit(values: Column, lines: Column) -> Column:
-    """``values`` cut or padded with nulls to the number of ``lines``; a null array gives nulls throughout."""
-    return F.transform(lines, lambda _, i: F.get(values, i))
-
-
 def even_batches(values: Column, size: int) -> Column:
     """Contiguous batches of at most ``size``, as even as can be; the first ones take one more. Empty gives no batch."""
-    n = F.size(values)
-    k = F.ceil(n / F.lit(size)).cast("int")
-    short, longer = F.floor(n / k).cast("int"), F.pmod(n, k)
 
-    def batch(i: Column) -> Column:
-        return F.slice(values, (i * short + F.least(i, longer) + 1).cast("int"), (short + F.when(i < longer, 1).otherwise(0)).cast("int"))
+    def cut(v: Column) -> Column:
+        n, k = v["n"], v["k"]
+        short, longer = F.floor(n / k).cast("int"), F.pmod(n, k)
+        batch = lambda i: F.slice(v["v"], i * short + F.least(i, longer) + 1, short + F.when(i < longer, 1).otherwise(0))
+        return F.when(n == 0, F.slice(F.array(v["v"]), 1, 0)).otherwise(F.transform(F.sequence(F.lit(0), k - 1), batch))
 
-    return F.when(n == 0, F.slice(F.array(values), 1, 0)).otherwise(F.transform(F.sequence(F.lit(0), k - 1), batch))
+    sized = let(values, lambda v: F.struct(v.alias("v"), F.size(v).alias("n"), F.ceil(F.size(v) / F.lit(size)).cast("int").alias("k")))
+    return F.when(values.isNotNull(), let(sized, cut))
 
 
 def segments(line: Column, limit: int = 200) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.labels import is_junk, repaired
-from ..functions.lines import even_batches, numbered, split_stripped
+from ..functions.lines import even_batches, let, numbered, split_stripped
 from ..schema import CLEAN, LABELS
 from .numbering import with_row_number
 
@@ -59,17 +59,23 @@ def repaired_json(texts: pd.Series) -> pd.Series:
     return texts.map(repair_json, na_action="ignore").astype(object)
 
 
-def output_labels(output: Column, repair: bool = True) -> Column:
-    """Labels of a model output in the order of its keys."""
-    entries = F.map_entries(F.from_json(repaired_json(output) if repair else output, "map<string,string>"))
+def output_labels(output: Column) -> Column:
+    """Labels of a model output in the order of its keys; damaged output goes through ``repaired_json`` as a column of its own first."""
+    entries = F.map_entries(F.from_json(output, "map<string,string>"))
     return F.transform(entries, lambda e: e["value"])
 
 
 def attach(lines: Column, labels: Column, valid: bool = True, compat: bool = False) -> Column:
     """array<struct<line, label>>: labels by position. Lines without label become Clean, or are dropped as the shorter side rules (``compat``)."""
-    n = F.least(F.size(lines), F.size(labels)) if compat else F.size(lines)
     label = (lambda x: repaired(x)) if valid else (lambda x: F.coalesce(x, F.lit(CLEAN)))
-    return F.transform(F.slice(lines, 1, n), lambda x, i: F.struct(x.alias("line"), label(F.get(labels, i)).alias("label")))
+
+    def pair(z: Column) -> Column:
+        n = F.least(F.size(z["a"]), F.size(z["b"])) if compat else F.size(z["a"])
+        zipped = F.slice(F.arrays_zip(z["a"], z["b"]), 1, n)
+        return F.transform(zipped, lambda x: F.struct(x["a"].alias("line"), label(x["b"]).alias("label")))
+
+    none = F.array().cast("array<string>")
+    return F.when(lines.isNotNull(), let(F.struct(lines.alias("a"), F.coalesce(labels, none).alias("b")), pair))
 
 
 def run_model(batches: DataFrame, make: Callable[[], Callable[[list[str]], list[str]]], attempts: int = 3, check: Callable[[str], bool] = bool, wait: float = 0) -> DataFrame:

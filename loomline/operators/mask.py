@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lines import fit, join_lines, split_lines
+from ..functions.lines import join_lines, let, split_lines
 
 MODES = ("filter", "trim")
 
@@ -28,10 +28,13 @@ def masked(zipped: Column, keep: Callable[[Column], Column], mode: str) -> Colum
     holds = lambda z: F.coalesce(keep(z), F.lit(False))
     if check_mode(mode) == "filter":
         return F.filter(zipped, holds)
-    flags = F.transform(zipped, holds)
-    first = F.array_position(flags, True).cast("int")
-    last = (F.size(flags) + 1 - F.array_position(F.reverse(flags), True)).cast("int")
-    return F.when(first > 0, F.slice(zipped, first, last - first + 1)).otherwise(F.slice(zipped, 1, 0))
+
+    def bounds(z: Column) -> Column:
+        flags = F.transform(z, holds)
+        ends = lambda f: F.struct(F.array_position(f, True).cast("int").alias("first"), F.array_position(F.reverse(f), True).cast("int").alias("back"), F.size(f).alias("n"))
+        return let(let(flags, ends), lambda e: F.when(e["first"] > 0, F.slice(z, e["first"], e["n"] - e["back"] - e["first"] + 2)).otherwise(F.slice(z, 1, 0)))
+
+    return let(zipped, bounds)
 
 
 def mask(
@@ -43,33 +46,30 @@ def mask(
     split: Callable[[Column], Column] = split_lines,
     strict: bool = False,
 ) -> DataFrame:
-    """Rewrites ``text`` and ``arrays`` to the lines that stay; ``keep`` sees a struct of ``line``, ``pos`` and the arrays' entries.
+    """Rewrites ``text`` and ``arrays`` to the lines that stay; ``keep`` sees ``line`` and the entries of the arrays.
 
     ``strict`` raises where an array's length differs from the number of lines.
     """
     lines = split(F.col(text))
-    fields = {name: F.col(name) for name in arrays}
     if strict:
         bad = F.lit(False)
         for name in arrays:
             bad = bad | (F.size(F.col(name)) != F.size(lines))
         lines = F.when(F.coalesce(bad, F.lit(False)), F.raise_error(F.lit("array length differs from the number of lines"))).otherwise(lines)
-    names = {name: f"a{i}" for i, name in enumerate(arrays)}
-    zipped = F.transform(
-        lines, lambda line, i: F.struct(line.alias("line"), i.alias("pos"), *(F.get(c, i).alias(names[n]) for n, c in fields.items()))
-    )
+    # arrays_zip takes each array once; get() inside a lambda would evaluate a computed array again for every line
+    names = {"line": "0"} | {name: str(i + 1) for i, name in enumerate(arrays)}
+    present = [F.coalesce(F.col(name), F.array().cast(df.schema[name].dataType)) for name in arrays]
+    sides = F.struct(*(c.alias(str(i)) for i, c in enumerate([lines, *present])))
+    zipped = let(sides, lambda s: F.slice(F.arrays_zip(*(s[str(i)] for i in range(len(present) + 1))), 1, F.size(s["0"])))
 
     class Named:
         def __init__(self, z: Column):
             self.z = z
 
         def __getitem__(self, name: str) -> Column:
-            return self.z[names.get(name, name)]
+            return self.z[names[name]]
 
     kept = df.withColumn("__kept", masked(zipped, lambda z: keep(Named(z)), mode))
-    out = {text: F.when(F.col(text).isNotNull(), join_lines(F.col("__kept.line")))}
-    out |= {name: F.when(F.col(name).isNotNull() & F.col(text).isNotNull(), F.col(f"__kept.{names[name]}")).otherwise(F.col(name)) for name in arrays}
+    out = {text: F.when(F.col(text).isNotNull(), join_lines(F.col("__kept")["0"]))}
+    out |= {name: F.when(F.col(name).isNotNull() & F.col(text).isNotNull(), F.col("__kept")[names[name]]).otherwise(F.col(name)) for name in arrays}
     return kept.withColumns(out).drop("__kept")
-
-
-__all__ = ["MODES", "check_mode", "fit", "mask", "masked"]

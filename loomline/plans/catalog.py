@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lines as L
@@ -42,6 +42,15 @@ def query(name: str, source: str, sql: str | None = None) -> Callable:
     return register
 
 
+def rounded(x: Column | str, digits: int = 6) -> Column:
+    """Rounded the same way by both engines: their own rounding differs on halves."""
+    return F.floor(F.col(x) * 10.0**digits + 0.5001) / 10.0**digits if isinstance(x, str) else F.floor(x * 10.0**digits + 0.5001) / 10.0**digits
+
+
+def sql_rounded(x: str, digits: int = 6) -> str:
+    return f"floor({x} * 1e{digits} + 0.5001) / 1e{digits}"
+
+
 # Pieces of SQL.
 NL = "chr(10)"
 
@@ -169,7 +178,7 @@ QUERIES["trim_by_score"] = lambda s, d: counted(lambda df: Q.by_score(df, 0.8, "
 ORACLE["trim_by_score"] = sql_mask(_BY_SCORE, "trim")
 
 _TUPLE = r"regexp_replace(" + sql_strip("line_quality") + r", '^\(([^()]*?),?\s*\)$', '[\1]')"
-_NUMBERS = rf"CASE WHEN regexp_matches(t, '^\[\s*(?:(?:-?[0-9.]+(?:[eE][-+]?[0-9]+)?|None)\s*(?:,\s*(?:-?[0-9.]+(?:[eE][-+]?[0-9]+)?|None)\s*)*)?\]$') THEN try_cast(replace(t, 'None', 'NULL') AS DOUBLE[]) END"
+_NUMBERS = rf"CASE WHEN regexp_matches(t, '^\[\s*(?:(?:-?[0-9.]+(?:[eE][-+]?[0-9]+)?|None|null)\s*(?:,\s*(?:-?[0-9.]+(?:[eE][-+]?[0-9]+)?|None|null)\s*)*)?\]$') THEN try_cast(replace(replace(t, 'None', 'NULL'), 'null', 'NULL') AS DOUBLE[]) END"
 
 
 @query("score_literal_parse", "scored", f"SELECT id, v IS NOT NULL AS valid, CAST(len(v) AS BIGINT) AS n_scores, round(list_sum(v), 6) AS total, CAST(count(*) AS BIGINT) AS n FROM (SELECT id, {_NUMBERS} AS v FROM (SELECT id, {_TUPLE} AS t FROM scored)) GROUP BY ALL")
@@ -257,10 +266,10 @@ m AS (
 _BUCKET = "CASE WHEN 3 * n_clean >= 2 * n_lines THEN 'Clean' WHEN 3 * n_clean > n_lines THEN 'Mixed' WHEN n_lines IS NOT NULL THEN 'Non-Clean' END"
 
 
-@query("doc_metrics", "annotated", f"WITH {_METRICS} SELECT id, ingest_ts, doc_score, round(mean_line_score, 6) AS mean_line_score, round(median_line_score, 6) AS median_line_score, min_line_score, round(n_clean / n_lines, 6) AS clean_fraction FROM dm")
+@query("doc_metrics", "annotated", f"WITH {_METRICS} SELECT id, ingest_ts, doc_score, {sql_rounded('mean_line_score')} AS mean_line_score, {sql_rounded('median_line_score')} AS median_line_score, min_line_score, {sql_rounded('n_clean / n_lines')} AS clean_fraction FROM dm")
 def doc_metrics(df: DataFrame) -> DataFrame:
     out = A.doc_metrics(df, ["id", "ingest_ts"]).drop("n_clean", "n_lines")
-    return out.withColumns({c: F.round(c, 6) for c in ("mean_line_score", "median_line_score", "clean_fraction")})
+    return out.withColumns({c: rounded(c) for c in ("mean_line_score", "median_line_score", "clean_fraction")})
 
 
 @query("cleanliness_bucket", "annotated", f"WITH {_METRICS} SELECT {_BUCKET} AS bucket, CAST(count(*) AS BIGINT) AS n FROM dm GROUP BY 1")
@@ -465,7 +474,7 @@ def label_attach(results: DataFrame) -> DataFrame:
 @query("model_round_trip", "documents")
 def model_round_trip(docs: DataFrame) -> DataFrame:
     """Prompt, model, check, repair, attach: the labelling pipeline with the rule labeler in the model's place."""
-    answered = B.run_model(B.prompts(docs, key="doc_id"), B.rule_labeler)
+    answered = B.run_model(B.prompts(docs, key="doc_id"), B.rule_labeler).withColumn("output", B.repaired_json("output"))
     lines = answered.select("doc_id", "batch_no", F.explode(B.attach(F.col("lines"), B.output_labels(F.col("output")))).alias("c"))
     return lines.groupBy(F.col("c.label").alias("label")).agg(F.count("*").alias("n"))
 
