@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-BLANK = re.compile(r"^\s*$")
-
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 def latest(df: DataFrame, *payload: str, key: str = "id", when: str = "ingest_ts") -> DataFrame:
     """The valid row of each id: the one of latest ``when`` (nulls first), ties by the greatest payload, so that it never varies.
@@ -31,24 +29,55 @@ def sample_pages(df: DataFrame, columns: list[str], rows: int, key: str = "id",
     return chosen.select(*columns).limit(rows).collect()
 
 
-def run(df: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
-    """``df`` through ``work()(batch)``, batch by batch in Arrow; ``work`` is called once per task."""
+def run(df: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, rows: int = 1024) -> DataFrame:
+    """``df`` through ``work()(batch)`` in Arrow, at most ``rows`` rows at once; ``work`` is called once per task."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = work()
         for batch in batches:
-            if batch.num_rows:
-                yield f(batch)
+            for start in range(0, batch.num_rows, rows):
+                yield f(batch.slice(start, rows))
 
     return df.mapInArrow(each, schema)
 
 
-def spread(df: DataFrame, bytes_per_task: int = 2 << 20) -> DataFrame:
-    """At least as many partitions as cores: a few compressed files hold minutes of Python work. Files come back in as many tasks as
-    they have splits; only where those are fewer than the cores the rows are dealt out again."""
+def annotate(df: DataFrame, work: Callable[[], Callable[[list[str | None]], list[list]]], added: str, text: str = "text", rows: int = 512) -> DataFrame:
+    """``df`` with the columns ``added`` (DDL) that ``work()(texts)`` gives as lists, in place of ``text``.
+
+    The other columns pass through as they are; names must differ from the added ones.
+    """
+    passed = [c for c in df.columns if c != text]
+    fields = StructType.fromDDL(added)
+    kinds = list(to_arrow_schema(fields))
+    schema = StructType([*(df.schema[c] for c in passed), *fields])
+
+    def start() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        f = work()
+
+        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+            made = f(batch.column(text).to_pylist())
+            arrays = [pa.array(values, type=k.type) for values, k in zip(made, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), *arrays], names=[*passed, *(k.name for k in kinds)])
+
+        return each
+
+    return run(spread(df.select(*passed, text)), start, schema, rows)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Enough partitions for all cores: a few compressed files hold minutes of Python work. Where a table comes in fewer splits than
+    twice the cores, its rows are dealt out again; a larger one is read as it lies."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(4 * cores) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
+class Bounded(dict):
+    """A memory of results that starts afresh when it holds too many."""
 
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit = limit
 
-def lines_of(text: str) -> list[str]:
-    return text.split("\n")
+    def trim(self) -> None:
+        if len(self) > self.limit:
+            self.clear()

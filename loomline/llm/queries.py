@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lines import SPACE
+from . import boilerplate, language, spam, textstats
 from .bpe import token_counts, token_ids
 from .cutoffs import cutoffs, source_name
 from .packing import fill_report, pack_items
@@ -65,3 +66,76 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How full the containers are."""
     return fill_report(p9_containers(spark, sf_dir), table(spark, sf_dir, "pack_specs"))
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "annotated")
+
+
+def _valid(results: DataFrame, *payload: str) -> DataFrame:
+    """The results of the valid row of each id: texts are worked on where they lie, and only results are shuffled."""
+    return latest(results, *payload)
+
+
+@query
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose body is mainly keyword, link or tag spam."""
+    pages = _pages(spark, sf_dir)
+    texts, labels = boilerplate.labelled_sample(pages)
+    body = boilerplate.train(texts, labels)
+    flagged = spam.spam_pages(pages.select("id", "ingest_ts", "text"), spam.train(texts, labels, body), body)
+    return _valid(flagged, "spam").where("spam").select("id")
+
+
+@query
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines outside the main body."""
+    pages = _pages(spark, sf_dir)
+    marked = boilerplate.boilerplate_lines(pages.select("id", "ingest_ts", "text"), boilerplate.fit(pages))
+    return _valid(marked, "boilerplate").select("id", F.explode("boilerplate").alias("line_no"))
+
+
+@query
+def p5_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main body of each row's text."""
+    pages = _pages(spark, sf_dir)
+    return boilerplate.main_text(pages.select("id", "ingest_ts", "text"), boilerplate.fit(pages))
+
+
+@query
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a missing or wrong language, and lines in another language than the body."""
+    pages = _pages(spark, sf_dir)
+    told = language.languages(pages.select("id", "ingest_ts", "document_lang", "text"), language.fit(pages), boilerplate.fit(pages))
+    each = _valid(told, "document_lang", "languages").select("id", "document_lang", F.explode("languages").alias("x"))
+    labelled = F.coalesce(F.col("document_lang"), F.lit("")) == F.col("x.lang")
+    return each.where((F.col("x.line_no") >= 0) | ~labelled).select("id", "x.line_no", "x.lang")
+
+
+@query
+def p6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each page (line_no -1) and of each passage in another one, with its confidence."""
+    pages = _pages(spark, sf_dir)
+    told = language.languages(pages.select("id", "ingest_ts", "text"), language.fit(pages), boilerplate.fit(pages))
+    return _valid(told, "languages").select("id", F.explode("languages").alias("x")).select("id", "x.*")
+
+
+@query
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose body is mainly no natural prose."""
+    pages = _pages(spark, sf_dir)
+    texts, labels = boilerplate.labelled_sample(pages)
+    body = boilerplate.train(texts, labels)
+    judged = textstats.junk_pages(pages.select("id", "ingest_ts", "text"), textstats.train(texts, labels, body), body)
+    return _valid(judged, "no_prose").where(F.col("no_prose") > 0.5).select("id")
+
+
+@query
+def p7_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of each page beside the first of its document scores."""
+    pages = _pages(spark, sf_dir)
+    texts, labels = boilerplate.labelled_sample(pages)
+    body = boilerplate.train(texts, labels)
+    rows = pages.select("id", "ingest_ts", F.get("doc_scores", F.lit(0)).alias("doc_score"), "text")
+    stats = textstats.text_statistics(rows, textstats.train(texts, labels, body), body)
+    return _valid(stats, *(c for c in stats.columns if c not in ("id", "ingest_ts")))
