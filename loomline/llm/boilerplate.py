@@ -17,6 +17,7 @@ Null and empty texts have no lines. Blank lines belong to nothing and are never
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -38,9 +39,10 @@ PAIRED = 12
 
 WORD = re.compile(r"[^\W\d_]+|\d+|[©@#]|https?:|www\.", re.UNICODE)
 BULLET = re.compile(r"^\s*(?:[*•>»\-–·]\s|\d{1,3}[.)]\s)")
-SEPARATOR = re.compile(r" [|/·»>•-] |\s{3,}| {2,}|\t|;|,")
-END = re.compile(r"[.!?…][\"'»”)]*\s*$")
-FIGURE = re.compile(r"\d")
+SEPARATORS = (" | ", " / ", " · ", " » ", " > ", " • ", " - ", "  ", "\t", ";", ",")
+END = re.compile(r"[.!?…][\"'»”)]*$")
+DIGITS = re.compile(r"\d+")
+CAPITAL = re.compile(r"\b[A-ZÀ-ÖØ-ÞŁŠŽА-Я]")
 
 
 @dataclass
@@ -55,39 +57,34 @@ class Line:
 
 def describe(line: str) -> Line:
     text = line.strip()
-    words = WORD.findall(text)
-    letters = [w for w in words if w[0].isalpha()]
-    n = len(text)
-    ends = bool(END.search(text))
-    separators = len(SEPARATOR.findall(text))
-    bullet = bool(BULLET.match(line))
-    digits = len(FIGURE.findall(text))
-    capital = sum(w[0].isupper() for w in letters)
+    low = text.lower()
+    runs_ = DIGITS.findall(low)
+    digits = sum(map(len, runs_)) if runs_ else 0
+    lower = WORD.findall(DIGITS.sub("0", low) if runs_ else low)
+    figures = lower.count("0") if runs_ else 0
+    n, words = len(text), len(lower) - figures
+    ends = END.search(text) is not None
+    separators = sum(map(text.count, SEPARATORS))
+    bullet = BULLET.match(line) is not None
+    letters = len("".join(lower)) - figures
+    capital = len(CAPITAL.findall(text))
     sentences = text.count(". ") + text.count("! ") + text.count("? ") + ends
-    symbols = n - sum(map(len, words)) - text.count(" ")
+    symbols = n - letters - digits - text.count(" ")
+    different = set(lower)
+    first = text[:1]
     numbers = (
-        np.log1p(n), len(letters), sum(map(len, letters)) / max(1, len(letters)), digits / max(1, n), ends, separators, separators / max(1, len(letters)), bullet,
-        capital / max(1, len(letters)), text.endswith(":"), "©" in text or text.startswith("(c)"), "@" in text, "http" in text or "www." in text, sentences,
-        symbols / max(1, n), len(line) - len(line.lstrip()), bool(letters) and letters[0][0].isupper(), len(set(letters)) / max(1, len(letters)),
-        text[-1:].isdigit() or text.endswith(")"), bool(text) and text[0].isdigit(), "#" in text,
+        math.log1p(n), words, letters / max(1, words), digits / max(1, n), ends, separators, separators / max(1, words), bullet,
+        capital / max(1, words), text.endswith(":"), "©" in text or text.startswith("(c)"), "@" in text, "http" in low or "www." in low, sentences,
+        symbols / max(1, n), len(line) - len(line.lstrip()), first.isupper(), len(different) / max(1, len(lower)),
+        text[-1:].isdigit() or text.endswith(")"), first.isdigit(), "#" in text,
     )
-    if sentences and len(letters) > 5:
-        shape = 4
-    elif bullet:
-        shape = 0
-    elif digits > 0.3 * n:
-        shape = 3
-    elif separators >= 2:
-        shape = 2
-    else:
-        shape = 1
-    lower = [w.lower() if not w.isdigit() else "0" for w in words]
-    tokens = set(lower)
+    shape = 4 if sentences and words > 5 else 0 if bullet else 3 if digits > 0.3 * n else 2 if separators >= 2 else 1
     if lower:
-        tokens |= {f"^{lower[0]}", f"{lower[-1]}$"}
-    if len(lower) <= PAIRED:
-        tokens.update(map(" ".join, zip(lower, lower[1:], strict=False)))
-    return Line(numbers, shape, tuple(sorted(tokens)), " ".join(lower))
+        different.add("^" + lower[0])
+        different.add(lower[-1] + "$")
+        if len(lower) <= PAIRED:
+            different.update(map(" ".join, zip(lower, lower[1:], strict=False)))
+    return Line(numbers, shape, tuple(different), " ".join(lower) if len(lower) <= 3 * PAIRED else low)
 
 
 @dataclass
@@ -112,7 +109,8 @@ class Odds:
         return cls(token, line)
 
     def of(self, line: Line) -> tuple[float, float, float, float, float]:
-        found = [self.token[t] for t in line.tokens if t in self.token]
+        token = self.token
+        found = [token[t] for t in line.tokens if t in token]
         if not found:
             return 0.0, 0.0, 0.0, self.line.get(line.key, 0.0), 0.0
         return sum(found) / len(found), max(found), min(found), self.line.get(line.key, 0.0), len(found) / len(line.tokens)
@@ -302,7 +300,7 @@ def targets(pages: Pages, labels: list[list[str] | None]) -> tuple[np.ndarray, n
     return y, w
 
 
-def train(texts: list[str | None], labels: list[list[str] | None], trees: int = 60) -> Boilerplate:
+def train(texts: list[str | None], labels: list[list[str] | None], trees: int = 50) -> Boilerplate:
     """Fits on texts with their line labels; whole pages go to one half or the other."""
     usable = [k for k, (t, q) in enumerate(zip(texts, labels, strict=True)) if t and q is not None and len(q) == t.count("\n") + 1]
     pages = Pages([texts[k] for k in usable])
@@ -321,8 +319,8 @@ def train(texts: list[str | None], labels: list[list[str] | None], trees: int =
     x, block = node_features(pages.lines, odds_of, pages.page, pages.gap)
     p = np.zeros(len(y))
     for h in (0, 1):
-        p[half == h] = boosting.fit(x[half != h], y[half != h], w[half != h], trees=trees // 2).proba(x[half == h])
-    first = boosting.fit(x, y, w, trees=trees // 2)
+        p[half == h] = boosting.fit(x[half != h], y[half != h], w[half != h], trees=trees // 3).proba(x[half == h])
+    first = boosting.fit(x, y, w, trees=trees // 3)
     second = boosting.fit(np.concatenate([x, around(p, pages.page, block)], axis=1), y, w, trees=trees)
     return Boilerplate(odds, first, second)
 
