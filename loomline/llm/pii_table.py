@@ -1,0 +1,189 @@
+"""The small labelled table that the personal-data model is trained on: marked sentences made from patterns and invented fillers.
+
+Every row is a sentence with its spans. Patterns are our own wording of how people give their data in six languages; figures, names, streets
+and domains are drawn anew for each row. Rows without personal data (orders, parts, books, places, scores) teach what to leave alone.
+"""
+
+from __future__ import annotations
+
+import random
+import re
+
+#: Rows of the table.
+ROWS = 5600
+SEED = 20
+
+GIVEN = """Anna Maria Clara Greta Ines Teresa Beatriz Odile Nadia Leila Yara Salla Aino Sunniva Mirela Łucja Zoë Noor Emma Julia Laura Sofia Marta Elena Helena Ida Eva Lea Nora Alice Chloé Camille
+    Jonas Emil Tobias Anselm Oskar Bruno Hugo Rafael Mateo Paulo Íñigo Karim Ludo Marko Eero Vilho Søren Peter Paul Thomas Lukas Felix Martin Daniel David Antonio Carlos Pedro João Luís Pierre Jean
+    Michel Juha Mikko Timo Antti Lars Erik Henrik John James Robert William George Harry""".split()
+HEADS = "Lum Gar Fen Wil Tor Zel Dun Quor Nim Vel Sal Kel Brim Hav Jor Mar Pren Rud Ysk Yst Osk Bri Stel Hol Ber Cor Dal Gun".split()
+MIDDLES = "la ri do ne pa go ra vi ma sto ti er ska len lu tra dro mel".split()
+NAME_TAILS = "mont dal sky ti no ra lla by sen ne vic holm k rk lenk ro ri ski son berg mann eau ez es ova inen".split()
+PLACE_TAILS = "burg ville ford haven vik mere stad ona eda ia ton heim dorf".split()
+WORDS_EN = "letter kettle garden river window market report meeting engine invoice blanket harbour ticket lantern cabin".split()
+
+# {n} name, {e} e-mail, {p} phone, {i} identity number, {a} address; {N} place, {F} firm, {#} a number that is no personal data.
+SENTENCES = {
+    "en": """My name is {n} and I live at {a} in {N}.|You can reach {n} at {e}.|For questions call {p} and ask for {n}.|Our office moved to {a}, the number is still {p}.|Please send the form to {a} before Friday.
+        Just mail {e}, somebody will answer.|The badge of {n} shows the personal number {i}.|The social security number {i} was left in the file.|Visit us: {a}|Tel. {p}|Phone: {p}|E-mail: {e}|Webmaster: {n}|Editor: {n}|Written by {n}.
+        Written by Dr. {n}.|Prof. {n} will answer at {e}.|Contact Mr. {n}, {p}, {a}.|Yours sincerely, {n}|Ask Mrs. {n} about it.|The passport number {i} belongs to {n}.|The tax number {i} is on the card.|Address: {a}|We talked to {n} on Monday.
+        The form came from {n}, {a}.|Fax {p}|Call {p}.|Send it to {e} or {a}.|Posted by {n} on Tuesday|The old record hung on the wall. You can reach {n} at {e}.""",
+    "de": """Mein Name ist {n}, ich wohne in der Nähe, genauer: {a}.|Rufen Sie {p} an und fragen Sie nach {n}.|Bitte schicken Sie alles an {a} oder an {e}.|Ansprechpartnerin ist {n}, erreichbar unter {e}.|Ansprechpartner ist Dr. {n}.
+        Die Ausweisnummer {i} stand offen im Brief.|Anschrift: {a}|Adresse: {a}|Telefon {p}|Tel. {p}|Mail: {e}|Redaktion: {n}|Redaktion: Prof. {n}|Webmaster: {n}|Die Steuernummer {i} gehört {n}.|Herr {n} wohnt in {N}.|Mit freundlichen Grüßen {n}
+        Von {n} geschrieben.|Frau {n} antwortet unter {p}.|Schreiben Sie an {e}.""",
+    "fr": """Je m'appelle {n} et j'habite {a}.|Appelez le {p} et demandez {n}.|Envoyez le dossier au {a} ou à {e}.|Vous pouvez joindre {n} à l'adresse {e}.|Le numéro d'identité {i} figure dans la lettre.|Adresse : {a}|Tél. {p}|Courriel : {e}
+        Rédaction : {n}|Webmaster : {n}|Écrit par {n}.|Le numéro de sécurité sociale {i} est sur la carte de {n}.|Demandez M. {n} au {p}.|Mme {n} habite {a} à {N}.|Rédaction : Dr. {n}|Je m'appelle Prof. {n}.""",
+    "es": """Me llamo {n} y vivo en {a}.|Llame al {p} y pregunte por {n}.|Envíe los papeles a {a} o a {e}.|Puede escribir a {n} en {e}.|El número de identidad {i} aparece en la carta.|Dirección: {a}|Teléfono {p}|Correo: {e}|Redacción: {n}
+        Redacción: Prof. {n}|Webmaster: {n}|Escrito por {n}.|El DNI {i} es de {n}.|La señora {n} vive en {a}.|Pregunte por Dr. {n} en {N}.""",
+    "pt": """Meu nome é {n} e moro na {a}.|Ligue para {p} e pergunte por {n}.|Envie os papéis para {a} ou para {e}.|Você pode escrever para {n} em {e}.|O número de identidade {i} aparece na carta.|Endereço: {a}|Telefone {p}|Correio: {e}
+        Redação: {n}|Redação: Dr. {n}|Webmaster: {n}|Escrito por {n}.|O CPF {i} é de {n}.|A senhora {n} mora na {a}.|Ligue para {p} e pergunte por Prof. {n}.""",
+    "fi": """Nimeni on {n} ja osoitteeni on {a}.|Soita numeroon {p} ja kysy, onko {n} paikalla.|Lähetä paperit osoitteeseen {a} tai {e}.|Lisätietoja antaa {n}, {e}.|Henkilötunnus {i} näkyi kirjeessä.|Käyntiosoite: {a}|Puh. {p}|Sähköposti: {e}
+        Toimitus: {n}|Toimitus: Prof. {n}|Ylläpito: {n}|Webmaster: {n}|Kirjoittanut {n}.|Rouva {n} asuu osoitteessa {a}.|Lisätietoja antaa Dr. {n}, {p}.""",
+}
+LISTS = ["{n} {p} {e}", "{n}, {e}", "{n}", "{n}, {p}, {e}, {a}", "{n} · {p} · {e} · {a}", "{n}  {p}  {e}  {a}", "{n} · {e} · {a}", "{n}, {a}", "{n} | {p} | {e} | {a}", "{n}\t{p}\t{e}", "{p}", "{e}", "{a}", "{n}, {p}", "{n} · {a}", "Dr. {n}", "Prof. {n}, {e}", "Dr. {n} · {p} · {e}",
+         "{n}  {e}  {p}", "- {n}, {p}", "* {n} {e}", "{n}  {a}", "{n} | {e}", "{n}\t{p}\t{a}", "{n}  {p}  {a}", "{n} | {p} | {a}", "{n}, {p}, {a}", "{n}\t{a}", "{n}\t{e}\t{a}", "{n}\t{p}\t{e}\t{a}", "{n} | {p}", "{n}\t{p}"]
+PLAIN = """Order no. {#} was shipped last week.|The part number {#} fits the older model.|The ISBN {#} is printed on the back.|Die Bestellung {#} wurde verschickt.|Das Ersatzteil {#} passt nur zum alten Modell.|La commande {#} est partie hier.|La pièce {#} convient à l'ancien modèle.
+    El pedido {#} salió ayer.|La pieza {#} sirve para el modelo antiguo.|O pedido {#} saiu ontem.|A peça {#} serve no modelo antigo.|Tilaus {#} lähti eilen.|Varaosa {#} sopii vanhaan malliin.|Die ISBN {#} steht hinten im Buch.|L'ISBN {#} est imprimé au dos.|El ISBN {#} está impreso en la contraportada.
+    O ISBN {#} está impresso na contracapa.|ISBN {#} on painettu takakanteen.|She still signs her letters as @orchard_19 now and then.|Sie unterschreibt noch immer mit @wiese_7.|© 2007 {F}. All rights reserved|Copyright 2011 {N} Media. Back to top|(c) 2004 {N} Verlag. Nach oben|The {w} near {N} was closed.
+    Der Trainer aus {N} verlor im Elfmeterschießen.|Le vieux port de {N} part à l'aube du quai 37.|La fortaleza de {N} data del año 1947.|A fortaleza de {N} arde durante a revolta.|We talked about it on the way home from {N}.|In 1867, the {w} of {N} fell into ruin ({N}, 1725).|The {w} – {N}|Das Teleskop: {N}|La hipoteca | {N}
+    The rent of {N} fell by 81 basis points (22 %) late in the evening.|12:40 The {w}, {N}|3. The {w} (1998)|The {w} ........ 217|7,the {w},703,674.8,223|22;le {w};411.5;27.8;90|4 | the {w} | 335 | 408 | 657.29|12    the {w}    120.5    88|{w} {N} P2068 46.64 buy {w}|{w} 157,74 € Best SKU08594
+    Home | Shop | About us | Contact | Help|Startseite » Kontakt » Mein Konto » Über uns|Inicio · Contacto · Mi cuenta · Quiénes somos|Accueil > Nous contacter > {N}|[3] The {w}, https://{f}.example/4840|» Cheap {w} www.{f}-links.example/cheap-{w}?id=267|#{w} #{f} #{w}|Filed under #{f} jobs
+    The commit was merged after two reviews in version 2.|It crashed with exit code 139 at 3.6.2015.|bd28 05be 18e0 7764 d270|96 08417 792490 6139 4231 2 55|<li id="x838"></td>&#093;;|A Dunlar weaver sold us a rug.|The Marravek festival fell on a Sunday.|In the end, nobody expected much.|Kurz gesagt: niemand hatte viel erwartet.
+    Por ejemplo, nadie esperaba gran cosa.|Enfin, personne n'attendait grand-chose.|No fim, ninguém esperava grande coisa.|Lopulta kukaan ei odottanut paljon.|According to the report, the Appellate Court met in {N}.|The Last Regent, King of {N}, was besieged for 60 months.|Powered by a free theme|Print this page
+    Listen up, the {N} shop is closed!|THE {w} SALE {N} K2000 22.15 -47%|Back in 1802, the kettle took ages to boil for almost 43 minutes.|Call me later, said the clerk in {N}.|Sei gegrüßt, mein Freund.|The {N} Street market opens at 9.|The road to {N} is 12 miles long.|Rue principale, le marché ouvre à 9 heures.|La calle estaba vacía en {N}.
+    The {w} costs 73 a night with breakfast, so the sleeper train took us through {N}.|Die Hanseflotte verlor 1858 das Stadtrecht.|Vuonna 1706 lauttamatka {N} kesti kauan.|L'article 92 renvoie à l'article 36.|Section 85 was declared void, Apt ruling or not.""".replace("\n", "|")
+
+
+class Maker:
+    """Draws fillers; one seed, so the table never changes."""
+
+    def __init__(self, seed: int = SEED):
+        self.r = random.Random(seed)
+
+    def pick(self, *options: str) -> str:
+        return self.r.choice(options)
+
+    def digits(self, pattern: str) -> str:
+        """A pattern whose 9 stand for any figure and A for any capital."""
+        out = "".join(str(self.r.randrange(10)) if c == "9" else chr(65 + self.r.randrange(26)) if c == "A" else c for c in pattern)
+        return out
+
+    def stem(self) -> str:
+        return self.r.choice(HEADS) + (self.r.choice(MIDDLES) if self.r.random() < 0.85 else "")
+
+    def surname(self) -> str:
+        one = lambda: self.stem() + self.r.choice(NAME_TAILS)
+        return one() + ("-" + one() if self.r.random() < 0.12 else "")
+
+    def place(self) -> str:
+        return self.stem() + self.r.choice(PLACE_TAILS)
+
+    def name(self) -> str:
+        g, s, i = self.r.choice(GIVEN), self.surname(), chr(65 + self.r.randrange(26))
+        k = self.r.random()
+        out = f"{g} {s}" if k < 0.6 else f"{s}, {g}" if k < 0.72 else f"{i}. {s}" if k < 0.84 else f"{g} {i}. {s}"
+        k = self.r.random()
+        return out.upper() if k < 0.07 else out.lower() if k < 0.13 else out
+
+    def email(self) -> str:
+        g, s = self.r.choice(GIVEN).lower(), self.surname().lower()
+        sep = self.pick(".", "_", "-")
+        user = self.r.choice([f"{g}{sep}{s}", f"{g[0]}{s}", f"{s}{self.r.randrange(100)}", f"{g}{sep}{s}+news", "info", "office", "press", "hello", "webmaster", "no_reply", "team7", "k.r", f"{g}{sep}{s}"])
+        host = self.stem().lower() + self.pick("", "", "net", "mail", "-club", "-post", "-shop")
+        end = self.pick("example", "invalid", "test", "co.example", "org", "com", "de", "fr", "es", "fi", "pt", "net")
+        k = self.r.random()
+        if k < 0.6:
+            out = f"{user}@{host}.{end}"
+        elif k < 0.68:
+            out = f"{user}＠{host}.{end}"
+        elif k < 0.74:
+            out = f"{user}&#64;{host}.{end}"
+        else:
+            at, dot = self.r.choice([(" [at] ", " [dot] "), (" (at) ", "."), (" (at) ", " (dot) "), (" AT ", " DOT "), ("[at]", "[dot]"), (" [at] ", "."), ("(at)", ".")])
+            out = f"{user}{at}{host}.{end}".replace(".", dot) if "." in user else f"{user}{at}" + f"{host}.{end}".replace(".", dot)
+            if "." in user:
+                out = f"{user}{at}" + f"{host}.{end}".replace(".", dot)
+        return out.upper() if self.r.random() < 0.03 and "&" not in out else out.title() if self.r.random() < 0.03 and "&" not in out else out
+
+    def phone(self) -> str:
+        p = self.r.choice([
+            "+1 212-555-0199", "1-312-555-0199 ext. 99", "(212) 555-0199", "212 555 0199", "+12125550199", "415.555.0199", "1-202-555-0199 ext. 9", "+1 (415) 555-0199", "202-555-0199",
+            "+44 20 7946 0999", "+44 (0)20 7946-0999", "020 7946 0999", "+442079460999", "0044 20 7946 0999", "01632 960 999",
+            "+49 30 23125 999", "+49 (0)30 23125-999", "030/23125999", "0049 30 23125 999", "030 23125-999", "+49 30 23125999", "030 23125 999",
+            "+33 (0)1 99 00 99 99", "+33 1 99 00 99 99", "01 99 00 99 99", "0199009999", "+33199009999", "01.99.00.99.99",
+            "+34 910 00 99 99", "910 00 99 99", "(+34) 910009999", "910-009999", "+34 910009999", "910009999",
+            "+351 210 00 99 99", "(11) 0000-9999", "+55 11 00000-9999", "11 0000 9999", "210 009 999", "+55 (11) 0000-9999",
+            "+358 40 000 9999", "040-0009999", "(09) 000 9999", "09 000 9999", "+358 9 000 9999", "040 000 9999",
+        ])
+        return self.digits(p)
+
+    def identity(self) -> str:
+        return self.digits(self.r.choice([
+            "999-99-9999", "999 99 9999", "QQ 99 99 99 C", "QQ999999C", "ZZ9999999", "AA9999999", "AA 99 99 99 A", "T99999999", "L00X99999", "A99A99999", "00 999999 A 999", "99 999999 X 999", "99999999999",
+            "9 99 99 99 999 999 99", "999999999999999", "00099999A", "99999999A", "X9999999A", "X-9999999-A", "Y9999999A", "00.999.999-A", "99.999.999-A",
+            "000.999.999-99", "999.999.999-99", "00099999999", "999999-999A", "999999-999A", "999999A999A", "199999-999A", "99 9999 9999",
+        ]))
+
+    def address(self, lang: str) -> str:
+        n, s, low = str(self.r.randrange(1, 190)), self.stem(), self.r.choice("abc")
+        if self.r.random() < 0.15:
+            n += low
+        if lang == "en":
+            street = self.pick("", "", "", "Old ", "North ", "Upper ") + s + " " + self.pick("Street", "St", "Road", "Lane", "Ave.", "Close", "Hill", "Avenue", "Drive", "Rd", "Court", "Square")
+            k = self.r.random()
+            flat = str(self.r.randrange(1, 30))
+            return f"{n} {street}" if k < 0.5 else f"{n} {street}, Apt {flat}" if k < 0.75 else f"Flat {flat}, {n} {street}"
+        if lang == "de":
+            return self.pick(f"{s}straße {n}", f"{s}str. {n}", f"Am {s}platz {n}", f"{s}er Weg {n}", f"{s}gasse {n}", f"{s}allee {n}", f"An der {s}brücke {n}")
+        if lang == "fr":
+            bis = self.pick(n, n, f"{n} bis", f"{n} ter")
+            comma = self.pick(",", "")
+            return f"{bis}{comma} " + self.pick("rue ", "avenue de ", "bd ", "place ", "boulevard ", "rue de ", "impasse ", "chemin de ") + s
+        if lang == "es":
+            floor = self.pick("", "", f", {self.r.randrange(1, 9)}º {self.r.choice('ABCD')}", f", {self.r.randrange(1, 9)}º {self.r.choice(['izq.', 'dcha.'])}")
+            return self.pick("Calle ", "C/ ", "Avenida de ", "Plaza ", "Paseo de ", "Av. ") + s + self.pick(", ", " ") + n + floor
+        if lang == "pt":
+            floor = self.pick("", "", f", {self.r.randrange(1, 9)}º {self.r.choice(['esq.', 'dto.'])}", f", apto {self.r.randrange(10, 99)}")
+            return self.pick("Rua ", "Travessa ", "Avenida ", "Rua de ", "Av. ", "Largo ") + s + self.pick(", ", " ") + n + floor
+        return s + self.pick("katu ", "tie ", "ntie ", "polku ", "kuja ", "nkatu ") + n + self.pick("", "", f" {self.r.choice('ABC')} {self.r.randrange(1, 50)}")
+
+    def number(self) -> str:
+        return self.digits(self.r.choice(["9999-9999", "999-99-9999", "9999 999999", "9999/99999", "999 99 999", "9999-999", "9999 99", "9999-999999", "999-99-999", "000-0-99-999999-9", "978-9-99-999999-9", "99999", "9999 9999", "99-999", "9999/999"]))
+
+    def row(self, pattern: str, lang: str) -> tuple[str, list[tuple[int, int, str]]]:
+        """(text, spans) of a pattern."""
+        kinds = {"n": "name", "e": "email", "p": "phone", "i": "id_number", "a": "address"}
+        make = {"n": self.name, "e": self.email, "p": self.phone, "i": self.identity, "a": lambda: self.address(lang), "N": self.place, "#": self.number, "F": lambda: self.place() + self.pick(" Group", " Verlag", " Media", ""), "w": lambda: self.r.choice(WORDS_EN), "f": lambda: self.stem().lower()}
+        text, spans = "", []
+        for part in re.split(r"(\{.\})", pattern):
+            if len(part) == 3 and part[0] == "{" and part[1] in make:
+                filled = make[part[1]]()
+                if part[1] in kinds:
+                    spans.append((len(text), len(text) + len(filled), kinds[part[1]]))
+                text += filled
+            else:
+                text += part
+        return text, spans
+
+
+def table(rows: int = ROWS, seed: int = SEED) -> list[tuple[str, list[tuple[int, int, str]]]]:
+    """The labelled table: half sentences, a quarter list rows, a quarter rows without personal data."""
+    m = Maker(seed)
+    split = lambda text: [x.strip() for x in re.split(r"\||\n", text) if x.strip()]
+    sentences = {lang: [x.strip() for line in text.split("\n") for x in line.split("|") if x.strip()] for lang, text in SENTENCES.items()}
+    plain = split(PLAIN)
+    out = []
+    for k in range(rows):
+        lang = m.r.choice(list(sentences))
+        if k % 4 == 3:
+            pattern = m.r.choice(plain)
+        elif k % 4 == 2:
+            pattern = m.r.choice(LISTS)
+        else:
+            pattern = m.r.choice(sentences[lang])
+        if m.r.random() < 0.25:
+            # sentences stand beside each other on a line
+            other = m.r.choice(plain if m.r.random() < 0.6 else sentences[lang])
+            pattern = f"{other} {pattern}" if m.r.random() < 0.5 else f"{pattern} {other}"
+        out.append(m.row(pattern, lang))
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lines import SPACE
-from . import boilerplate, language, spam, textstats
+from . import abuse, boilerplate, language, pii, spam, textstats
 from .bpe import token_counts, token_ids
 from .cutoffs import cutoffs, source_name
 from .packing import fill_report, pack_items
@@ -139,3 +139,44 @@ def p7_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pages.select("id", "ingest_ts", F.get("doc_scores", F.lit(0)).alias("doc_score"), "text")
     stats = textstats.text_statistics(rows, textstats.train(texts, labels, body), body)
     return _valid(stats, *(c for c in stats.columns if c not in ("id", "ingest_ts")))
+
+
+def _abuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = abuse.abusive_pages(_pages(spark, sf_dir).select("id", "ingest_ts", source_name(F.col("collection")).alias("collection"), "text"))
+    return _valid(scored, "abuse_score", "collection")
+
+
+@query
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with abusive, hateful or sexually explicit language."""
+    return _abuse(spark, sf_dir).where(F.col("abuse_score") >= 1 - 1e-6).select("id")
+
+
+@query
+def p3_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of each page."""
+    return _abuse(spark, sf_dir).select("id", "abuse_score")
+
+
+@query
+def p3_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages, flagged pages and their rate per collection; pages without collection stand under null."""
+    flag = F.col("abuse_score") >= 1 - 1e-6
+    rates = _abuse(spark, sf_dir).groupBy("collection").agg(F.count("*").alias("pages"), F.count_if(flag).alias("flagged"))
+    return rates.withColumn("rate", F.col("flagged") / F.col("pages"))
+
+
+@query
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every different string of personal data of each page."""
+    pages = _pages(spark, sf_dir)
+    found = pii.personal_data(pages.select("id", "ingest_ts", "text"), pii.fit(*boilerplate.labelled_sample(pages, pii.PAGES)))
+    each = _valid(found.withColumn("found", F.array_distinct("found")), "found").select("id", F.explode("found").alias("x"))
+    return each.select("id", "x.pii_type", "x.pii_text")
+
+
+@query
+def p4_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row's text with typed placeholders."""
+    pages = _pages(spark, sf_dir)
+    return pii.masked_text(pages.select("id", "ingest_ts", "text"), pii.fit(*boilerplate.labelled_sample(pages, pii.PAGES)))
