@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lines import SPACE
-from . import abuse, boilerplate, language, pii, spam, textstats
+from . import abuse, boilerplate, language, pii, spam, textstats, topics
 from .bpe import token_counts, token_ids
 from .cutoffs import cutoffs, source_name
 from .packing import fill_report, pack_items
@@ -180,3 +180,26 @@ def p4_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row's text with typed placeholders."""
     pages = _pages(spark, sf_dir)
     return pii.masked_text(pages.select("id", "ingest_ts", "text"), pii.fit(*boilerplate.labelled_sample(pages, pii.PAGES)))
+
+
+def _topics(spark: SparkSession, sf_dir: str) -> topics.Fitted:
+    body = boilerplate.fit(_pages(spark, sf_dir))
+    return topics.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels"), table(spark, sf_dir, "subject_areas"), body)
+
+
+@query
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The subjects that each document treats."""
+    return topics.document_subjects(_topics(spark, sf_dir)).select("doc_id", "subject")
+
+
+@query
+def p10_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topics with their top terms and subjects."""
+    return topics.inspect(_topics(spark, sf_dir))
+
+
+@query
+def p10_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by subject."""
+    return topics.document_subjects(_topics(spark, sf_dir)).groupBy("subject").agg(F.count("*").alias("docs"))
