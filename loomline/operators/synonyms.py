@@ -26,7 +26,7 @@ def nonzero(df: DataFrame, vector: str = "embedding") -> DataFrame:
 
 def unit(vector: Column) -> Column:
     length = norm(vector)
-    return F.transform(vector, lambda x: x.cast("double") / length)
+    return F.transform(vector, lambda x: F.try_divide(x.cast("double"), length))  # a filter on the length may run later
 
 
 def medoids(df: DataFrame, group: str, key: str, vector: str = "embedding", digits: int = 6) -> DataFrame:
