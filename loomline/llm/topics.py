@@ -29,7 +29,7 @@ from .boilerplate import Boilerplate, Marker
 from .pages import Bounded, annotate, sample_pages
 
 #: Labelled documents that start the topics at most, words of the vocabulary, rounds over all documents.
-LABELLED, WORDS, ROUNDS = 6000, 30_000, 1
+LABELLED, WORDS, ROUNDS = 4000, 30_000, 1
 #: A word in more of the documents than this says nothing, in fewer documents than this neither.
 LEAST = 3
 SHARE = 0.25
@@ -132,6 +132,15 @@ class Topics:
             theta = gamma / gamma.sum(axis=1, keepdims=True)
         return theta, (word, r)
 
+    def expected(self, pages: list[list[str]], rounds: int = 6, allowed: np.ndarray | None = None, chunk: int = 256) -> np.ndarray:
+        """Expected counts of each topic's words in some documents, a few documents at a time."""
+        total = np.zeros(self.beta.shape)
+        for i in range(0, len(pages), chunk):
+            _, (word, r) = self.infer(pages[i : i + chunk], rounds, None if allowed is None else allowed[i : i + chunk])
+            for j in range(len(total)):
+                total[j] += np.bincount(word, weights=r[:, j], minlength=total.shape[1])
+        return total
+
     def odds(self) -> tuple[list[int], np.ndarray]:
         """(common grounds, log-odds of each word by ground and topic): a unit on a topic mixes the topic's words with the ground's."""
         if self._odds is None:
@@ -217,8 +226,7 @@ def start(words: list[str], pages: list[list[str]], labels: list[set[str]], lang
             counts[j * n_s + i] = np.maximum(0, np.bincount(word[at], weights=n[at], minlength=width) - 1.3 * tokens[mine].sum() * ground[j])
     model.beta = smoothed(counts)
     for _ in range(rounds):
-        _, (word, r) = model.infer(pages, 4, allowed)
-        model.beta = smoothed(np.stack([np.bincount(word, weights=r[:, j], minlength=width) for j in range(k)]))
+        model.beta = smoothed(model.expected(pages, 4, allowed))
     return model
 
 
@@ -232,23 +240,17 @@ def refine(docs: DataFrame, model: Topics, rounds: int = ROUNDS, keep: float = 5
         def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             topics = shared.value
             total = np.zeros(topics.beta.shape)
-            some = False
             for batch in batches:
-                pages = batch.column(0).to_pylist()
-                for i in range(0, len(pages), 512):
-                    _, (word, r) = topics.infer(pages[i : i + 512])
-                    some = some or len(word) > 0
-                    for j in range(k):
-                        total[j] += np.bincount(word, weights=r[:, j], minlength=total.shape[1])
-            if some:
-                at = np.flatnonzero(total.sum(axis=0) > 0)
+                total += topics.expected(batch.column(0).to_pylist())
+            at = np.flatnonzero(total.sum(axis=0) > 0)
+            if len(at):
                 yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(total[j, at]) for j in range(k))], names=["word", *columns])
 
         schema = "word bigint, " + ", ".join(f"{c} double" for c in columns)
-        summed = docs.select("units").mapInArrow(expect, schema).groupBy("word").agg(*(F.sum(c).alias(c) for c in columns)).collect()
+        summed = docs.select("units").mapInArrow(expect, schema).groupBy("word").agg(*(F.sum(c).alias(c) for c in columns)).toArrow()
         counts = np.zeros(model.beta.shape)
-        for row in summed:
-            counts[:, row["word"]] = [row[c] for c in columns]
+        for j, c in enumerate(columns):
+            counts[j, summed.column("word").to_numpy()] = summed.column(c).to_numpy()
         model = Topics(model.words, smoothed(counts + keep * model.beta), model.alpha, model.subjects)
     return model
 
@@ -257,7 +259,7 @@ def top_terms(model: Topics, n: int = TOP) -> list[list[str]]:
     """The terms of each topic that stand out most against all topics."""
     words = np.array(list(model.words), dtype=object)
     lift = model.beta * np.log(model.beta / model.beta.mean(axis=0))
-    return [words[np.argsort(-row, kind="stable")[:n]].tolist() for row in lift]
+    return [words[[k for k in np.argsort(-row, kind="stable")[:n] if row[k] > 0]].tolist() for row in lift]
 
 
 def map_topics(model: Topics, pages: list[list[str]], labels: list[set[str]], subjects: list[str], n: int = TOP) -> Topics:
@@ -273,10 +275,11 @@ def map_topics(model: Topics, pages: list[list[str]], labels: list[set[str]], su
     rate = (holds + 0.1) / (docs[:, None] + 1)
     rate /= rate.sum(axis=0, keepdims=True)
     found: list[str | None] = []
+    even = 1 / max(1, len(subjects))
     for terms in top_terms(model, n):
         mean = rate[:, [model.words[t] for t in terms]].mean(axis=1) if terms else np.zeros(len(subjects))
         best = int(mean.argmax()) if len(subjects) else 0
-        found.append(subjects[best] if len(subjects) and mean[best] > 3 / max(3, len(subjects)) else None)
+        found.append(subjects[best] if len(subjects) and mean[best] >= even + 0.22 * (1 - even) else None)
     if all(s is not None for s in found):
         found[-1] = None  # without any common ground a unit could not be on no subject
     return Topics(model.words, model.beta, model.alpha, found)
