@@ -93,7 +93,7 @@ for _w in sorted(SPOKEN, key=lambda w: ("HIPXDBhAV".index(CLASS_OF[w]), w)):  #
 # Patterns over symbols with their weights. G is a capitalised word of no other class, "-" any other word; "." ends a sentence.
 CLAUSES = [
     (re.compile(r"A[^.,]{0,2}I|A,A[^.,]?I"), 1.0),
-    (re.compile(r"Y[^.,]{0,3}I"), 1.0),
+    (re.compile(r"Y[^.,]{0,4}I"), 1.0),
     (re.compile(r"[AI][^.]{0,8}D|Y[^.]{0,2}D"), 1.0),
     (re.compile(r"W[^.]{0,10}B"), 1.0),
     (re.compile(r"Z[Y][^.,]?U|W[Y][^.]{0,3}Z[Y]"), 1.0),
