@@ -37,12 +37,12 @@ SKIPPED = ("prom",)
 #: Word pairs are tokens in lines of at most so many words; menus and notices are short.
 PAIRED = 12
 
-WORD = re.compile(r"[^\W\d_]+|\d+|[©@#]|https?:|www\.", re.UNICODE)
 BULLET = re.compile(r"^\s*(?:[*•>»\-–·]\s|\d{1,3}[.)]\s)")
 SEPARATORS = (" | ", " / ", " · ", " » ", " > ", " • ", " - ", "  ", "\t", ";", ",")
-END = re.compile(r"[.!?…][\"'»”)]*$")
-DIGITS = re.compile(r"\d+")
-CAPITAL = re.compile(r"\b[A-ZÀ-ÖØ-ÞŁŠŽА-Я]")
+DIGITS, UPPER = b"0123456789", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SYMBOLS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+#: Bytes as tokens are made of: figures alike, ASCII marks but those that tell something apart, all else as it is.
+TABLE = bytes(48 if chr(c) in "0123456789" else 32 if c < 127 and not chr(c).isalnum() and chr(c) not in "@#" else c for c in range(256))
 
 
 @dataclass
@@ -51,48 +51,49 @@ class Line:
 
     numbers: tuple[float, ...]
     shape: int
-    tokens: tuple[str, ...]
-    key: str
+    tokens: tuple[bytes, ...]
+    key: bytes
 
 
 def describe(line: str) -> Line:
     text = line.strip()
     low = text.lower()
-    runs_ = DIGITS.findall(low)
-    digits = sum(map(len, runs_)) if runs_ else 0
-    lower = WORD.findall(DIGITS.sub("0", low) if runs_ else low)
-    figures = lower.count("0") if runs_ else 0
-    n, words = len(text), len(lower) - figures
-    ends = END.search(text) is not None
+    raw = text.encode()
+    size, n = len(raw), len(text)
+    lower = low.encode().translate(TABLE).split()
+    digits = size - len(raw.translate(None, DIGITS))
+    symbols = size - len(raw.translate(None, SYMBOLS))
+    capital = size - len(raw.translate(None, UPPER))
+    words = len(lower)
+    end = text.rstrip("\"'»”)")[-1:]
+    ends = end in ".!?…" and end != ""
     separators = sum(map(text.count, SEPARATORS))
     bullet = BULLET.match(line) is not None
-    letters = len("".join(lower)) - figures
-    capital = len(CAPITAL.findall(text))
+    letters = n - digits - symbols - text.count(" ")
     sentences = text.count(". ") + text.count("! ") + text.count("? ") + ends
-    symbols = n - letters - digits - text.count(" ")
     different = set(lower)
     first = text[:1]
     numbers = (
         math.log1p(n), words, letters / max(1, words), digits / max(1, n), ends, separators, separators / max(1, words), bullet,
-        capital / max(1, words), text.endswith(":"), "©" in text or text.startswith("(c)"), "@" in text, "http" in low or "www." in low, sentences,
-        symbols / max(1, n), len(line) - len(line.lstrip()), first.isupper(), len(different) / max(1, len(lower)),
+        capital / max(1, words), end == ":", "©" in text or text.startswith("(c)"), "@" in text, "http" in low or "www." in low, sentences,
+        symbols / max(1, n), len(line) - len(line.lstrip()), first.isupper(), len(different) / max(1, words),
         text[-1:].isdigit() or text.endswith(")"), first.isdigit(), "#" in text,
     )
     shape = 4 if sentences and words > 5 else 0 if bullet else 3 if digits > 0.3 * n else 2 if separators >= 2 else 1
     if lower:
-        different.add("^" + lower[0])
-        different.add(lower[-1] + "$")
-        if len(lower) <= PAIRED:
-            different.update(map(" ".join, zip(lower, lower[1:], strict=False)))
-    return Line(numbers, shape, tuple(different), " ".join(lower) if len(lower) <= 3 * PAIRED else low)
+        different.add(b"^" + lower[0])
+        different.add(lower[-1] + b"$")
+        if words <= PAIRED:
+            different.update(map(b" ".join, zip(lower, lower[1:], strict=False)))
+    return Line(numbers, shape, tuple(different), b" ".join(lower))
 
 
 @dataclass
 class Odds:
     """Log-odds of tokens and of whole lines, positive for boilerplate."""
 
-    token: dict[str, float]
-    line: dict[str, float]
+    token: dict[bytes, float]
+    line: dict[bytes, float]
 
     @classmethod
     def count(cls, lines: list[Line], y: np.ndarray, weight: np.ndarray, least: int = 4) -> Odds:
@@ -300,7 +301,7 @@ def targets(pages: Pages, labels: list[list[str] | None]) -> tuple[np.ndarray, n
     return y, w
 
 
-def train(texts: list[str | None], labels: list[list[str] | None], trees: int = 50) -> Boilerplate:
+def train(texts: list[str | None], labels: list[list[str] | None], trees: int = 42) -> Boilerplate:
     """Fits on texts with their line labels; whole pages go to one half or the other."""
     usable = [k for k, (t, q) in enumerate(zip(texts, labels, strict=True)) if t and q is not None and len(q) == t.count("\n") + 1]
     pages = Pages([texts[k] for k in usable])

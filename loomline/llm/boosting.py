@@ -22,14 +22,19 @@ class Trees:
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         """Log-odds of the positive class."""
-        b = self.binned(np.nan_to_num(x.astype(np.float32)))
-        out = np.full(len(b), self.base)
-        rows = np.arange(len(b))
+        out = np.full(len(x), self.base)
+        if not len(x) or not len(self.feature):
+            return out
+        used = np.unique(self.feature)
+        b = np.empty((len(x), len(used)), dtype=np.uint8)
+        for k, j in enumerate(used):
+            b[:, k] = np.searchsorted(self.edges[j], np.nan_to_num(x[:, j].astype(np.float32)), side="right")
+        flat, rows = b.reshape(-1), np.arange(len(b)) * len(used)
         depth = int(np.log2(self.leaf.shape[1]))
-        for f, c, leaf in zip(self.feature, self.cut, self.leaf, strict=True):
+        for f, c, leaf in zip(np.searchsorted(used, self.feature), self.cut, self.leaf, strict=True):
             node = np.zeros(len(b), dtype=np.int64)
             for _ in range(depth):
-                node = 2 * node + 1 + (b[rows, f[node]] > c[node])
+                node = 2 * node + 1 + (flat[rows + f[node]] > c[node])
             out += leaf[node - (leaf.size - 1)]
         return out
 
