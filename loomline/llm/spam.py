@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from . import boosting
 from .boilerplate import Boilerplate, Marker, Pages
-from .ngram import CLASSES, Ngrams, Vocabulary
+from .ngram import CLASSES, Ngrams, Vocabulary, grams
 from .pages import Bounded, annotate
 
 PROSE, SPAM, OTHER = ("clea", "bibl"), ("prom",), ("tech", "form")
@@ -46,7 +46,8 @@ class Spam:
             return np.zeros((n_pages, 16))
         seq, line, again = self.words.sequence(lines, cache)
         owner = page[line]
-        models = [m.bits(seq) for m in (self.prose, self.spam, self.other)]
+        different, at = np.unique(grams(seq, 3), return_inverse=True)
+        models = [m.bits(different)[at] for m in (self.prose, self.spam, self.other)]
         n = np.maximum(1, np.bincount(owner, minlength=n_pages))
         sums = [np.bincount(owner, weights=m, minlength=n_pages) / n for m in models]
         # lines vote too: a few long ones must not hide the rest
