@@ -23,7 +23,7 @@ from .boilerplate import Boilerplate, Marker, Pages
 from .pages import annotate
 
 WORD = re.compile(r"[^\W\d_]+", re.UNICODE)
-END = re.compile(r"[.!?…][\"'»”)]*\s*$")
+STOPS = frozenset(".!?…")
 LEAD = re.compile(r"^\s*(?:[^\w\s]+\s*|\d+[.)]?\s*)?")
 DELIMITERS = "\t|;,·>/-:"
 NO_PROSE = ("tech", "form", "prom")
@@ -47,7 +47,7 @@ def alignment(lines: list[str]) -> float:
 
 def periodicity(lines: list[str], steps: int = 4) -> float:
     """Greatest share of lines whose lead (blanks, bullet or numbering, figures alike) comes again so many lines on; words have no lead."""
-    leads = [re.sub(r"\d+", "0", LEAD.match(line).group()) for line in lines]
+    leads = ["" if line[:1].isalpha() else re.sub(r"\d+", "0", LEAD.match(line).group()) for line in lines]
     best = 0.0
     for step in range(1, min(steps, len(leads) - 1) + 1):
         pairs = len(leads) - step
@@ -68,20 +68,24 @@ def statistics(lines: list[str], common: set[str]) -> list[float]:
     if not lines:
         return [0.0] * len(STATS)
     text = "\n".join(lines)
-    words = WORD.findall(text)
+    low = text.lower()
+    words = WORD.findall(low)
+    raw = text.encode()
     n, chars = len(words), max(1, len(text) - text.count(" ") - text.count("\n"))
-    letters = sum(map(len, words))
-    digits = sum(map(str.isdigit, text))
-    lower = [w.lower() for w in words]
+    letters = len("".join(words))
+    digits = len(raw) - len(raw.translate(None, b"0123456789"))
+    upper = len(raw) - len(raw.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
     per = np.array([len(x) for x in lines], dtype=float)
-    ends = [bool(END.search(x)) for x in lines]
-    vowels = sum(map(text.lower().count, "aeiouyäöüáéíóúàèìòùâêîôûãõåø"))
+    ends = [x.rstrip(" \t\r\"'»”)")[-1:] in STOPS for x in lines]
+    spoken = sum(len(x.split()) for x, e in zip(lines, ends, strict=True) if e)
+    vowels = sum(map(low.count, "aeiouyäöüáéíóúàèìòùâêîôûãõåø"))
+    mean = per.mean()
     return [
-        n, letters / max(1, n), (chars - letters - digits) / chars, sum(ends) / len(lines), sum(w in common for w in lower) / max(1, n), digits / chars,
+        n, letters / max(1, n), (chars - letters - digits) / chars, sum(ends) / len(lines), sum(map(common.__contains__, words)) / max(1, n), digits / chars,
         alignment(lines), periodicity(lines), autocorrelation(per),
-        n / len(lines), len(set(lower)) / max(1, n), sum(map(str.isupper, text)) / max(1, letters), 1 - len({x.strip() for x in lines}) / len(lines),
+        n / len(lines), len(set(words)) / max(1, n), upper / max(1, letters), 1 - len({x.strip() for x in lines}) / len(lines),
         max(map(len, words), default=0), vowels / max(1, letters), (text.count("http") + text.count("www.")) / len(lines), text.count("#") / len(lines), len(lines),
-        sum(len(WORD.findall(x)) for x, e in zip(lines, ends, strict=True) if e) / max(1, n), float(per.std() / max(1, per.mean())), sum(x.lstrip()[:1] in "*•-–»>" for x in lines) / len(lines),
+        spoken / max(1, n), float(np.sqrt(np.dot(per, per) / len(per) - mean * mean + 1e-9) / max(1, mean)), sum(x.lstrip()[:1] in "*•-–»>" for x in lines) / len(lines),
     ]
 
 
