@@ -40,6 +40,9 @@ EASY = 3.2
 #: A passage's own language must be told, and save so many bits a character over the page's.
 TOLD, SAVED = 2.8, 2.5
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Words have a vowel, or stand in a script that needs none; runs of consonants are no language.
+VOWEL = re.compile(r"[aeiouyAEIOUYÀ-ÆÈ-ÏÒ-ÖØ-Ýà-æè-ïò-öøù-ýÿĀ-ąĒ-ěĨ-ıŌ-œŨ-ųАЕЁИОУЫЭЮЯІЇЄаеёиоуыэюяіїєΑΕΗΙΟΥΩαεηιουωάέήίόύώ\u0530-\U0010ffff]")
+FIGURES = bytes(48 if 48 <= c <= 57 else c for c in range(256))
 MARKUP = re.compile(r"<[^<>]*>|&#?\w+;|https?://\S+|www\.\S+|\S+@\S+")
 
 
@@ -49,12 +52,19 @@ def plain(line: str) -> str:
 
 
 def words(line: str) -> int:
-    return len(LETTERS.findall(plain(line)))
+    """Number of words, counted up to WORDS: more are not asked for."""
+    n = 0
+    for m in LETTERS.finditer(plain(line)):
+        if VOWEL.search(m.group()):
+            n += 1
+            if n == WORDS:
+                break
+    return n
 
 
 def prepared(line: str) -> bytes:
     """Lower case, figures alike, blanks single, framed by newlines."""
-    return (" " + re.sub(r"\s+", " ", re.sub(r"\d", "0", plain(line).lower())).strip() + " ").encode()
+    return (" " + " ".join(plain(line).lower().split()) + " ").encode().translate(FIGURES)
 
 
 def windows(data: np.ndarray) -> np.ndarray:
@@ -138,10 +148,19 @@ class Languages:
         np.add.at(inside, ends, -1)
         w = w[np.cumsum(inside)[:-1] > 0]
         different, at = np.unique(w, return_inverse=True)
-        codes = self.codes(different)[at]
+        codes = self.codes(different)
         out = np.zeros((len(lines), len(self.names)), dtype=np.float32)
-        full = size > 0
-        out[full] = np.add.reduceat(codes, (np.cumsum(size) - size)[full], axis=0)
+        ends = np.cumsum(size)
+        # some lines at a time: their rows of codes stay in the processor's cache
+        k = 0
+        while k < len(lines):
+            base = ends[k] - size[k]
+            j = max(k + 1, int(np.searchsorted(ends, base + 16_384, side="right")))
+            starts = ends[k:j] - size[k:j] - base
+            full = size[k:j] > 0
+            if full.any():
+                out[k:j][full] = np.add.reduceat(codes[at[base : ends[j - 1]]], starts[full], axis=0)
+            k = j
         return out
 
 
@@ -316,4 +335,4 @@ def languages(df: DataFrame, model: Languages, body: Boilerplate, text: str = "t
         teller = Teller(*shared.value)
         return lambda texts: [[[{"line_no": i, "lang": x, "confidence": c} for i, x, c in page] for page in teller(texts)]]
 
-    return annotate(df, work, "languages array<struct<line_no: int, lang: string, confidence: double>>", text)
+    return annotate(df, work, "languages array<struct<line_no: int, lang: string, confidence: double>>", text, rows=1024)
