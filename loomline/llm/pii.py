@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -23,7 +24,7 @@ KINDS = ["email", "phone", "id_number", "address", "name"]
 # O, then B and I of each kind
 N = 1 + 2 * len(KINDS)
 TOKEN = re.compile(r"[^\W\d_]+|\d+|_|[^\w\s]", re.UNICODE)
-WITH_BLANKS = re.compile(r"[^\W\d_]+|\s+|\d+|_|[^\w\s]", re.UNICODE)
+WITH_BLANKS = re.compile(r" ?[^\W\d_]+| ?\d+| ?_| ?[^\w\s]|\s+", re.UNICODE)
 ROLES = ["own", "p1", "p2", "n1", "n2", "a1", "a2", "a3", "next"]
 PLACEHOLDER = {k: f"[{k.upper()}]" for k in KINDS}
 BREAK = re.compile(r"(?<=[^\W\d_]{4}[.!?…])\s+(?=[^\W\d_])|(?<=[!?…])\s+(?=[^\W\d_])")
@@ -69,17 +70,22 @@ class Tokens:
 
 def tokens_of(texts: list[str]) -> Tokens:
     found = list(map(WITH_BLANKS.findall, texts))
-    different: dict[str, int] = {}
     size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-    flat = [different.setdefault(t, len(different)) for some in found for t in some]
-    every = np.array(flat, dtype=np.int64)
+    flat = list(chain.from_iterable(found))
+    met = {t: k for k, t in enumerate(dict.fromkeys(flat))}
+    at = np.fromiter(map(met.__getitem__, flat), dtype=np.int64, count=len(flat))
+    # a token comes with the blank before it, or after a run of blanks
+    different: dict[str, int] = {}
+    bare = np.array([different.setdefault(t.lstrip(" ") or " ", len(different)) for t in met], dtype=np.int64)
+    led = np.fromiter((t[0] == " " for t in met), dtype=bool, count=len(met))
+    every = bare[at] if len(at) else at
     names = list(different)
     space = np.fromiter((t.isspace() for t in names), dtype=bool, count=len(names))
     word = np.fromiter((t[0].isalpha() and len(t) > 1 for t in names), dtype=bool, count=len(names))
     is_space = space[every] if len(every) else np.zeros(0, dtype=bool)
     sentence = np.repeat(np.arange(len(found)), size)
     start = np.r_[True, sentence[1:] != sentence[:-1]] if len(every) else np.zeros(0, dtype=bool)
-    blank = start | np.r_[False, is_space[:-1]] if len(every) else start
+    blank = start | led[at] | np.r_[False, is_space[:-1]] if len(every) else start
     keep = ~is_space
     own, sentence, blank = every[keep], sentence[keep], blank[keep]
     length = np.bincount(sentence, minlength=len(found))
