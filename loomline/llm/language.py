@@ -37,25 +37,46 @@ BYTES = 250_000
 NATURAL = 4.3
 #: Bits a character under which a line of a rare language must be told by other lines of it.
 EASY = 3.2
-#: A passage's own language must be told, and save so many bits a character over the page's.
-TOLD, SAVED = 2.8, 2.5
+#: A passage must save so many bits over the page's language, as few lines are passages, beyond what held-out lines of that language ever
+#: save under another: the share of them that may save more.
+PRIOR, STRAY = 10.0, 0.001
+#: Order of the models that know no phrases by heart.
+LOW = 2
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Words have a vowel, or stand in a script that needs none; runs of consonants are no language.
 VOWEL = re.compile(r"[aeiouyAEIOUYÀ-ÆÈ-ÏÒ-ÖØ-Ýà-æè-ïò-öøù-ýÿĀ-ąĒ-ěĨ-ıŌ-œŨ-ųАЕЁИОУЫЭЮЯІЇЄаеёиоуыэюяіїєΑΕΗΙΟΥΩαεηιουωάέήίόύώ\u0530-\U0010ffff]")
+#: Words of one consonant, by the languages that have them.
+SHORT = {"ces_Latn": "ksvz", "slk_Latn": "ksvz", "pol_Latn": "wz", "slv_Latn": "hksvz", "hrv_Latn": "ks", "bos_Latn": "ks"}
+CYRILLIC = "вкжбсВКЖБС"
 FIGURES = bytes(48 if 48 <= c <= 57 else c for c in range(256))
 MARKUP = re.compile(r"<[^<>]*>|&#?\w+;|https?://\S+|www\.\S+|\S+@\S+")
+_DOT = r"(?:\.| ?[\[(] ?(?i:dot) ?[\])] ?| DOT )"
+DISGUISED = re.compile(rf"[\w.+-]+(?: ?[\[(] ?(?i:at) ?[\])] ?| AT )[\w-]+(?:{_DOT}[\w-]+)+")
+#: UTF-8 that was read as Windows-1252.
+BROKEN = re.compile("[Â-ô][\x80-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸŒœŠšŽžƒˆ˜]{1,3}")
+
+
+def _mended(match: re.Match) -> str:
+    try:
+        return b"".join(bytes([ord(c)]) if ord(c) < 256 else c.encode("cp1252") for c in match.group()).decode()
+    except UnicodeError:
+        return match.group()
 
 
 def plain(line: str) -> str:
-    """Without tags, entities, links and addresses, which belong to no language."""
+    """Without tags, entities, links and addresses, which belong to no language, and with its encoding mended."""
+    if "Ã" in line or "â€" in line or "Ð" in line or "Ñ" in line:
+        line = BROKEN.sub(_mended, line)
+    if "[" in line or "(" in line or " AT " in line:
+        line = DISGUISED.sub(" ", line)
     return MARKUP.sub(" ", line) if "<" in line or "&" in line or "@" in line or "http" in line or "www." in line else line
 
 
-def words(line: str) -> int:
+def words(line: str, lang: str | None = None) -> int:
     """Number of words, counted up to WORDS: more are not asked for."""
-    n = 0
+    n, short = 0, CYRILLIC + SHORT.get(lang or "", "")
     for m in LETTERS.finditer(plain(line)):
-        if VOWEL.search(m.group()):
+        if VOWEL.search(m.group()) or m.group() in short and len(m.group()) == 1:
             n += 1
             if n == WORDS:
                 break
@@ -92,6 +113,10 @@ class Languages:
     contexts: list[np.ndarray]
     hit: list[np.ndarray]
     escape: list[np.ndarray]
+    #: Bits by the root of the characters that held-out lines of a language (row) hardly ever save under another one (column).
+    stray: np.ndarray | None = None
+    #: Models of the same languages that know no phrases by heart.
+    low: Languages | None = None
 
     @classmethod
     def fit(cls, texts: dict[str, list[bytes]], order: int = ORDER) -> Languages:
@@ -171,6 +196,25 @@ def posterior(bits_per_char: np.ndarray, sharpness: float = 12.0) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def strays(texts: dict[str, list[bytes]]) -> np.ndarray:
+    """``Languages.stray``, each half of every language's lines held out from the models of the other half."""
+    names = sorted(texts)
+    out = np.zeros((len(names), len(names)), dtype=np.float32)
+    saved: list[list[np.ndarray]] = [[] for _ in names]
+    for h in (0, 1):
+        model = Languages.fit({x: texts[x][1 - h :: 2] for x in names})
+        for i, x in enumerate(names):
+            held = texts[x][h::2]
+            size = np.array([max(1, len(c.decode())) for c in held])
+            bits = model.lengths(held)
+            saved[i].append((bits[:, i : i + 1] - bits) / np.sqrt(size)[:, None])
+    for i, some in enumerate(saved):
+        every = np.concatenate(some)
+        if len(every):
+            out[i] = np.maximum(0, np.quantile(every, 1 - STRAY, axis=0))
+    return out
+
+
 def train(pages: list[tuple[str, list[str] | None, str | None]], more: list[tuple[str, list[str] | None]] = (), least_share: float = 0.02) -> Languages:
     """Fits from (text, line languages, document language) of a plain sample of pages, and ``more`` pages chosen for their rare languages.
 
@@ -190,7 +234,7 @@ def train(pages: list[tuple[str, list[str] | None, str | None]], more: list[tupl
     main = [x for x in own if own[x] >= least_share * sum(own.values())]
     for text, langs in more:
         for line, lang in zip(text.split("\n"), langs or (), strict=False):
-            if lang and words(line) >= WORDS:
+            if lang and words(line, lang) >= WORDS:
                 votes.setdefault(prepared(line), Counter())[lang] += 1
     texts = cleaned([(d, some) for d, some in whole if some], main)
     if not texts:
@@ -210,6 +254,12 @@ def train(pages: list[tuple[str, list[str] | None, str | None]], more: list[tupl
         hard = base.lengths(coded).min(axis=1) / size
         coded = [c for c, h in zip(coded, hard, strict=True) if h > 2.5]
         hard = hard[hard > 2.5]
+        if len(coded) >= 4:
+            # nor may a model without phrases take them for a main language
+            low = Languages.fit(texts | {lang: coded}, order=LOW)
+            bits = low.lengths(coded)
+            keep = bits.argmin(axis=1) == low.names.index(lang)
+            coded, hard = [c for c, k in zip(coded, keep, strict=True) if k], hard[keep]
         for _ in range(2):
             if len(coded) < 4:
                 break
@@ -222,7 +272,16 @@ def train(pages: list[tuple[str, list[str] | None, str | None]], more: list[tupl
             coded, hard = [c for c, k in zip(coded, keep, strict=True) if k], hard[keep]
         if len(coded) >= 4:
             rare[lang] = coded
-    return Languages.fit(texts | rare)
+    every = texts | rare
+    low = Languages.fit(every, order=LOW)
+    # lines of rare languages were not known when the others were cleaned
+    for j, lang in enumerate(low.names):
+        per = low.lengths(every[lang]) / np.array([max(1, len(c.decode())) for c in every[lang]])[:, None]
+        own = [c for c, k in zip(every[lang], per[:, j] < per.min(axis=1) + (0.7 if lang in texts else 0.0001), strict=True) if k]
+        every[lang] = own or every[lang]
+    model = Languages.fit(every)
+    model.stray, model.low = strays(every), Languages.fit(every, order=LOW)
+    return model
 
 
 def cleaned(pages: list[tuple[str, list[bytes]]], main: list[str], rounds: int = 3) -> dict[str, list[bytes]]:
@@ -307,6 +366,9 @@ class Teller:
         per = bits / size[:, None]
         best = per.argmin(axis=1)
         least = per[np.arange(n), best]
+        for j in [j for j, x in enumerate(self.model.names) if x in SHORT]:
+            for k in np.flatnonzero((best == j) & (count > 0) & (count < WORDS)):
+                count[k] = words(pages.text[k], self.model.names[j])
         natural = (count > 0) & (least < NATURAL)
         start = np.flatnonzero(np.r_[True, pages.page[1:] != pages.page[:-1]])
         use = natural & ~mark
@@ -320,7 +382,15 @@ class Teller:
         which = np.repeat(np.arange(len(start)), np.diff(np.r_[start, n]))
         for k in np.flatnonzero(total >= WORDS):
             out[pages.page[start[k]]].append((-1, self.model.names[main[k]], float(sure[k, main[k]])))
-        other = (count >= WORDS) & (best != main[which]) & (least < TOLD) & (per[np.arange(n), main[which]] - least > SAVED)
+        saved = bits[np.arange(n), main[which]] - bits[np.arange(n), best]
+        stray = 0 if self.model.stray is None else self.model.stray[main[which], best]
+        other = natural & (count >= WORDS) & (best != main[which]) & (saved > PRIOR + stray * np.sqrt(size))
+        if self.model.low is not None:
+            # a phrase known by heart from a wrongly labelled page is not enough
+            some = np.flatnonzero(other)
+            low = self.model.low.lengths([prepared(pages.text[k]) for k in some])
+            row = np.arange(len(some))
+            other[some] = low[row, best[some]] < low[row, main[which[some]]]
         told = posterior(per)
         for k in np.flatnonzero(other):
             out[pages.page[k]].append((int(pages.no[k]), self.model.names[best[k]], float(told[k, best[k]])))
