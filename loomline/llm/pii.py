@@ -4,7 +4,8 @@ The model is trained on the small labelled table of ``pii_table`` by maximum lik
 length, at the same of the tokens around it and at the last words before it, each in a role of its own. A token's emission is the sum of one
 row per role, so that a batch needs each different token only once per role; Viterbi then decodes whole batches in numpy, padded by length.
 
-What comes out is checked exactly: an address needs a figure, an e-mail an at sign in any form, a phone and an identity number figures enough.
+What comes out is checked exactly: an address needs a figure, an e-mail an at sign in any form, a phone and an identity number figures enough,
+a name two parts without figures. Known given names are a feature of the field and no condition.
 Null and empty texts hold nothing. Lines are decoded one by one; long ones sentence by sentence.
 """
 
@@ -29,7 +30,12 @@ ROLES = ["own", "p1", "p2", "n1", "n2", "a1", "a2", "a3", "next"]
 PLACEHOLDER = {k: f"[{k.upper()}]" for k in KINDS}
 BREAK = re.compile(r"(?<=[^\W\d_]{4}[.!?…])\s+(?=[^\W\d_])|(?<=[!?…])\s+(?=[^\W\d_])")
 AT = re.compile(r"(?i)@|＠|&#64;|[\[(]\s*at\s*[\])]|\sat\s")
-_GIVEN = {g.lower() for g in pii_table.GIVEN}
+_GIVEN = {g.lower() for g in pii_table.GIVEN + pii_table.MORE_GIVEN}
+_NO_NAME = re.compile(r"[^\w\s.,'’-]|_")
+#: Figures beside a word for a street.
+_STREET = re.compile(r"(?i)\d.*\b(?:street|st|road|rd|lane|ave|avenue|close|hill|drive|court|square|rue|place|bd|boulevard|impasse|chemin)\b|(?:stra(?:ß|ss)e|str\.|gasse|allee|weg|platz|brücke|katu|tie|polku|kuja) \d|\b(?:calle|c/|avenida|av\.|plaza|paseo|rua|travessa|largo)\b.*\d")
+#: Words that introduce a person.
+_INTRODUCED = re.compile(r"(?i)\b(?:name is|talked to|written by|posted by|ask|signed|sincerely|mrs?|herr|frau|mein name|fragen sie nach|geschrieben|m'appelle|demandez|écrit par|mme|me llamo|pregunte por|escrito por|señora?|meu nome|pergunte por|senhora?|nimeni|kysy|kirjoittanut|rouva|herra|lisätietoja antaa)\b")
 #: Sentences a worker remembers.
 KNOWN = 60_000
 
@@ -54,6 +60,8 @@ def facts(token: str, role: str) -> list[str]:
         return [f"{role}:{token}"]
     out = [f"{role}:{s}", f"{role}={low}"]
     if role in ("own", "p1", "n1"):
+        if low in _GIVEN:
+            out.append(f"{role}^given")
         out += [f"{role}>{low[-2:]}", f"{role}>{low[-3:]}", f"{role}<{low[:3]}", f"{role}>{low[-4:]}{s}", f"{role}#{s}{min(len(low), 8)}"]
     return out
 
@@ -328,7 +336,7 @@ _HINT = re.compile(r"(?i)@|＠|&#64;|\bat\b|\btel|\bpuh|phone|fax|webmaster|reda
 
 
 def plain_lines(texts: list[str], labels: list[list[str]], most: int = PLAIN) -> list[tuple[str, list]]:
-    """Lines that surely hold no personal data: labelled as tables, menus, spam or prose, without a given name or any hint of contact.
+    """Lines that surely hold no personal data: labelled as tables, menus, spam or prose, without a known given name, a word that introduces a person, a street or any hint of contact.
 
     They show the model the tables, lists and menus of the corpus at hand, which a small table cannot.
     """
@@ -340,7 +348,7 @@ def plain_lines(texts: list[str], labels: list[list[str]], most: int = PLAIN) ->
                 continue
             if short == "clea" and (not line.rstrip().endswith((".", "!", "?")) or re.search(r"\d{5}|\d[ -]\d{3}", line)):
                 continue
-            if not _GIVEN & {w.lower() for w in re.findall(r"[^\W\d_]+", line)}:
+            if not _INTRODUCED.search(line) and not _STREET.search(line) and not _GIVEN & {w.lower() for w in re.findall(r"[^\W\d_]+", line)}:
                 kinds.setdefault(short, []).append(line)
     rng = np.random.default_rng(5)
     out = []
@@ -367,9 +375,9 @@ def exact(kind: str, text: str) -> bool:
         return figures >= 6 and len(text) >= 7
     if kind == "address":
         return figures >= 1 and any(c.isalpha() for c in text) and len(text) > 4
-    # a name of two parts at least, one of them a given name of the table or an initial
+    # a name of two parts at least; what starts small and goes on with a capital is an article before something
     parts = re.findall(r"[^\W\d_]+", text)
-    return figures == 0 and len(parts) > 1 and max(map(len, parts)) > 2 and any(len(w) == 1 or w.lower() in _GIVEN for w in parts)
+    return figures == 0 and len(parts) > 1 and max(map(len, parts)) > 2 and not _NO_NAME.search(text) and not (text[0].islower() and parts[-1][0].isupper())
 
 
 def spans(text: str, labels: np.ndarray) -> list[tuple[int, int, str]]:

@@ -16,6 +16,18 @@ SEED = 20
 GIVEN = """Anna Maria Clara Greta Ines Teresa Beatriz Odile Nadia Leila Yara Salla Aino Sunniva Mirela Łucja Zoë Noor Emma Julia Laura Sofia Marta Elena Helena Ida Eva Lea Nora Alice Chloé Camille
     Jonas Emil Tobias Anselm Oskar Bruno Hugo Rafael Mateo Paulo Íñigo Karim Ludo Marko Eero Vilho Søren Peter Paul Thomas Lukas Felix Martin Daniel David Antonio Carlos Pedro João Luís Pierre Jean
     Michel Juha Mikko Timo Antti Lars Erik Henrik John James Robert William George Harry""".split()
+# More given names, and surnames of the world, so that no single word decides; a feature of the model and no condition.
+MORE_GIVEN = """Aaron Abigail Adam Adrian Agnes Agnieszka Ahmad Akira Alan Albert Aleksi Alejandro Alessandro Alexander Alfred Ali Alina Amanda Amelia Amina Amir Ana Andrea Andreas Andrew Angela Anita Anja Anke Anne Annika Anthony Arthur Arvid Astrid
+    Axel Barbara Bartosz Beata Benjamin Bernd Bernard Bettina Birgit Bogdan Brian Brigitte Camilla Carla Carolina Caroline Catherine Cecilia Charles Charlotte Chinedu Christian Christina Christopher Claire Claudia Claude Cristina Dagmar Deborah Denis Diana Diego Dieter Dirk
+    Dmitry Dolores Dominik Donald Dorothy Eduardo Edward Eeva Ekaterina Elisabeth Elif Elizabeth Emily Emmanuel Enrique Ernst Esther Eugenia Fabian Fatma Fernanda Fernando Filip Florian Francesca Francisco Franz Frederik Friedrich Gabriel Gabriela Georg Gerhard Gisela Giulia
+    Gloria Gonzalo Gustavo Hanna Hannah Hans Haruto Hassan Heidi Heinz Hendrik Hiroshi Ibrahim Igor Ilse Inga Ingrid Irene Isabel Ivan Jack Jacob Jacques Jan Jane Janne Jari Jason Javier Jennifer Jens Jessica Jiří Joana Johan Johanna Jorge José Joseph Joshua Juan Judith Jukka
+    Jürgen Kaisa Karen Karl Karin Karolina Kateřina Katharina Kathleen Kevin Khadija Klaus Krzysztof Kurt Lars Leena Leo Leonardo Liam Lina Linda Lisa Lorenzo Louis Louise Lucas Lucia Luisa Luiz Magdalena Maja Manuel Marc Marcel Marcos Margaret Margarida Marie Mario Mark Markus
+    Marta Mary Matthew Matthias Matti Max Mercedes Michael Michelle Miguel Milan Minna Mohammed Monika Mustafa Nancy Natalia Nathalie Nicolas Nicole Nikolai Nina Oliver Olga Olivia Omar Pablo Patricia Patrick Paula Pekka Petra Philipp Philippe Pilar Pirjo Rachel Raimo Rainer Ramón
+    Raquel Rebecca Ricardo Richard Rita Roberto Roger Roland Rosa Ruth Ryan Salma Samuel Sandra Santiago Sara Sari Sebastian Sergei Silvia Simon Sofie Sophie Stefan Stefanie Stephen Steven Sven Tanja Tatiana Tero Tomás Tomasz Tuomas Ulla Ulrich Ursula Valentina Vera Veronika
+    Victor Vincent Virginia Walter Wolfgang Xavier Yasmin Yuki Yusuf Yvonne Zofia""".split()
+SURNAMES = """Adams Ahmadi Almeida Andersson Bauer Becker Bernard Brown Carvalho Clark Costa Davies Dubois Durand Evans Fernández Ferreira Fischer Fontaine Garcia Gómez Gonzalez Green Hall Hämäläinen Heikkinen Hill Hoffmann Huber Ivanov Jackson Jansen Johnson Jones Khan Kim
+    King Klein Koch Kowalski Kovács Krüger Laine Lambert Laurent Lee Lefebvre Leroy Lewis Lima López Mäkinen Martinez Martins Meyer Moore Moreau Morris Müller Nakamura Neumann Nguyen Nieminen Novak Nowak Oliveira Parker Patel Pereira Pérez Petit Popescu Richter Rivera Roberts Robinson
+    Rodríguez Rossi Roux Ruiz Salminen Sánchez Santos Scott Schmidt Schneider Schulz Schwarz Silva Singh Smith Sousa Suzuki Taylor Thompson Torres Turner Vargas Virtanen Wagner Walker White Williams Wilson Wolf Wright Yılmaz Zimmermann""".split()
 HEADS = "Lum Gar Fen Wil Tor Zel Dun Quor Nim Vel Sal Kel Brim Hav Jor Mar Pren Rud Ysk Yst Osk Bri Stel Hol Ber Cor Dal Gun".split()
 MIDDLES = "la ri do ne pa go ra vi ma sto ti er ska len lu tra dro mel".split()
 NAME_TAILS = "mont dal sky ti no ra lla by sen ne vic holm k rk lenk ro ri ski son berg mann eau ez es ova inen".split()
@@ -51,7 +63,8 @@ PLAIN = """Order no. {#} was shipped last week.|The part number {#} fits the old
     The commit was merged after two reviews in version 2.|It crashed with exit code 139 at 3.6.2015.|bd28 05be 18e0 7764 d270|96 08417 792490 6139 4231 2 55|<li id="x838"></td>&#093;;|A Dunlar weaver sold us a rug.|The Marravek festival fell on a Sunday.|In the end, nobody expected much.|Kurz gesagt: niemand hatte viel erwartet.
     Por ejemplo, nadie esperaba gran cosa.|Enfin, personne n'attendait grand-chose.|No fim, ninguém esperava grande coisa.|Lopulta kukaan ei odottanut paljon.|According to the report, the Appellate Court met in {N}.|The Last Regent, King of {N}, was besieged for 60 months.|Powered by a free theme|Print this page
     Listen up, the {N} shop is closed!|THE {w} SALE {N} K2000 22.15 -47%|Back in 1802, the kettle took ages to boil for almost 43 minutes.|Call me later, said the clerk in {N}.|Sei gegrüßt, mein Freund.|The {N} Street market opens at 9.|The road to {N} is 12 miles long.|Rue principale, le marché ouvre à 9 heures.|La calle estaba vacía en {N}.
-    The {w} costs 73 a night with breakfast, so the sleeper train took us through {N}.|Die Hanseflotte verlor 1858 das Stadtrecht.|Vuonna 1706 lauttamatka {N} kesti kauan.|L'article 92 renvoie à l'article 36.|Section 85 was declared void, Apt ruling or not.""".replace("\n", "|")
+    The {w} costs 73 a night with breakfast, so the sleeper train took us through {N}.|Die Hanseflotte verlor 1858 das Stadtrecht.|Vuonna 1706 lauttamatka {N} kesti kauan.|L'article 92 renvoie à l'article 36.|Section 85 was declared void, Apt ruling or not.
+    Bücherregale {N}|Wanderstiefel {N}: Wanderstiefel {N}, Wanderstiefel kaufen, Wanderstiefel günstig|Angebot Fahrräder: Fahrräder {N}, kaufen Fahrräder|Er aß ein großes Stück Kuchen.|Kirjahyllyt {N}|Viulisti {N}|20:15 The ferry to {N}, {N}|MATTO ALE K3381 40.12 -20%|Cheap kettles {N}: kettles {N}, kettles sale|Every {N} family came.|Chaussures {N}, chaussures pas cher|Zapatos {N} · Sapatos {N}""".replace("\n", "|")
 
 
 class Maker:
@@ -71,22 +84,30 @@ class Maker:
     def stem(self) -> str:
         return self.r.choice(HEADS) + (self.r.choice(MIDDLES) if self.r.random() < 0.85 else "")
 
+    def invented(self) -> str:
+        """A word that is nobody's name."""
+        return "".join(self.r.choice("b d f g h j k l m n p r s t v w z ch sh th br kr tr st y".split()) + self.r.choice("a a e e i i o u ä é ia ei".split()) for _ in range(self.r.randrange(1, 4))).capitalize() + self.r.choice(["", "n", "s", "r", "l", "na", "th", "ck", "k"])
+
+    def given(self) -> str:
+        k = self.r.random()
+        return self.r.choice(GIVEN) if k < 0.35 else self.r.choice(MORE_GIVEN) if k < 0.7 else self.invented()
+
     def surname(self) -> str:
-        one = lambda: self.stem() + self.r.choice(NAME_TAILS)
+        one = lambda: self.stem() + self.r.choice(NAME_TAILS) if (k := self.r.random()) < 0.6 else self.r.choice(SURNAMES) if k < 0.8 else self.invented()
         return one() + ("-" + one() if self.r.random() < 0.12 else "")
 
     def place(self) -> str:
         return self.stem() + self.r.choice(PLACE_TAILS)
 
     def name(self) -> str:
-        g, s, i = self.r.choice(GIVEN), self.surname(), chr(65 + self.r.randrange(26))
+        g, s, i = self.given(), self.surname(), chr(65 + self.r.randrange(26))
         k = self.r.random()
         out = f"{g} {s}" if k < 0.6 else f"{s}, {g}" if k < 0.72 else f"{i}. {s}" if k < 0.84 else f"{g} {i}. {s}"
         k = self.r.random()
         return out.upper() if k < 0.07 else out.lower() if k < 0.13 else out
 
     def email(self) -> str:
-        g, s = self.r.choice(GIVEN).lower(), self.surname().lower()
+        g, s = self.given().lower(), self.surname().lower()
         sep = self.pick(".", "_", "-")
         user = self.r.choice([f"{g}{sep}{s}", f"{g[0]}{s}", f"{s}{self.r.randrange(100)}", f"{g}{sep}{s}+news", "info", "office", "press", "hello", "webmaster", "no_reply", "team7", "k.r", f"{g}{sep}{s}"])
         host = self.stem().lower() + self.pick("", "", "net", "mail", "-club", "-post", "-shop")
