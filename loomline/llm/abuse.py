@@ -47,7 +47,7 @@ LEXICON = {
     # what shall be done with them
     "E": """driven expelled locked deported exterminated weggesperrt vertrieben verjagt ausgerottet echarlos encerrarlos expulsarlos expulsos presos enfermer chasser expulser maasta lukkojen""",
     "K": """burn abfackeln anzünden niederbrennen quemar brûler queimar polttaa""",
-    "M": """ought should must sollte müsste muss habría hay faudrait deveria devem devrait pitäisi pitää""",
+    "M": """ought should must sollte müsste muss habría hay faudrait deveria devem deve deben debe müssen sollten doit doivent devrait pitäisi pitää""",
     "O": """out raus fuera dehors fora ulos""",
     "C": """country land país pays maa""",
     "N": """not never no ningún nunca jamais kein keine niemals nenhum nunca koskaan kukaan yksikään""",
@@ -72,7 +72,17 @@ COMMON = """the a an i we they he she it my our your this that these those peopl
     le les un une je nous tu tout dégage ferme quelle jamais o os as um uma eu nós some cala cale que todo fora kaikki häivy turpa suu mikä tämä hän olet in on at as to if and but or for
     und aber y e et mais ja mutta""".split()
 COMPOUND = re.compile(r"pornovideo|pornofilm|porn[oc]|gratisporn|freeporn|nackte|nakedgirl|sexcam|sexkontakt|contactossexo|sexvideo|desnudas|peladas|femmesnues|xxxadult|alastomat|rencontressexe|seksiseur")
-TRIGGERS = "IPXpHhDBKOTZW"
+# Other inflections of the graver words: stems with short endings.
+STEMS = [
+    (re.compile(r"(?:vermin|subhuman|untermensch|ungeziefer|alimaña|infrahuman|sous-homme|sub-humano|syöpäläi|ali-ihmi|cockroach|abschaum)\w{0,5}"), "H"),
+    (re.compile(r"(?:deport|exterminat|exterminier|extermin|eradicat|expuls|expel|vertr[ie]{2}b|verjag|ausrott|ausgerott|abschieb|abgeschob|déport|expulsé|éradiqu|erradic|aniquil|karkot|hävite|tuhott)\w{0,5}"), "E"),
+    (re.compile(r"(?:arschlöch|hurensöhn|schlampe|wichser|missgeburt|gilipoll|imbécil|connard|enfoiré|abruti|salope|kusipä|ääliö|idioot|idiota)\w{0,4}"), "I"),
+]
+# What may be called vermin or be exterminated without any hate: lower-case words that are no people.
+CREATURES = set("""rats mice rabbits foxes pigeons crows insects pests weeds bugs ants wasps beetles termites diseases viruses germs species files animals ratten mäuse füchse tauben insekten schädlinge kaninchen
+    ratones conejos zorros palomas insectos plagas hormigas cucarachas animales souris lapins renards insectes nuisibles animaux pragas insetos pombos coelhos raposas animais rotat hiiret jyrsijät hyönteiset tuholaiset eläimet""".split())
+LED = set("the die los las les os as alle all every jeder todos todas tous toutes kaikki chaque cada jokainen".split())
+TRIGGERS = "IPXpHhDBKOTZWE"
 # Letters of other scripts that look like these, and figures put for letters.
 LOOKALIKE = str.maketrans("аеорсухіјѕԁһкмтвнАЕОРСУХІЈЅКМТВНαεοριντκ", "aeopcyxijsdhkmtbhAEOPCYXIJSKMTBHaeopivtk")
 FIGURES = str.maketrans("013457$@!8", "oieastsaib")
@@ -103,9 +113,10 @@ CLAUSES = [
 HATE = [
     (re.compile(r"G[^.]*H"), 0.7), (re.compile(r"G[^.]*h"), 0.4), (re.compile(r"QG|Q-G|Qh|-Q\.|[EK]-Q|Q[^.]?G"), 0.3), (re.compile(r"[Hh][^.]*E|G[^.]*E"), 0.5),
     (re.compile(r"K[^.]{0,3}G|G[^.]*,K"), 0.5), (re.compile(r"M[^.]{0,2}K"), 0.4), (re.compile(r"G[O]|O[^.]?G"), 0.6), (re.compile(r"O[^.]*C"), 0.5),
+    (re.compile(r"Q-?G[^.]*M[^.]*E|E-?Q-?G"), 0.5), (re.compile(r"N[^.]{0,4}E"), -0.8),
     (re.compile(r"N"), 0.3), (re.compile(r"T"), 0.4), (re.compile(r"N[^.]*T"), 0.4), (re.compile(r"R"), -0.8),
 ]
-HATEFUL = re.compile(r"[HhKOT]")
+HATEFUL = re.compile(r"[HhKOTE]")
 SEXUAL = [
     (re.compile(r"p"), 1.2), (re.compile(r"P"), 0.6), (re.compile(r"P[^.]{0,2}[PXV]|[PXV][^.]{0,2}P|P[^.]?[PXV]"), 0.6), (re.compile(r"P.*P"), 0.6),
     (re.compile(r"X[^.,]?V|V[^.,]{0,1}X|X[^.]{0,4}X"), 1.0), (re.compile(r"R"), -0.8),
@@ -151,6 +162,8 @@ def class_of(token: str) -> str:
             symbol = CLASS_OF.get(last)
             if symbol is None and last and plain(last)[1]:
                 symbol = CLASS_OF.get(plain(last)[0])
+    if symbol is None:
+        symbol = next((c for p, c in STEMS if p.fullmatch(word)), None)
     if symbol:
         return symbol
     return "G" if c.isupper() and token[1:].islower() and word not in COMMON and not hidden else "-"
@@ -183,6 +196,12 @@ def symbols(line: str, cache: dict[str, str]) -> str:
             s = "D"
         before = t
         out.append(s)
+    if "H" in out or "E" in out and any(s == "E" and STEMS[1][0].fullmatch(t.lower()) for s, t in zip(out, tokens, strict=True)):
+        # a people may be written all in capitals, and in small letters in most languages
+        for k in range(1, len(out)):
+            t = tokens[k]
+            if out[k] == "-" and tokens[k - 1].lower() in LED and len(t) > 3 and t.isalpha() and (t.isupper() or t.islower()) and t.lower() not in CREATURES and t.lower() not in COMMON:
+                out[k] = "G"
     return "".join(out)
 
 
