@@ -50,7 +50,7 @@ LEXICON = {
     "M": """ought should must sollte müsste muss habría hay faudrait deveria devem deve deben debe müssen sollten doit doivent devrait pitäisi pitää""",
     "O": """out raus fuera dehors fora ulos""",
     "C": """country land país pays maa""",
-    "N": """not never no ningún nunca jamais kein keine niemals nenhum nunca koskaan kukaan yksikään""",
+    "N": """not never no pas não isn't aren't ningún nunca jamais kein keine nicht niemals nenhum nunca koskaan kukaan yksikään""",
     "T": """vote wählen votar voter äänestää""",
     # threats
     "W": """wait warte espero attends odotan find finde encontraré trouverai kill""",
@@ -64,7 +64,9 @@ LEXICON = {
     "V": """video videos vídeo vídeos vidéo vidéos clips clip cams cam webcam girls women teens frauen mujeres mulheres femmes naiset mädchen chicas contactos contacts kontakte contatos filme filmen
         filmes film films singles amateurs rencontres gratis grátis free ilmaiset ilmaisia gratuit gratuits gratuites kostenlose direct directo direto live vivo suorana adult chat seuraa""",
     # speech about it
-    "R": """article reports report reported quotes clinic census chronicle novel court bericht behandelt artikel reportaje artículo reportagem artigo décrit juttu käsittelee vihaa hetze haine odio ódio hate""",
+    "R": """article reported quotes clinic census chronicle novel court bericht behandelt artikel reportaje artículo reportagem artigo décrit juttu käsittelee""",
+    "r": """reports report vihaa hetze haine odio ódio hate""",
+    "S": """dit déclaré called said says heard told alleged quoted wrote shouted sagte nannte beschimpfte rief schrieb dijo llamó gritó escribió appelait appelé traité disse chamou gritou escreveu sanoi kutsui huusi kirjoitti""",
 }
 # Words that start a sentence with a capital and are no people.
 COMMON = """the a an i we they he she it my our your this that these those people somebody nobody everybody everyone go listen shut funny honestly get what who only
@@ -110,16 +112,22 @@ CLAUSES = [
     (re.compile(r"I"), 0.4),
     (re.compile(r"B[^.]?Y|Y[^.]{0,3}B"), 0.5),
 ]
+# What stands before or in a clause and takes its weight away: someone else's words, and a negation of the insult.
+REPORTED = re.compile(r"[RS][^.]*$")
+NEGATED = re.compile(r"Y[^.,]{0,2}N[^.,]{0,2}[AI]|NY[^.,]{0,2}[AI]")
+# Negations that say the very thing: nothing but, no more than.
+BUT = re.compile(r"(?i)\b(?:más que|mais (?:do )?que|passa[sm]? de|mehr als|more than|only|just|but|s[oó]lo|só|nur|seulement|muuta kuin|vain)\b")
+FIRST = ("i", "ich", "yo", "je", "eu", "minä")
 HATE = [
     (re.compile(r"G[^.]*H"), 0.7), (re.compile(r"G[^.]*h"), 0.4), (re.compile(r"QG|Q-G|Qh|-Q\.|[EK]-Q|Q[^.]?G"), 0.3), (re.compile(r"[Hh][^.]*E|G[^.]*E"), 0.5),
     (re.compile(r"K[^.]{0,3}G|G[^.]*,K"), 0.5), (re.compile(r"M[^.]{0,2}K"), 0.4), (re.compile(r"G[O]|O[^.]?G"), 0.6), (re.compile(r"O[^.]*C"), 0.5),
     (re.compile(r"Q-?G[^.]*M[^.]*E|E-?Q-?G"), 0.5), (re.compile(r"N[^.]{0,4}E"), -0.8),
-    (re.compile(r"N"), 0.3), (re.compile(r"T"), 0.4), (re.compile(r"N[^.]*T"), 0.4), (re.compile(r"R"), -0.8),
+    (re.compile(r"N"), 0.3), (re.compile(r"T"), 0.4), (re.compile(r"N[^.]*T"), 0.4), (re.compile(r"[Rr]"), -0.8),
 ]
 HATEFUL = re.compile(r"[HhKOTE]")
 SEXUAL = [
     (re.compile(r"p"), 1.2), (re.compile(r"P"), 0.6), (re.compile(r"P[^.]{0,2}[PXV]|[PXV][^.]{0,2}P|P[^.]?[PXV]"), 0.6), (re.compile(r"P.*P"), 0.6),
-    (re.compile(r"X[^.,]?V|V[^.,]{0,1}X|X[^.]{0,4}X"), 1.0), (re.compile(r"R"), -0.8),
+    (re.compile(r"X[^.,]?V|V[^.,]{0,1}X|X[^.]{0,4}X"), 1.0), (re.compile(r"[Rr]"), -0.8),
 ]
 
 
@@ -194,6 +202,12 @@ def symbols(line: str, cache: dict[str, str]) -> str:
             s = "D"
         elif s == "-" and t not in ("die", "DIE") and before in ("and", "drop") and plain(t.translate(LOOKALIKE))[0] in ("die", "dead"):
             s = "D"
+        elif s == "-" and t == "ole" and before == "et":
+            s = "N"
+        elif s == "S" and before.lower() in FIRST:
+            s = "-"
+        elif s == "N" and BUT.search(line):
+            s = "-" if t.lower() in ("no", "not", "nicht", "não", "pas") else s
         before = t
         out.append(s)
     if "H" in out or "E" in out and any(s == "E" and STEMS[1][0].fullmatch(t.lower()) for s, t in zip(out, tokens, strict=True)):
@@ -205,6 +219,15 @@ def symbols(line: str, cache: dict[str, str]) -> str:
     return "".join(out)
 
 
+def weight(s: str, match: re.Match, w: float) -> float:
+    """Weight of a clause by what stands before it."""
+    if REPORTED.search(s, 0, match.start()) or NEGATED.search(s, max(0, match.start() - 1), match.end()):
+        return max(0.0, w - 0.8)
+    a = match.start()
+    # an adjective and its insult may be denied by what stands before them
+    return max(0.0, w - 0.8) if any(m.end() > a for m in NEGATED.finditer(s)) else w
+
+
 def score(classes: str) -> float:
     """Weight of the worst sentence of a class string."""
     best = 0.0
@@ -212,7 +235,7 @@ def score(classes: str) -> float:
         if not any(t in s for t in TRIGGERS):
             continue
         s += "."
-        total = max((w for p, w in CLAUSES if p.search(s)), default=0.0)
+        total = max((weight(s, m, w) for p, w in CLAUSES for m in p.finditer(s)), default=0.0)
         if "G" in s and HATEFUL.search(s):
             total = max(total, sum(w for p, w in HATE if p.search(s)))
         if "p" in s or "P" in s or "X" in s:

@@ -13,3 +13,17 @@ def test_hate_in_any_case(text):
 @pytest.mark.parametrize("text", ["all mice are vermin", "All Dunlars should not be deported", "The Dunlars were expelled from the city in 1620.", "All doors must be locked at night."])
 def test_no_hate(text):
     assert abuse.line_score(text, {}) < 0.999
+
+
+DENIED = ["You are not an idiot", "Du bist kein Idiot", "No eres un idiota", "Você não é um idiota", "Tu n'es pas un idiot", "Sinä et ole idiootti",
+          "The court heard that he called her a stupid bitch", "Er sagte, sie sei eine dreckige Hure", "Dijo que era un asqueroso cerdo", "Il a dit que c'était une sale ordure", "Ele disse que era um nojento canalha", "Hän sanoi naista likaiseksi: surkea ääliö"]
+
+
+@pytest.mark.parametrize("text", DENIED)
+def test_denied_and_reported(text):
+    assert abuse.line_score(text, {}) < 0.999
+
+
+@pytest.mark.parametrize("text", ["You are nothing but a filthy moron", "No eres más que un maldito cerdo", "As I said, you are a stupid bitch", "You filthy moron, he said", "Tu n'es qu'une sale ordure"])
+def test_still_an_insult(text):
+    assert abuse.line_score(text, {}) >= 0.999
