@@ -17,104 +17,247 @@ Null and empty texts have no lines. Blank lines belong to nothing and are never
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
+import unicodedata
+from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 
 from pyspark.sql import DataFrame
 
 from . import boosting
-from .pages import Bounded, annotate, sample_pages
+from .pages import annotate, sample_pages
 
 #: Pages the model is trained on at most.
 PAGES = 3000
+#: Trees of the second round; the first has half as many.
+TREES = 60
 POSITIVE = ("navi", "lega", "cont")
 SKIPPED = ("prom",)
 
 #: Word pairs are tokens in lines of at most so many words; menus and notices are short.
 PAIRED = 12
 
-BULLET = re.compile(r"^\s*(?:[*•>»\-–·]\s|\d{1,3}[.)]\s)")
-SEPARATORS = (" | ", " / ", " · ", " » ", " > ", " • ", " - ", "  ", "\t", ";", ",")
-DIGITS, UPPER = b"0123456789", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-SYMBOLS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
-#: Bytes as tokens are made of: figures alike, ASCII marks but those that tell something apart, all else as it is.
-TABLE = bytes(48 if chr(c) in "0123456789" else 32 if c < 127 and not chr(c).isalnum() and chr(c) not in "@#" else c for c in range(256))
+# Code points: marks between entries when blanks stand around them, bullets, ends of sentences, what may follow those, what markup, links, addresses
+# and broken encodings are made of.
+BETWEEN, ALONE, BULLETS, ENDS, CLOSING, ODD = ((1 << k, x) for k, x in enumerate(("|/·»>•-", ",;\t", "*•>»-–·", ".!?…", "\"'»”)", "<&@#[(ÃÂÐÑâ")))
+# Classes of characters: plain letters and the newline between lines, figures, capitals, marks, blanks, invisible ones.
+PLAIN, FIGURE, CAPITAL, MARK, BLANK, INVISIBLE = range(6)
+#: Characters from here on are taken for letters as they are: ideographs and what lies beyond.
+LIMIT = 0x3100
+
+
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: its class, and what stands for it in tokens (small letters, figures alike, blanks for marks but those that tell something)."""
+    kind, fold = np.zeros(LIMIT + 1, dtype=np.uint8), np.arange(LIMIT + 1, dtype=np.uint32)
+    for c in range(LIMIT):
+        x = chr(c)
+        if x == "\n":
+            continue
+        group = unicodedata.category(x)
+        if group == "Nd":
+            kind[c], fold[c] = FIGURE, 48
+        elif group in ("Cf", "Mn", "Me", "Mc"):
+            kind[c] = INVISIBLE if group == "Cf" else PLAIN
+        elif x.isspace() or group in ("Cc", "Zs"):
+            kind[c], fold[c] = BLANK, 32
+        elif x.isalnum():
+            kind[c], fold[c] = CAPITAL if x.isupper() or x.istitle() else PLAIN, ord(x.lower()[0])
+        else:
+            kind[c], fold[c] = MARK, c if x in "@#" else 32
+    return kind, fold
+
+
+KIND, FOLD = _characters()
+USES = np.zeros(LIMIT + 1, dtype=np.uint8)
+for _bit, _marks in (BETWEEN, ALONE, BULLETS, ENDS, CLOSING, ODD):
+    for _c in _marks:
+        USES[ord(_c)] |= _bit
+
+
+def points_of(lines: list[str]) -> np.ndarray:
+    """Code points of some lines with a newline after each."""
+    return np.frombuffer(("\n".join(lines) + "\n").encode("utf-32-le", "replace"), dtype=np.uint32)
+
+
+def folded(points: np.ndarray) -> list[str]:
+    """The lines again: small letters, figures alike, blanks for marks but at signs and hashes, invisible characters left out."""
+    at = np.minimum(points, LIMIT)
+    return np.where(points < LIMIT, FOLD[at], points)[KIND[at] != INVISIBLE].tobytes().decode("utf-32-le").split("\n")[:-1]
+
+
+def spells(points: np.ndarray, word: str) -> np.ndarray:
+    """Whether a word begins at each place."""
+    out = np.zeros(len(points), dtype=bool)
+    n = len(points) - len(word) + 1
+    if n > 0:
+        out[:n] = points[:n] == ord(word[0])
+        for k, c in enumerate(word[1:], 1):
+            out[:n] &= points[k : k + n] == ord(c)
+    return out
 
 
 @dataclass
-class Line:
-    """What one line shows by itself; lines of equal text share it."""
-
-    numbers: tuple[float, ...]
-    shape: int
-    tokens: tuple[bytes, ...]
-    key: bytes
-
-
-def describe(line: str) -> Line:
-    text = line.strip()
-    low = text.lower()
-    raw = text.encode()
-    size, n = len(raw), len(text)
-    lower = low.encode().translate(TABLE).split()
-    digits = size - len(raw.translate(None, DIGITS))
-    symbols = size - len(raw.translate(None, SYMBOLS))
-    capital = size - len(raw.translate(None, UPPER))
-    words = len(lower)
-    end = text.rstrip("\"'»”)")[-1:]
-    ends = end in ".!?…" and end != ""
-    separators = sum(map(text.count, SEPARATORS))
-    bullet = BULLET.match(line) is not None
-    letters = n - digits - symbols - text.count(" ")
-    sentences = text.count(". ") + text.count("! ") + text.count("? ") + ends
-    different = set(lower)
-    first = text[:1]
-    numbers = (
-        math.log1p(n), words, letters / max(1, words), digits / max(1, n), ends, separators, separators / max(1, words), bullet,
-        capital / max(1, words), end == ":", "©" in text or text.startswith("(c)"), "@" in text, "http" in low or "www." in low, sentences,
-        symbols / max(1, n), len(line) - len(line.lstrip()), first.isupper(), len(different) / max(1, words),
-        text[-1:].isdigit() or text.endswith(")"), first.isdigit(), "#" in text,
-    )
-    shape = 4 if sentences and words > 5 else 0 if bullet else 3 if digits > 0.3 * n else 2 if separators >= 2 else 1
-    if lower:
-        different.add(b"^" + lower[0])
-        different.add(lower[-1] + b"$")
-        if words <= PAIRED:
-            different.update(map(b" ".join, zip(lower, lower[1:], strict=False)))
-    return Line(numbers, shape, tuple(different), b" ".join(lower))
+class Lines:
+    """What lines show by themselves: numbers (a row each), shapes, the words of each with their number, and the lines as folded.
+
+    ``odd`` tells which may hold markup, links, addresses or a broken encoding.
+    """
+
+    numbers: np.ndarray
+    shape: np.ndarray
+    words: list[str]
+    size: np.ndarray
+    keys: list[str]
+    odd: np.ndarray
+
+    @classmethod
+    def describe(cls, lines: list[str]) -> Lines:
+        """Of non-blank lines without newlines."""
+        if not lines:
+            return cls(np.zeros((0, 21)), np.zeros(0, dtype=np.int64), [], np.zeros(0, dtype=np.int64), [], np.zeros(0, dtype=bool))
+        text = [x.strip() for x in lines]
+        points = points_of(text)
+        at = np.minimum(points, LIMIT)
+        kind, uses = KIND[at], USES[at]
+        are = lambda use, where=slice(None): (uses[where] & use[0]) > 0
+        keys = folded(points)
+        per = [x.split() for x in keys]
+        words = np.fromiter(map(len, per), dtype=np.int64, count=len(per))
+        different = np.fromiter((len(set(x)) for x in per), dtype=np.int64, count=len(per))
+        n = np.fromiter(map(len, text), dtype=np.int64, count=len(text))
+        after = np.cumsum(n + 1)
+        starts, last = after - n - 1, after - 2
+        count = lambda mask: np.add.reduceat(mask, starts, dtype=np.int64)
+        space, dot = points == 32, are(ENDS)
+        ended = last.copy()
+        while (closed := are(CLOSING, ended) & (ended > starts)).any():
+            ended -= closed
+        end = dot[ended]
+        between = are(BETWEEN)
+        between[1:-1] &= space[:-2] & space[2:]
+        double = np.r_[space[:-1] & space[1:], False]
+        separators = count(between | double | are(ALONE))
+        sentences = count(np.r_[dot[:-1] & space[1:], False]) + end
+        figure = kind == FIGURE
+        digits, symbols, capital = count(figure), count(kind == MARK), count(kind == CAPITAL)
+        letters = n - digits - symbols - count(kind == BLANK)
+        # a bullet, or up to three figures with a dot or bracket, and a blank
+        top = len(points) - 1
+        lead = np.zeros(len(text), dtype=np.int64)
+        for k in range(3):
+            lead += (lead == k) & figure[np.minimum(starts + k, top)]
+        behind = np.minimum(starts + lead, top)
+        mark, gap = points[behind], kind[np.minimum(behind + 1, top)] == BLANK
+        bullet = gap & np.where(lead > 0, (mark == 46) | (mark == 41), are(BULLETS, behind))
+        indent = np.fromiter((len(x) - len(x.lstrip()) if x[0].isspace() else 0 for x in lines), dtype=np.int64, count=len(lines))
+        link = count(spells(points, "http") | spells(points, "www.")) > 0
+        has = lambda c: count(points == ord(c)) > 0
+        some, chars = np.maximum(1, words), np.maximum(1, n)
+        numbers = np.stack([
+            np.log1p(n), words, letters / some, digits / chars, end, separators, separators / some, bullet,
+            capital / some, points[ended] == ord(":"), has("©") | spells(points, "(c)")[starts], has("@"), link, sentences,
+            symbols / chars, indent, kind[starts] == CAPITAL, different / some,
+            figure[last] | (points[last] == ord(")")), figure[starts], has("#"),
+        ], axis=1).astype(float)
+        shape = np.where((sentences > 0) & (words > 5), 4, np.where(bullet, 0, np.where(digits > 0.3 * n, 3, np.where(separators >= 2, 2, 1))))
+        return cls(numbers, shape, list(chain.from_iterable(per)), words, keys, (count(are(ODD) | spells(points, " AT ")) > 0) | link)
+
+    def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, lines) of the words of some lines, lines numbered among the chosen ones."""
+        first = np.cumsum(self.size) - self.size
+        size = self.size[which]
+        line = np.repeat(np.arange(len(which)), size)
+        return first[which][line] + np.arange(len(line)) - (np.cumsum(size) - size)[line], line
 
 
 @dataclass
 class Odds:
-    """Log-odds of tokens and of whole lines, positive for boilerplate."""
+    """Log-odds of words, of first and last words, of pairs of words in short lines, and of whole lines, positive for boilerplate."""
 
-    token: dict[bytes, float]
-    line: dict[bytes, float]
+    number: dict[str, int]
+    word: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    pairs: np.ndarray
+    pair: np.ndarray
+    line: dict[str, float]
 
     @classmethod
-    def count(cls, lines: list[Line], y: np.ndarray, weight: np.ndarray, least: int = 4) -> Odds:
-        pos, neg, lp, ln = Counter(), Counter(), Counter(), Counter()
-        for line, label, w in zip(lines, y, weight, strict=True):
-            if w > 0:
-                (pos if label else neg).update(line.tokens)
-                (lp if label else ln)[line.key] += 1
-        a, b = 0.5 + y[weight > 0].sum(), 0.5 + (1 - y[weight > 0]).sum()
+    def count(cls, lines: Lines, y: np.ndarray, weight: np.ndarray, least: int = 4) -> Odds:
+        """What stands in fewer than ``least`` lines says nothing."""
+        use = np.flatnonzero(weight > 0)
+        at, line = lines.of(use)
+        words = [lines.words[k] for k in at]
+        names = sorted(set(words))
+        number = {w: k for k, w in enumerate(names, 1)}
+        ids = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))
+        label = y[use] > 0
+        a, b = 0.5 + label.sum(), 0.5 + (~label).sum()
         prior = np.log(a / b)
-        odd = lambda p, n: float(np.log((p + 0.5) / (n + 0.5)) - prior)
-        token = {t: odd(pos[t], neg[t]) for t in pos.keys() | neg.keys() if pos[t] + neg[t] >= least}
-        line = {t: odd(lp[t], ln[t]) for t in lp.keys() | ln.keys() if lp[t] + ln[t] >= least}
-        return cls(token, line)
 
-    def of(self, line: Line) -> tuple[float, float, float, float, float]:
-        token = self.token
-        found = [token[t] for t in line.tokens if t in token]
-        if not found:
-            return 0.0, 0.0, 0.0, self.line.get(line.key, 0.0), 0.0
-        return sum(found) / len(found), max(found), min(found), self.line.get(line.key, 0.0), len(found) / len(line.tokens)
+        def odds(keys: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Different keys in at least ``least`` lines, with their odds; a key counts once a line."""
+            if not len(keys):
+                return np.zeros(0, dtype=np.int64), np.zeros(0)
+            once = np.unique(np.stack([keys, of]), axis=1)
+            found, back = np.unique(once[0], return_inverse=True)
+            p = np.bincount(back, weights=label[once[1]], minlength=len(found))
+            total = np.bincount(back, minlength=len(found))
+            keep = total >= least
+            return found[keep], (np.log((p + 0.5) / (total - p + 0.5)) - prior)[keep]
+
+        def table(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
+            out = np.full(len(names) + 1, np.nan)
+            found, value = odds(keys, of)
+            out[found] = value
+            return out
+
+        head, tail, both, pairs = ends(ids, line, lines.size[use], len(names) + 1)
+        kinds, value = odds(pairs, both)
+        whole: dict[str, list[int]] = {}
+        for k, q in zip(use, label, strict=True):
+            whole.setdefault(lines.keys[k], [0, 0])[int(q)] += 1
+        line_odds = {k: float(np.log((p + 0.5) / (n + 0.5)) - prior) for k, (n, p) in whole.items() if n + p >= least}
+        return cls(number, table(ids, line), table(ids[head], line[head]), table(ids[tail], line[tail]), kinds, value, line_odds)
+
+    def of(self, lines: Lines, which: np.ndarray | None = None) -> np.ndarray:
+        """Mean, greatest and least odds of a line's tokens, the whole line's, and the share of its tokens that are known: a row each."""
+        ids = np.fromiter(map(self.number.get, lines.words, repeat(0)), dtype=np.int64, count=len(lines.words))
+        which = np.arange(len(lines.size)) if which is None else which
+        at, line = lines.of(which)
+        ids, n = ids[at], len(which)
+        head, tail, both, pairs = ends(ids, line, lines.size[which], len(self.word))
+        met = np.searchsorted(self.pairs, pairs)
+        met[met == len(self.pairs)] = 0
+        pair = np.where(self.pairs[met] == pairs, self.pair[met], np.nan) if len(self.pairs) else np.full(len(pairs), np.nan)
+        value = np.concatenate([self.word[ids], self.first[ids[head]], self.last[ids[tail]], pair])
+        owner = np.concatenate([line, line[head], line[tail], both])
+        tokens = np.bincount(owner, minlength=n)
+        known = ~np.isnan(value)
+        value, owner = value[known], owner[known]
+        order = np.argsort(owner, kind="stable")
+        value, owner = value[order], owner[order]
+        out = np.zeros((n, 5))
+        if len(value):
+            begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            some = owner[begin]
+            met = np.diff(np.r_[begin, len(value)])
+            out[some, 0] = np.add.reduceat(value, begin) / met
+            out[some, 1], out[some, 2] = np.maximum.reduceat(value, begin), np.minimum.reduceat(value, begin)
+            out[some, 4] = met / tokens[some]
+        out[:, 3] = [self.line.get(lines.keys[k], 0.0) for k in which]
+        return out
+
+
+def ends(ids: np.ndarray, line: np.ndarray, size: np.ndarray, names: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places of first and of last words of lines; lines and numbers of the pairs of neighbours in short ones."""
+    last = np.cumsum(size) - 1
+    some = size > 0
+    near = np.flatnonzero((line[1:] == line[:-1]) & (size[line[1:]] <= PAIRED)) if len(ids) else np.zeros(0, dtype=np.int64)
+    return (last - size + 1)[some], last[some], line[near], ids[near] * names + ids[near + 1] if len(ids) else near
 
 
 def shifted(a: np.ndarray, by: int, page: np.ndarray, fill: float = -9.0) -> np.ndarray:
@@ -147,12 +290,10 @@ def runs(*keys: np.ndarray) -> np.ndarray:
     return np.cumsum(change)
 
 
-def node_features(lines: list[Line], odds: list[tuple[float, ...]], page: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def node_features(lines: Lines, odd: np.ndarray, page: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(features, block numbers) of the non-blank lines of some pages; ``gap`` tells whether a blank line stands before."""
-    own = np.array([x.numbers for x in lines], dtype=float)
-    odd = np.array(odds)
-    shape = np.array([x.shape for x in lines])
-    n = len(lines)
+    own, shape = lines.numbers, lines.shape
+    n = len(shape)
     start = np.flatnonzero(np.r_[True, page[1:] != page[:-1]])
     size = np.diff(np.r_[start, n])
     which = np.repeat(np.arange(len(start)), size)
@@ -245,8 +386,7 @@ def decode(raw: np.ndarray, block: np.ndarray, price: float = 0.6) -> np.ndarray
 class Pages:
     """The non-blank lines of some texts, with their pages, line numbers and descriptions."""
 
-    def __init__(self, texts: list[str | None], cache: dict[str, Line] | None = None):
-        cache = {} if cache is None else cache
+    def __init__(self, texts: list[str | None]):
         self.text, self.page, self.no, self.gap = [], [], [], []
         for p, text in enumerate(texts):
             blank = 0
@@ -260,9 +400,7 @@ class Pages:
                 else:
                     blank = 1
         self.page, self.no, self.gap = np.array(self.page, dtype=np.int64), np.array(self.no, dtype=np.int64), np.array(self.gap, dtype=float)
-        for x in set(self.text).difference(cache):
-            cache[x] = describe(x)
-        self.lines = [cache[x] for x in self.text]
+        self.lines = Lines.describe(self.text)
 
 
 @dataclass
@@ -273,19 +411,16 @@ class Boilerplate:
     first: boosting.Trees
     second: boosting.Trees
 
-    def mark(self, pages: Pages, cache: dict[str, tuple[float, ...]] | None = None) -> np.ndarray:
-        return self.scored(pages, cache)[1]
+    def mark(self, pages: Pages) -> np.ndarray:
+        return self.scored(pages)[1]
 
-    def scored(self, pages: Pages, cache: dict[str, tuple[float, ...]] | None = None) -> tuple[np.ndarray, np.ndarray]:
-        if not pages.lines:
+    def scored(self, pages: Pages) -> tuple[np.ndarray, np.ndarray]:
+        if not pages.text:
             return np.zeros(0), np.zeros(0, dtype=bool)
-        cache = {} if cache is None else cache
-        for x in pages.lines:
-            if x.key not in cache:
-                cache[x.key] = self.odds.of(x)
-        x, block = node_features(pages.lines, [cache[a.key] for a in pages.lines], pages.page, pages.gap)
-        p = self.first.proba(x)
-        raw = self.second.raw(np.concatenate([x, around(p, pages.page, block)], axis=1))
+        x, block = node_features(pages.lines, self.odds.of(pages.lines), pages.page, pages.gap)
+        bins: dict[int, np.ndarray] = {}
+        p = self.first.proba(x, bins)
+        raw = self.second.raw(np.concatenate([x, around(p, pages.page, block)], axis=1), bins)
         return raw, decode(raw, block)
 
 
@@ -301,53 +436,55 @@ def targets(pages: Pages, labels: list[list[str] | None]) -> tuple[np.ndarray, n
     return y, w
 
 
-def train(texts: list[str | None], labels: list[list[str] | None], trees: int = 42) -> Boilerplate:
+def train(texts: list[str | None], labels: list[list[str] | None], trees: int = TREES) -> Boilerplate:
     """Fits on texts with their line labels; whole pages go to one half or the other."""
     usable = [k for k, (t, q) in enumerate(zip(texts, labels, strict=True)) if t and q is not None and len(q) == t.count("\n") + 1]
     pages = Pages([texts[k] for k in usable])
     y, w = targets(pages, [labels[k] for k in usable])
-    half = pages.page % 2
-    odds_of: list[tuple[float, ...]] = [()] * len(pages.lines)
-    for h in (0, 1):
-        # repeated texts must not meet their own statistics: halves are by text as far as pages are different
-        other = Odds.count([x for x, k in zip(pages.lines, half, strict=True) if k != h], y[half != h], w[half != h])
-        for i in np.flatnonzero(half == h):
-            odds_of[i] = other.of(pages.lines[i])
     odds = Odds.count(pages.lines, y, w)
-    if not pages.lines:
+    if not pages.text:
         empty = np.zeros((0, 1))
         return Boilerplate(odds, boosting.fit(empty, y, w), boosting.fit(empty, y, w))
-    x, block = node_features(pages.lines, odds_of, pages.page, pages.gap)
+    half = pages.page % 2
+    odd = np.zeros((len(y), 5))
+    for h in (0, 1):
+        # repeated texts must not meet their own statistics: halves are by text as far as pages are different
+        some = np.flatnonzero(half == h)
+        odd[some] = Odds.count(pages.lines, y, np.where(half != h, w, 0)).of(pages.lines, some)
+    x, block = node_features(pages.lines, odd, pages.page, pages.gap)
     p = np.zeros(len(y))
     for h in (0, 1):
-        p[half == h] = boosting.fit(x[half != h], y[half != h], w[half != h], trees=trees // 3).proba(x[half == h])
-    first = boosting.fit(x, y, w, trees=trees // 3)
+        p[half == h] = boosting.fit(x[half != h], y[half != h], w[half != h], trees=trees // 2).proba(x[half == h])
+    first = boosting.fit(x, y, w, trees=trees // 2)
     second = boosting.fit(np.concatenate([x, around(p, pages.page, block)], axis=1), y, w, trees=trees)
     return Boilerplate(odds, first, second)
 
 
 class Marker:
-    """A model with its memories, for one task after another batch."""
+    """A model for one batch after another."""
 
     def __init__(self, model: Boilerplate):
-        self.model, self.lines, self.odds = model, Bounded(20_000), Bounded(20_000)
+        self.model = model
 
     def __call__(self, texts: list[str | None]) -> tuple[Pages, np.ndarray]:
-        self.lines.trim()
-        self.odds.trim()
-        pages = Pages(texts, self.lines)
-        return pages, self.model.mark(pages, self.odds)
+        pages = Pages(texts)
+        return pages, self.model.mark(pages)
 
 
-def labelled_sample(df: DataFrame, rows: int = PAGES, text: str = "text", labels: str = "line_quality_labels") -> tuple[list[str], list[list[str]]]:
-    """At most ``rows`` different texts whose labels are as many as their lines: what models are fitted on."""
-    found = {}
-    for t, q in sample_pages(df.where(df[text].isNotNull() & df[labels].isNotNull()).select("id", text, labels), [text, labels], rows):
-        if len(q) == t.count("\n") + 1:
+def labelled(rows: Iterable[tuple[str, list[str] | None]]) -> tuple[list[str], list[list[str]]]:
+    """Different texts whose labels are as many as their lines."""
+    found: dict[str, list[str]] = {}
+    for t, q in rows:
+        if q is not None and len(q) == t.count("\n") + 1:
             found.setdefault(t, list(q))
     return list(found), list(found.values())
 
 
+def labelled_sample(df: DataFrame, rows: int = PAGES, text: str = "text", labels: str = "line_quality_labels") -> tuple[list[str], list[list[str]]]:
+    """At most ``rows`` different texts with labels: what models are fitted on. The table is counted by its footers and read once."""
+    return labelled(tuple(r) for r in sample_pages(df.where(df[text].isNotNull() & df[labels].isNotNull()), [text, labels], rows, df.count()))
+
+
 def fit(df: DataFrame, rows: int = PAGES) -> Boilerplate:
     return train(*labelled_sample(df, rows))
 

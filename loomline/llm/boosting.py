@@ -20,26 +20,35 @@ class Trees:
     def binned(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(e, x[:, j], side="right") for j, e in enumerate(self.edges)], axis=1).astype(np.uint8)
 
-    def raw(self, x: np.ndarray) -> np.ndarray:
-        """Log-odds of the positive class."""
+    def raw(self, x: np.ndarray, bins: dict[int, np.ndarray] | None = None) -> np.ndarray:
+        """Log-odds of the positive class. ``bins`` keeps binned features for other trees fitted on the same ones."""
+        bins = {} if bins is None else bins
         out = np.full(len(x), self.base)
         if not len(x) or not len(self.feature):
             return out
         used = np.unique(self.feature)
-        b = np.empty((len(x), len(used)), dtype=np.uint8)
-        for k, j in enumerate(used):
-            b[:, k] = np.searchsorted(self.edges[j], np.nan_to_num(x[:, j].astype(np.float32)), side="right")
-        flat, rows = b.reshape(-1), np.arange(len(b)) * len(used)
-        depth = int(np.log2(self.leaf.shape[1]))
-        for f, c, leaf in zip(np.searchsorted(used, self.feature), self.cut, self.leaf, strict=True):
-            node = np.zeros(len(b), dtype=np.int64)
+        # one row of bins per feature, so that a whole row is written at once; all trees go down a level together, some lines at a time
+        for j in used:
+            if j not in bins:
+                bins[j] = np.searchsorted(self.edges[j], np.nan_to_num(x[:, j].astype(np.float32)), side="right").astype(np.uint8)
+        b = np.stack([bins[j] for j in used])
+        depth, trees = int(np.log2(self.leaf.shape[1])), len(self.feature)
+        f, cut, leaf = np.searchsorted(used, self.feature).astype(np.int32).ravel(), self.cut.astype(np.int32).ravel(), self.leaf.ravel()
+        size, last = self.feature.shape[1], self.leaf.shape[1]
+        base = (np.arange(trees, dtype=np.int32) * size)[:, None]
+        for i in range(0, len(x), 1024):
+            part = np.ascontiguousarray(b[:, i : i + 1024])
+            n = part.shape[1]
+            flat, col = part.ravel(), np.arange(n, dtype=np.int32)
+            node = np.zeros((trees, n), dtype=np.int32)
             for _ in range(depth):
-                node = 2 * node + 1 + (flat[rows + f[node]] > c[node])
-            out += leaf[node - (leaf.size - 1)]
+                at = node + base
+                node = 2 * node + 1 + (flat.take(f.take(at) * n + col) > cut.take(at))
+            out[i : i + 1024] += leaf.take(node - size + (np.arange(trees, dtype=np.int32) * last)[:, None]).sum(axis=0)
         return out
 
-    def proba(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-self.raw(x)))
+    def proba(self, x: np.ndarray, bins: dict[int, np.ndarray] | None = None) -> np.ndarray:
+        return 1 / (1 + np.exp(-self.raw(x, bins)))
 
 
 def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, trees: int = 60, depth: int = 5, rate: float = 0.15, bins: int = 48, ridge: float = 2.0, share: float = 0.35, seed: int = 0) -> Trees:

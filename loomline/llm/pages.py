@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+
 def latest(df: DataFrame, *payload: str, key: str = "id", when: str = "ingest_ts") -> DataFrame:
     """The valid row of each id: the one of latest ``when`` (nulls first), ties by the greatest payload, so that it never varies.
 
@@ -20,13 +21,26 @@ def latest(df: DataFrame, *payload: str, key: str = "id", when: str = "ingest_ts
     return best.select(key, *(F.col(f"__best.{c}").alias(c) for c in payload))
 
 
-def sample_pages(df: DataFrame, columns: list[str], rows: int, key: str = "id", seed: int = 7) -> list:
-    """About ``rows`` rows at most, chosen by hash of the key, for fitting a model on the driver. ``rows`` is the bound."""
-    total = df.count()
-    buckets = 1 << 20
-    share = min(1.0, 0.97 * rows / max(1, total))
-    chosen = df.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(buckets)) < int(share * buckets) + 1)
-    return chosen.select(*columns).limit(rows).collect()
+BUCKETS = 1 << 20
+
+
+def uniform(*columns: str, seed: int = 7) -> Column:
+    """A number in 0..1 by hash of the columns: the same for the same row, and apart for rows whose key repeats or is null."""
+    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(BUCKETS)) / F.lit(BUCKETS)
+
+
+def share_of(rows: int, total: int) -> float:
+    return min(1.0, rows / max(1, total))
+
+
+def sample_pages(df: DataFrame, columns: list[str], rows: int, total: int, key: str = "id", seed: int = 7) -> list:
+    """About ``rows`` of ``total`` rows, never more, chosen by hash of the key and the first column, for fitting a model on the driver.
+
+    One pass; those of least hash stay where the share drew too many, so that the sample is always the same.
+    """
+    drawn = F.xxhash64(F.lit(seed), key, columns[0])
+    chosen = df.where(F.pmod(drawn, F.lit(BUCKETS)) < F.lit(int(share_of(rows, total) * BUCKETS) + 1))
+    return chosen.select(*columns, drawn.alias("__drawn")).orderBy("__drawn", columns[0]).limit(rows).drop("__drawn").collect()
 
 
 def run(df: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, rows: int = 1024) -> DataFrame:

@@ -106,7 +106,7 @@ def p5_body(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with a missing or wrong language, and lines in another language than the body."""
     pages = _pages(spark, sf_dir)
-    told = language.languages(pages.select("id", "ingest_ts", "document_lang", "text"), language.fit(pages), boilerplate.fit(pages))
+    told = language.languages(pages.select("id", "ingest_ts", "document_lang", "text"), *language.fit(pages))
     each = _valid(told, "document_lang", "languages").select("id", "document_lang", F.explode("languages").alias("x"))
     labelled = F.coalesce(F.col("document_lang"), F.lit("")) == F.col("x.lang")
     return each.where((F.col("x.line_no") >= 0) | ~labelled).select("id", "x.line_no", "x.lang")
@@ -116,7 +116,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of each page (line_no -1) and of each passage in another one, with its confidence."""
     pages = _pages(spark, sf_dir)
-    told = language.languages(pages.select("id", "ingest_ts", "text"), language.fit(pages), boilerplate.fit(pages))
+    told = language.languages(pages.select("id", "ingest_ts", "text"), *language.fit(pages))
     return _valid(told, "languages").select("id", F.explode("languages").alias("x")).select("id", "x.*")
 
 

@@ -297,7 +297,7 @@ def fit(documents: DataFrame, labels: DataFrame, areas: DataFrame, body: Boilerp
     subjects = sorted(r[0] for r in areas.select("subject").where(F.col("subject").isNotNull()).distinct().collect())
     votes = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.collect_set("subject").alias("subjects"))
     both = docs.join(broadcast_if_small(votes), "doc_id")
-    rows = sample_pages(both, ["units", "subjects", "lang"], labelled, key="doc_id")
+    rows = sample_pages(both, ["units", "subjects", "lang"], labelled, votes.count(), key="doc_id")
     pages, given = [r["units"] for r in rows], [set(r["subjects"]) for r in rows]
     model = start(vocabulary(docs), pages, given, [r["lang"] for r in rows], subjects)
     return Fitted(docs, map_topics(refine(docs, model), pages, given, subjects))

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from loomline.llm import boilerplate, language
 
 from .test_models import TONGUES, tongue
@@ -14,7 +16,7 @@ def test_hard_passages_are_told(spark):
     model = language.train(pages, more)
     hard = "barnens hus vid flod står i trädgård med hundar och varje barn skrattade mycket"
     bits = model.lengths([language.prepared(hard)])[0] / len(language.prepared(hard).decode())
-    assert 2.8 < bits.min() < language.NATURAL
+    assert 2.8 < bits.min() < language.RANDOM
     mixed = "\n".join([*(tongue(rng, "deu_Latn") for _ in range(4)), hard, "die hunde lachen im haus am garten und spielen"])
     told = language.Teller(model, boilerplate.train([], []))([mixed])[0]
     assert [(i, x) for i, x, _ in told] == [(-1, "deu_Latn"), (4, "swe_Latn")]
@@ -22,6 +24,39 @@ def test_hard_passages_are_told(spark):
 
 
 def test_words_of_one_consonant_and_broken_encoding():
-    assert language.words("в доме с ним к реке") == 5 and language.words("z domu w las", "pol_Latn") == 4 and language.words("z domu w las") == 2
-    assert language.words("Mail: press [at] garnenet [dot] example") == 1
+    words = lambda text, lang=None: language.words(language.prepared(text), lang)
+    assert words("в доме с ним к реке") == 5 and words("z domu w las", "pol_Latn") == 4 and words("z domu w las") == 2
+    assert words("Mail: press [at] garnenet [dot] example") == 1
     assert language.plain("kevÃ¤Ã¤llÃ¤ â€“ kallis") == "keväällä – kallis" and language.plain("Ñandú, Ðe") == "Ñandú, Ðe"
+
+
+def test_figures_and_codes_are_no_language(spark):
+    rng = random.Random(9)
+    pages = [("\n".join(tongue(rng, lang) for _ in range(4)), [lang] * 4, lang) for lang in ["eng_Latn", "deu_Latn", "fin_Latn"] * 80]
+    model = language.train(pages)
+    teller = language.Teller(model, boilerplate.train([], []))
+    codes = "\n".join("".join(rng.choice("0123456789abcdef") for _ in range(4)) + " cead eded fade" for _ in range(12))
+    letters = "\n".join(" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(8)) for _ in range(6))
+    rows = "\n".join(f"{k};{'das haus' if k % 2 else 'die kinder'};{rng.random():.3f};{rng.randrange(1000)};{rng.random():.2f}" for k in range(20))
+    told = teller([codes, letters, rows, "12 34 56", "", None])
+    assert told[0] == told[1] == told[3] == told[4] == told[5] == []
+    assert [(i, x) for i, x, _ in told[2]] == [(-1, "deu_Latn")]
+
+
+def test_index_finds_every_key_and_no_other():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 48, 5000).astype(np.uint64))
+    index = language.Index(keys)
+    assert (index.find(keys) == np.arange(len(keys))).all()
+    other = np.setdiff1d(rng.integers(0, 1 << 48, 5000).astype(np.uint64), keys)
+    assert (index.find(other) == len(keys)).all() and len(language.Index(keys[:0]).find(keys)) == len(keys)
+
+
+def test_sample_bounds(spark):
+    rows = [(str(k), f"the house stands near the river {k}", ["eng_Latn"], "eng_Latn", ["Clean"]) for k in range(400)]
+    rows += [(None, f"das haus steht am fluss {k}", ["deu_Latn"], "deu_Latn", ["Clean"]) for k in range(400)] + [(None, None, None, None, None), ("x", "", [], None, [])]
+    df = spark.createDataFrame(rows, "id string, text string, langs array<string>, document_lang string, line_quality_labels array<string>")
+    a, b = (language.fit(df, rows=200)[0].names for _ in range(2))
+    assert a == b == ["deu_Latn", "eng_Latn"]
+    empty, body = language.fit(df.limit(0))
+    assert empty.names == ["und"] and language.Teller(empty, body)(["some words of a page here"]) == [[]]
