@@ -1,13 +1,17 @@
 """Abusive, hateful and sexually explicit language, by a weighted finite-state grammar.
 
-Three transducers run one after another:
+Transducers are composed one after another:
 
 * characters to plain words: invisible characters, look-alike letters, figures for letters, spaced or stretched letters and masks (``s**m``)
   are undone, the last three only where a word of the lexicon comes out;
-* words to classes: target, insult, insulting adjective, dehumanising noun, threat, expulsion, reported speech and so on, one symbol each;
-* class strings to weights: patterns over the symbols of a sentence, composed of the classes with bounded gaps. Words alone weigh little,
-  clauses count: an insult needs a target or an adjective, hate needs a people, and reported speech takes weight away.
+* words to classes: target, insult, insulting adjective, dehumanising noun, violent verb, people, expulsion, reported speech and so on, one
+  symbol each;
+* negation: reads the classes and marks what stands in the scope of a denied address (``DENIED``);
+* reported speech: marks what stands after a verb or noun of speech in its sentence (``REPORTED``);
+* weighted patterns over the classes: the insult and threat grammar (the greatest weight of its clauses) runs composed with both scopes, the
+  hate grammar and the sexual grammar (sums of weights) have their own negation and report terms.
 
+Words alone weigh little, clauses count: an insult needs a target or an adjective, a threat a speaker and a target, hate a people.
 A page's score is that of its worst sentence; 1 and over is flagged. Null, empty and blank texts score 0.
 """
 
@@ -20,28 +24,49 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from .pages import Bounded, annotate
+from .transducer import Grammar, Machine, Scope
 
 # The lexicon by class, for English, German, French, Spanish, Portuguese and Finnish.
 LEXICON = {
     # insults
-    "I": """idiot idiots moron morons scum bitch bitches whore whores bastard bastards asshole assholes retard retards parasite parasites pig pigs shit dickhead cunt slut
-        wichser arschloch miststück schwein dreck scheiße scheisse hurensohn hure schlampe missgeburt vollidiot idioten
-        imbécil cabrón gilipollas cerdo bastardo mierda puta zorra idiota coño pendejo
-        connard enfoiré abruti ordure pute merde salope crétin bâtard connasse
-        canalha babaca porco desgraçado merda vagabunda cuzão otário
-        ääliö idiootti kusipää mulkku sika lehmä paska huora ämmä""",
+    "I": """idiot idiots moron morons scum bitch bitches whore whores bastard bastards asshole assholes retard retards parasite parasites pig pigs shit dickhead cunt slut twat twats prick pricks wanker wankers scumbag scumbags douchebag dipshit dumbass jackass motherfucker fucker arsehole imbecile cretin lowlife
+        wichser arschloch miststück schwein dreck scheiße scheisse hurensohn hure schlampe missgeburt vollidiot idioten drecksau dreckskerl drecksack fotze spast trottel schwachkopf depp penner
+        imbécil cabrón gilipollas cerdo bastardo mierda puta zorra idiota coño pendejo hijoputa subnormal maricón malnacido
+        connard enfoiré abruti ordure pute merde salope crétin bâtard connasse enculé conne raclure salaud
+        canalha babaca porco desgraçado merda vagabunda cuzão otário arrombado corno vadia
+        ääliö idiootti kusipää mulkku sika lehmä paska huora ämmä runkkari paskiainen""",
     # adjectives that go with them
-    "A": """stupid filthy brainless worthless pathetic disgusting stinking lying ugly fucking dirty rotten
-        hirnloser hirnloses hirnlose wertloses wertloser widerliches widerlicher widerliche erbärmliches erbärmlicher dreckiges dreckiger dreckige dummes verdammtes verdammter
-        asqueroso asquerosa miserable maldito maldita sucio sucia
-        sale immonde minable pauvre sombre
-        nojento nojenta miserável sujo suja
-        likainen surkea saatanan ällöttävä aivoton helvetin""",
+    "A": """stupid filthy brainless worthless pathetic disgusting stinking lying ugly fucking dirty rotten bloody useless goddamn
+        hirnloser hirnloses hirnlose wertloses wertloser widerliches widerlicher widerliche erbärmliches erbärmlicher dreckiges dreckiger dreckige dummes verdammtes verdammter elender elendes dumme
+        asqueroso asquerosa miserable maldito maldita sucio sucia puto
+        sale immonde minable pauvre sombre gros
+        nojento nojenta miserável sujo suja imundo
+        likainen surkea saatanan ällöttävä aivoton helvetin vitun""",
     # whom they are said to
-    "Y": """you your you're du dich dir dein deinem deine tu tú te eres ti t toi tes ton vous espèce você seu sua és sinä sinun sinut olet senkin""",
+    "Y": """you your you're u ya du dich dir dein deinem deine euch ihr tu tú te eres ti os t toi tes ton vous espèce você você's seu sua és sinä sinun sinut sinua teidät olet senkin""",
+    # who says it, with verbs that say "I will"
+    "F": """i i'll i'd i'm we we'll im ich wir werde werden yo nosotros voy vamos je j'vais nous vais eu nós vou minä aion""",
+    # violent verbs, in the forms of a first person or after an auxiliary
+    "J": """murder stab strangle shoot butcher slaughter behead gut gas hang lynch skin slit bash kill
+        umbringen umbringe töte töten abstechen erschieße erschießen erwürge erwürgen erdrosseln aufschlitzen vergasen aufhängen totschlagen
+        mato matar matarte matarlos degollar apuñalar ahorcar destripar fusilar gasear
+        tuer tue égorger étrangler crever poignarder pendre buter gazer
+        matar-te matá-lo esfaquear enforcar estrangular esquartejar
+        tapan tappaa puukotan puukottaa kuristan ammun hirtän""",
+    # being told to be silent or gone
+    "s": """shut cállate callate gueule cala cale turpa klappe maul ferme""",
+    # those spoken of
+    "t": """them they sie los las ellos les eux eles heidät ne""",
     # what calls a people less than human
     "H": """vermin subhuman subhumans untermenschen ungeziefer alimañas infrahumanos vermine sous-hommes vermes sub-humanos syöpäläisiä ali-ihmisiä cockroaches savages abschaum""",
     "h": """rats thieves diebe ratten ladrones ratas voleurs ladrões ratos varkaita rottia""",
+    # peoples and groups by their common names
+    "g": """immigrants immigrant migrants refugees foreigners muslims jews blacks gays lesbians gypsies arabs asylum-seekers
+        ausländer flüchtlinge juden muslime migranten asylanten zigeuner schwule
+        inmigrantes refugiados extranjeros judíos musulmanes negros moros gitanos
+        immigrés migrants réfugiés juifs musulmans noirs arabes étrangers
+        imigrantes refugiados judeus muçulmanos ciganos estrangeiros
+        maahanmuuttajat maahanmuuttajia pakolaiset pakolaisia juutalaiset juutalaisia muslimit muslimeja mutakuonot""",
     # every one of them
     "Q": """all every one alle jeder todos todas cada tous toutes chaque kaikki jokainen""",
     # what shall be done with them
@@ -50,22 +75,25 @@ LEXICON = {
     "M": """ought should must sollte müsste muss habría hay faudrait deveria devem deve deben debe müssen sollten doit doivent devrait pitäisi pitää""",
     "O": """out raus fuera dehors fora ulos""",
     "C": """country land país pays maa""",
-    "N": """not never no pas não isn't aren't ningún nunca jamais kein keine nicht niemals nenhum nunca koskaan kukaan yksikään""",
+    "N": """not never no pas não isn't aren't ain't ningún nunca jamais kein keine nicht niemals nenhum nunca koskaan kukaan yksikään""",
+    # what turns a denial into its contrary: nothing but, no more than
+    "b": """but only just más mais mehr more sólo solo só nur seulement kuin vain""",
     "T": """vote wählen votar voter äänestää""",
     # threats
     "W": """wait warte espero attends odotan find finde encontraré trouverai kill""",
     "B": """bleed bluten sangrar saigner vuodat""",
-    "Z": """beat break smash kill breche schlage romperé romper casser quebrar murskaan""",
-    "U": """up legs neck bones knochen beine piernas jambes pernas jalat""",
+    "Z": """beat break smash breche schlage romperé romper casser quebrar murskaan""",
+    "U": """up legs neck bones throat skull knochen beine genick schädel piernas cuello jambes cou pernas pescoço jalat""",
     "D": """stirb verreck krepier crever crève mueras muérete morra kuolet kuole""",
     # sexual
     "P": """porn porno pornos pornô xxx hardcore pornofilme""",
     "X": """sex sexo sexe seksi seksiä naked nude nudes nackte nackten desnudas peladas nues alastomat horny geile geilen putas putes salopes huorat uncensored tits fucking cocks pussy""",
     "V": """video videos vídeo vídeos vidéo vidéos clips clip cams cam webcam girls women teens frauen mujeres mulheres femmes naiset mädchen chicas contactos contacts kontakte contatos filme filmen
         filmes film films singles amateurs rencontres gratis grátis free ilmaiset ilmaisia gratuit gratuits gratuites kostenlose direct directo direto live vivo suorana adult chat seuraa""",
-    # speech about it
+    # speech about it, and hating as such
     "R": """article reported quotes clinic census chronicle novel court bericht behandelt artikel reportaje artículo reportagem artigo décrit juttu käsittelee""",
-    "r": """reports report vihaa hetze haine odio ódio hate""",
+    "r": """reports report hetze haine ódio""",
+    "L": """hate despise loathe hasse vihaa vihaan odio odiamos déteste hais odeio""",
     "S": """dit déclaré called said says heard told alleged quoted wrote shouted sagte nannte beschimpfte rief schrieb dijo llamó gritó escribió appelait appelé traité disse chamou gritou escreveu sanoi kutsui huusi kirjoitti""",
 }
 # Words that start a sentence with a capital and are no people.
@@ -84,7 +112,7 @@ STEMS = [
 CREATURES = set("""rats mice rabbits foxes pigeons crows insects pests weeds bugs ants wasps beetles termites diseases viruses germs species files animals ratten mäuse füchse tauben insekten schädlinge kaninchen
     ratones conejos zorros palomas insectos plagas hormigas cucarachas animales souris lapins renards insectes nuisibles animaux pragas insetos pombos coelhos raposas animais rotat hiiret jyrsijät hyönteiset tuholaiset eläimet""".split())
 LED = set("the die los las les os as alle all every jeder todos todas tous toutes kaikki chaque cada jokainen".split())
-TRIGGERS = "IPXpHhDBKOTZWE"
+TRIGGERS = frozenset("IPXpHhDBKOTZWEJjL")
 # Letters of other scripts that look like these, and figures put for letters.
 LOOKALIKE = str.maketrans("аеорсухіјѕԁһкмтвнАЕОРСУХІЈЅКМТВНαεοριντκ", "aeopcyxijsdhkmtbhAEOPCYXIJSKMTBHaeopivtk")
 FIGURES = str.maketrans("013457$@!8", "oieastsaib")
@@ -92,6 +120,7 @@ INVISIBLE = re.compile("[​-‏⁠﻿­]")
 TOKEN = re.compile(r"[#@]?[\w$*@!]*[\w$*](?:[-'’][\w$*]+)*|[.!?…,;:\n]+")
 SPACED = re.compile(r"(?<![\w*])\w(?: \w)+(?![\w*])")
 STRETCHED = re.compile(r"(.)\1{2,}")
+FIRST = ("i", "ich", "yo", "je", "eu", "minä")
 
 CLASS_OF = {}
 for _symbol, _words in LEXICON.items():
@@ -102,38 +131,54 @@ MASKED: dict[tuple[int, str, str], list[str]] = {}
 for _w in sorted(SPOKEN, key=lambda w: ("HIPXDBhAV".index(CLASS_OF[w]), w)):  # of words that fit a mask the graver one
     MASKED.setdefault((len(_w), _w[0], _w[-1]), []).append(_w)
 
-# Patterns over symbols with their weights. G is a capitalised word of no other class, "-" any other word; "." ends a sentence.
-CLAUSES = [
-    (re.compile(r"A[^.,]{0,2}I|A,A[^.,]?I"), 1.0),
-    (re.compile(r"Y[^.,]{0,4}I"), 1.0),
-    (re.compile(r"[AI][^.]{0,8}D|Y[^.]{0,2}D"), 1.0),
-    (re.compile(r"W[^.]{0,10}B"), 1.0),
-    (re.compile(r"Z[Y][^.,]?U|W[Y][^.]{0,3}Z[Y]"), 1.0),
-    (re.compile(r"I"), 0.4),
-    (re.compile(r"B[^.]?Y|Y[^.]{0,3}B"), 0.5),
-]
-# What stands before or in a clause and takes its weight away: someone else's words, and a negation of the insult.
-REPORTED = re.compile(r"[RS][^.]*$")
-NEGATED = re.compile(r"Y[^.,]{0,2}N[^.,]{0,2}[AI]|NY[^.,]{0,2}[AI]")
-# Negations that say the very thing: nothing but, no more than.
-BUT = re.compile(r"(?i)\b(?:más que|mais (?:do )?que|passa[sm]? de|mehr als|more than|only|just|but|s[oó]lo|só|nur|seulement|muuta kuin|vain)\b")
-FIRST = ("i", "ich", "yo", "je", "eu", "minä")
-HATE = [
-    (re.compile(r"G[^.]*H"), 0.7), (re.compile(r"G[^.]*h"), 0.4), (re.compile(r"QG|Q-G|Qh|-Q\.|[EK]-Q|Q[^.]?G"), 0.3), (re.compile(r"[Hh][^.]*E|G[^.]*E"), 0.5),
-    (re.compile(r"K[^.]{0,3}G|G[^.]*,K"), 0.5), (re.compile(r"M[^.]{0,2}K"), 0.4), (re.compile(r"G[O]|O[^.]?G"), 0.6), (re.compile(r"O[^.]*C"), 0.5),
-    (re.compile(r"Q-?G[^.]*M[^.]*E|E-?Q-?G"), 0.5), (re.compile(r"N[^.]{0,4}E"), -0.8),
-    (re.compile(r"N"), 0.3), (re.compile(r"T"), 0.4), (re.compile(r"N[^.]*T"), 0.4), (re.compile(r"[Rr]"), -0.8),
-]
-HATEFUL = re.compile(r"[HhKOTE]")
-SEXUAL = [
-    (re.compile(r"p"), 1.2), (re.compile(r"P"), 0.6), (re.compile(r"P[^.]{0,2}[PXV]|[PXV][^.]{0,2}P|P[^.]?[PXV]"), 0.6), (re.compile(r"P.*P"), 0.6),
-    (re.compile(r"X[^.,]?V|V[^.,]{0,1}X|X[^.]{0,4}X"), 1.0), (re.compile(r"[Rr]"), -0.8),
-]
+#: What a class becomes within a scope: the insult grammar has no use for it but for little.
+MARK = {c: chr(ord(c) + 0x400) for c in [*LEXICON, "j"]}
+
+
+def _denial(state: str, symbol: str) -> tuple[str, str]:
+    """Symbols without an arc: an address is remembered for two symbols, a denial holds for three."""
+    if state[0] == "d" and symbol not in ",.":
+        return ("free" if state == "d1" else f"d{int(state[1]) - 1}"), MARK.get(symbol, symbol)
+    return ("y1" if state == "y2" and symbol not in ",." else "free"), symbol
+
+
+# Negation of an address: "you are not", "aren't you"; what follows within three symbols of the clause is denied, unless a but-word comes first.
+DENIED = Scope(
+    {("free", "Y"): ("y2", "Y"), ("y1", "Y"): ("y2", "Y"), ("y2", "Y"): ("y2", "Y"), ("free", "N"): ("n", "N"), ("y1", "N"): ("d3", "N"), ("y2", "N"): ("d3", "N"), ("n", "Y"): ("d3", "Y"), ("n", "N"): ("n", "N")}
+    | {(f"d{k}", "b"): ("free", "b") for k in (1, 2, 3)},
+    _denial, "free",
+)
+# Reported speech: from a verb or noun of speech to the end of the sentence.
+REPORTED = Scope({(s, c): ("told", c) for s in ("own", "told") for c in "RS"} | {(s, "."): ("own", ".") for s in ("own", "told")}, lambda s, c: (s, MARK.get(c, c) if s == "told" else c), "own")
+
+# Patterns over classes with their weights. G is a capitalised word of no other class, "-" any other word; "," and "." end clauses and sentences.
+INSULT = Grammar(
+    [
+        ("A[^.,]{0,2}I|A,A[^.,]?I", 1.0), ("Y[^.,]{0,4}I", 1.0), ("[AI][^.]{0,8}D|Y[^.]{0,2}D", 1.0), ("W[^.]{0,10}B", 1.0), ("Z[Y][^.,]?U|W[Y][^.]{0,3}Z[Y]", 1.0), ("ZYU", 1.0), ("I", 0.4),
+        ("B[^.]?Y|Y[^.]{0,3}B", 0.5), ("F[^.,]{0,3}J[^.,]?Y", 1.0), ("F[^.,]{0,2}j", 1.0), ("FY-?J|YF[^.,]{0,2}J|YJ[.]", 1.0), ("s[^.]{0,3}I|D[^.]{0,2}I", 1.0), ("F[^.,]?Z[^.,]{0,2}[YU]", 1.0), (f"{MARK['I']}", 0.1),
+    ],
+    max,
+)
+HATE = Grammar(
+    [
+        ("[Gg][^.]*H", 0.7), ("[Gg][^.]*h", 0.4), ("Q[Gg]|Q-[Gg]|Qh|-Q[.]|[EK]-Q|Q[^.]?[Gg]", 0.3), ("[Hh][^.]*E|[Gg][^.]*E", 0.5), ("K[^.]{0,3}[Gg]|[Gg][^.]*,K", 0.5), ("M[^.]{0,2}K", 0.4), ("[Gg][O]|O[^.]?[Gg]", 0.6),
+        ("O[^.]*C", 0.5), ("Q-?[Gg][^.]*M[^.]*E|E-?Q-?[Gg]", 0.5), ("N[^.]{0,4}E", -0.8), ("N", 0.3), ("T", 0.4), ("N[^.]*T", 0.4), ("R|r|L", -0.8),
+        # hating a people as such, and violence against one
+        ("g[^.]*H", 0.3), ("g[^.]{0,2}h", 0.3), ("g-?O|O-?g", 0.4), ("E[^.,]{0,2}g", 0.7), ("F-?L-?Q-?[Gg]|F-?L-?g", 1.8), ("[Gg][^.]*J[^.]?t|J-?Q-?[Gg]|J-?g", 1.0),
+    ],
+    sum,
+)
+SEXUAL = Grammar(
+    [("p", 1.2), ("P", 0.6), ("P[^.]{0,2}[PXV]|[PXV][^.]{0,2}P|P[^.]?[PXV]", 0.6), ("P[^.]*P", 0.6), ("X[^.,]?V|V[^.,]{0,1}X|X[^.]{0,4}X", 1.0), ("[RrL]", -0.8)],
+    sum,
+)
+INSULTS, HATES, SEX = Machine(INSULT, REPORTED, DENIED), Machine(HATE), Machine(SEXUAL)
+HATEFUL = frozenset("HhKOTEJL")
 
 
 def plain(token: str) -> tuple[str, bool]:
     """(word, whether it was disguised): the lexicon word behind a token, else the token in lower case."""
-    low = token.lower()
+    low = token.lower().replace("’", "'")
     if low in CLASS_OF:
         return low, False
     some = [low]
@@ -165,9 +210,11 @@ def class_of(token: str) -> str:
     if symbol is None:
         if (c == "#" or len(word) > 10) and COMPOUND.search(word.replace("-", "")):
             return "p"
-        if "-" in word or "'" in word or "’" in word:
-            last = re.split(r"[-'’]", word)[-1]
+        if "-" in word or "'" in word:
+            last = re.split(r"[-']", word)[-1]
             symbol = CLASS_OF.get(last)
+            if symbol == "J" and word.startswith(("t'", "te-")):
+                symbol = "j"
             if symbol is None and last and plain(last)[1]:
                 symbol = CLASS_OF.get(plain(last)[0])
     if symbol is None:
@@ -206,8 +253,6 @@ def symbols(line: str, cache: dict[str, str]) -> str:
             s = "N"
         elif s == "S" and before.lower() in FIRST:
             s = "-"
-        elif s == "N" and BUT.search(line):
-            s = "-" if t.lower() in ("no", "not", "nicht", "não", "pas") else s
         before = t
         out.append(s)
     if "H" in out or "E" in out and any(s == "E" and STEMS[1][0].fullmatch(t.lower()) for s, t in zip(out, tokens, strict=True)):
@@ -219,27 +264,19 @@ def symbols(line: str, cache: dict[str, str]) -> str:
     return "".join(out)
 
 
-def weight(s: str, match: re.Match, w: float) -> float:
-    """Weight of a clause by what stands before it."""
-    if REPORTED.search(s, 0, match.start()) or NEGATED.search(s, max(0, match.start() - 1), match.end()):
-        return max(0.0, w - 0.8)
-    a = match.start()
-    # an adjective and its insult may be denied by what stands before them
-    return max(0.0, w - 0.8) if any(m.end() > a for m in NEGATED.finditer(s)) else w
-
-
 def score(classes: str) -> float:
     """Weight of the worst sentence of a class string."""
     best = 0.0
     for s in classes.split("."):
-        if not any(t in s for t in TRIGGERS):
+        held = frozenset(s)
+        if not held & TRIGGERS:
             continue
         s += "."
-        total = max((weight(s, m, w) for p, w in CLAUSES for m in p.finditer(s)), default=0.0)
-        if "G" in s and HATEFUL.search(s):
-            total = max(total, sum(w for p, w in HATE if p.search(s)))
-        if "p" in s or "P" in s or "X" in s:
-            total = max(total, sum(w for p, w in SEXUAL if p.search(s)))
+        total = INSULTS.score(s)
+        if ("G" in held or "g" in held) and held & HATEFUL:
+            total = max(total, HATES.score(s))
+        if held & {"p", "P", "X"}:
+            total = max(total, SEX.score(s))
         best = max(best, total)
     return best
 
