@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lines import SPACE
+from ..session import broadcast_if_small
 from . import abuse, boilerplate, language, pii, spam, textstats, topics
 from .bpe import token_counts, token_ids
 from .cutoffs import cutoffs, source_name
@@ -34,7 +35,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = latest(table(spark, sf_dir, "annotated").select("id", "ingest_ts", "collection", "quality_scores"), "collection", "quality_scores")
     records = rows.select(source_name(F.col("collection")).alias("source"), F.col("quality_scores").alias("scores"))
     targets = table(spark, sf_dir, "keep_targets").withColumn("source", source_name(F.col("collection")))
-    found = cutoffs(records, targets).join(F.broadcast(targets.select("source", "collection")), "source")
+    found = cutoffs(records, targets).join(broadcast_if_small(targets.select("source", "collection")), "source")
     return found.select("collection", F.round(F.col("cutoff") * 1000).cast("bigint").alias("cutoff_milli"), "kept")
 
 

@@ -7,9 +7,10 @@ from common ground; hand labels may be wrong or missing, so they only start the
 
 Topics are mapped to subjects through their top terms: a topic is given to the subject with whose labelled documents its top terms go, or to
 none where they go with no subject in particular (``inspect`` lists the terms). A document treats a subject when the units that its topic
-proportions and words give to that subject are at least a quarter of all its units.
+proportions and words give to that subject are at least a quarter of all its units: a unit goes to the topic of greatest posterior, which is
+the document's proportion of the topic times the likelihood of the unit's words, against the document's common ground.
 
-Null and empty texts, and texts without words of the vocabulary, treat nothing. Repeated label rows count once. Null subjects mean none.
+Null and empty texts, and texts without words, treat nothing. Repeated label rows count once. Null subjects mean none.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import chain, repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +31,18 @@ from ..session import broadcast_if_small, checkpointed
 from .boilerplate import Boilerplate, Marker
 from .pages import Bounded, annotate, sample_pages
 
-#: Labelled documents that start the topics at most, words of the vocabulary, rounds over all documents.
-LABELLED, WORDS, ROUNDS = 4000, 30_000, 1
-#: A word in more of the documents than this says nothing, in fewer documents than this neither.
+#: Labelled documents that start the topics at most.
+LABELLED = 6000
+#: Words with a place of their own, and places that all other words share by hash, so that every word counts.
+WORDS, SHARED = 30_000, 4096
+#: Rounds over all documents end when the likelihood of their words rises by less than this part of it, at the latest after so many.
+SETTLED, ROUNDS = 0.002, 20
+#: Places met fewer times than this in all documents say nothing of topics.
 LEAST = 3
+#: Share of a topic that stays as labelled documents started it.
+ANCHOR = 0.3
+#: Languages in a smaller part of the labelled documents share topics with each other.
+OWN = 0.02
 SHARE = 0.25
 #: Part of a unit's words that its topic is taken to give.
 MIXED = 0.25
@@ -70,7 +81,7 @@ def units(df: DataFrame, body: Boilerplate, text: str = "text") -> DataFrame:
     return annotate(df, work, "units array<string>", text)
 
 
-def vocabulary(docs: DataFrame, most: int = WORDS, least: int = LEAST) -> list[str]:
+def vocabulary(docs: DataFrame, most: int = WORDS) -> list[str]:
     """The words that stand in most documents. Tasks count before the shuffle; ``most`` bounds what comes to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +96,7 @@ def vocabulary(docs: DataFrame, most: int = WORDS, least: int = LEAST) -> list[s
         if counts:
             yield give()
 
-    rows = docs.select("units").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    rows = docs.select("units").mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     return sorted(r["word"] for r in rows.orderBy(F.desc("n"), "word").limit(most).collect())
 
 
@@ -97,24 +108,29 @@ class Topics:
     beta: np.ndarray
     alpha: np.ndarray
     subjects: list[str | None]
+    #: Likelihood of all words, in bits, before each round over all documents.
+    history: list[float] = field(default_factory=list)
     _odds: tuple | None = None
 
+    def place(self, word: str) -> int:
+        """A word's own place, or the one it shares by hash."""
+        k = self.words.get(word)
+        return k if k is not None else len(self.words) + crc32(word.encode()) % SHARED
+
     def pairs(self, pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, word, count) of the words of the vocabulary."""
-        doc, word, n = [], [], []
-        get = self.words.get
-        for d, page in enumerate(pages):
-            counts = Counter(" ".join(page).split())
-            for w, c in counts.items():
-                k = get(w)
-                if k is not None:
-                    doc.append(d)
-                    word.append(k)
-                    n.append(c)
-        return np.array(doc, dtype=np.int64), np.array(word, dtype=np.int64), np.array(n, dtype=float)
+        """(document, word, count) of all words."""
+        flat = [" ".join(page).split() for page in pages]
+        size = np.fromiter(map(len, flat), dtype=np.int64, count=len(flat))
+        tokens = list(chain.from_iterable(flat))
+        word = np.fromiter(map(self.words.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
+        for k in np.flatnonzero(word < 0):
+            word[k] = self.place(tokens[k])
+        doc = np.repeat(np.arange(len(flat)), size)
+        key, n = np.unique(doc * self.beta.shape[1] + word, return_counts=True)
+        return key // self.beta.shape[1], key % self.beta.shape[1], n.astype(float)
 
     def infer(self, pages: list[list[str]], rounds: int = 6, allowed: np.ndarray | None = None) -> tuple[np.ndarray, tuple]:
-        """Topic proportions of each document, and (word, count x responsibilities). ``allowed`` bars topics of documents."""
+        """Topic proportions of each document, and (word, count x responsibilities, bits of all words). ``allowed`` bars topics of documents."""
         doc, word, n = self.pairs(pages)
         k = len(self.alpha)
         prior = np.broadcast_to(self.alpha, (len(pages), k)) * (1 if allowed is None else allowed)
@@ -124,22 +140,28 @@ class Topics:
         r = np.zeros((len(doc), k), dtype=np.float32)
         has = np.flatnonzero(np.bincount(doc, minlength=len(pages)) > 0)
         begin = np.searchsorted(doc, has)
+        bits = 0.0
         for _ in range(rounds if len(doc) else 0):
             r = theta[doc] * b
-            r *= (n / np.maximum(r.sum(axis=1), 1e-30))[:, None].astype(np.float32)
+            total = np.maximum(r.sum(axis=1), 1e-30)
+            bits = float(-(n * np.log2(total)).sum())
+            r *= (n / total)[:, None].astype(np.float32)
             gamma = prior.copy()
             gamma[has] += np.add.reduceat(r, begin, axis=0)
             theta = gamma / gamma.sum(axis=1, keepdims=True)
-        return theta, (word, r)
+        return theta, (word, r, bits)
 
-    def expected(self, pages: list[list[str]], rounds: int = 6, allowed: np.ndarray | None = None, chunk: int = 256) -> np.ndarray:
-        """Expected counts of each topic's words in some documents, a few documents at a time."""
-        total = np.zeros(self.beta.shape)
+    def expected(self, pages: list[list[str]], rounds: int = 6, allowed: np.ndarray | None = None, chunk: int = 256) -> tuple[np.ndarray, float]:
+        """Expected counts of each topic's words in some documents, a few documents at a time, and the bits of their words."""
+        total, bits = np.zeros(self.beta.shape), 0.0
         for i in range(0, len(pages), chunk):
-            _, (word, r) = self.infer(pages[i : i + chunk], rounds, None if allowed is None else allowed[i : i + chunk])
-            for j in range(len(total)):
-                total[j] += np.bincount(word, weights=r[:, j], minlength=total.shape[1])
-        return total
+            _, (word, r, more) = self.infer(pages[i : i + chunk], rounds, None if allowed is None else allowed[i : i + chunk])
+            bits += more
+            if len(word):
+                order = np.argsort(word, kind="stable")
+                first = np.flatnonzero(np.r_[True, np.diff(word[order]) > 0])
+                total[:, word[order][first]] += np.add.reduceat(r[order], first, axis=0).T
+        return total, bits
 
     def odds(self) -> tuple[list[int], np.ndarray]:
         """(common grounds, log-odds of each word by ground and topic): a unit on a topic mixes the topic's words with the ground's."""
@@ -158,19 +180,17 @@ class Topics:
         theta, _ = self.infer(pages)
         grounds, logs = self.odds()
         out = np.zeros((len(pages), len(self.alpha)))
-        get = self.words.get
-        unit_doc, size, word = [], [], []
-        for d, page in enumerate(pages):
-            for u in page:
-                known = [k for k in map(get, u.split()) if k is not None]
-                word += known
-                size.append(len(known))
-                unit_doc.append(d)
+        split = [u.split() for page in pages for u in page]
+        size = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        unit_doc = np.repeat(np.arange(len(pages)), [len(page) for page in pages])
+        tokens = list(chain.from_iterable(split))
+        word = np.fromiter(map(self.words.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
+        for k in np.flatnonzero(word < 0):
+            word[k] = self.place(tokens[k])
         total = len(size)
         if not total or not grounds:
             return out
         unit = np.repeat(np.arange(total), size)
-        word, unit_doc = np.array(word, dtype=np.int64), np.array(unit_doc, dtype=np.int64)
         main = theta[:, grounds].argmax(axis=1)
         of = main[unit_doc[unit]]
         score = np.stack([np.bincount(unit, weights=logs[of, j, word], minlength=total) for j in range(len(self.alpha))], axis=1)
@@ -182,22 +202,28 @@ class Topics:
         return out / np.maximum(1, np.bincount(unit_doc, minlength=len(pages)))[:, None]
 
 
-def smoothed(counts: np.ndarray, eta: float = 0.002) -> np.ndarray:
-    beta = counts + eta
-    return (beta / beta.sum(axis=1, keepdims=True)).astype(np.float32)
+def smoothed(counts: np.ndarray, least: float = LEAST, eta: float = 0.002) -> np.ndarray:
+    """Word probabilities of topics. What was met fewer than ``least`` times says nothing: it is as likely under all topics, whatever their size."""
+    size, met = counts.sum(axis=1, keepdims=True), counts.sum(axis=0)
+    even = size / max(float(size.sum()), 1e-30)
+    beta = np.where(met < least - 1e-6, (met + 1e-6) * even, counts + eta)
+    total = beta.sum(axis=1, keepdims=True)
+    return np.where(total > 0, beta / np.maximum(total, 1e-30), 1 / counts.shape[1]).astype(np.float32)
 
 
 def start(words: list[str], pages: list[list[str]], labels: list[set[str]], langs: list[str | None], subjects: list[str], rounds: int = 10) -> Topics:
-    """Topics from labelled documents: one per subject and main language, and one of common ground per language.
+    """Topics from labelled documents: one per subject and language, and one of common ground per language; rare languages count as one together.
 
     A subject's topic starts with the words that its documents hold beyond what their language lets expect; a document's words then come from
     the topics of its labels or from the grounds. Topics are apart by language because a word's weight would otherwise fall with the share of
     its language in the corpus.
     """
     index = {w: k for k, w in enumerate(words)}
-    width = max(1, len(words))
+    width = len(words) + SHARED
     often = Counter(x for x in langs if x)
-    main = [x for x, n in often.items() if n >= 0.02 * sum(often.values())] or [None]
+    own = [x for x, n in often.items() if n >= OWN * sum(often.values())]
+    rest = set(often) - set(own)
+    main: list[str | None] = [*own, "other"] if rest else own or [None]
     n_s, n_l = len(subjects), len(main)
     k = n_l * (n_s + 1)
     alpha = np.r_[np.full(n_l * n_s, 0.1), np.full(n_l, 0.3)]
@@ -213,7 +239,7 @@ def start(words: list[str], pages: list[list[str]], labels: list[set[str]], lang
     if not len(doc):
         return model
     tokens = np.bincount(doc, weights=n, minlength=len(pages))
-    of = np.array([main.index(x) if x in main else -1 for x in langs])
+    of = np.array([own.index(x) if x in own else len(own) if x in rest else -1 for x in langs])
     counts = np.zeros((k, width))
     for j in range(n_l):
         at = of[doc] == j
@@ -224,41 +250,54 @@ def start(words: list[str], pages: list[list[str]], labels: list[set[str]], lang
             mine = (allowed[:, j * n_s + i] > 0) & (of == j)
             at = mine[doc]
             counts[j * n_s + i] = np.maximum(0, np.bincount(word[at], weights=n[at], minlength=width) - 1.3 * tokens[mine].sum() * ground[j])
-    model.beta = smoothed(counts)
+    model.beta = smoothed(counts, 1)
     for _ in range(rounds):
-        model.beta = smoothed(model.expected(pages, 4, allowed))
+        model.beta = smoothed(model.expected(pages, 4, allowed)[0], 1e-3)
     return model
 
 
-def refine(docs: DataFrame, model: Topics, rounds: int = ROUNDS, keep: float = 50.0) -> Topics:
-    """Rounds of expectation-maximisation over all documents; the topics so far weigh as much as ``keep`` words a word of theirs."""
-    k = len(model.alpha)
+def refine(docs: DataFrame, model: Topics, rounds: int = ROUNDS, settled: float = SETTLED, anchor: float = ANCHOR) -> Topics:
+    """Rounds of expectation-maximisation over all documents until the likelihood of their words settles.
+
+    The topics that labelled documents started are the prior: a share ``anchor`` of each topic stays with its start, so that it goes on being
+    about its subject. What comes to the driver in a round is a row per word of the vocabulary.
+    """
+    k, begin = len(model.alpha), model.beta
     columns = [f"c{j}" for j in range(k)]
+    schema = "word bigint, " + ", ".join(f"{c} double" for c in columns)
+    history: list[float] = []
     for _ in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast(model)
 
         def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             topics = shared.value
-            total = np.zeros(topics.beta.shape)
+            total, bits = np.zeros(topics.beta.shape), 0.0
             for batch in batches:
-                total += topics.expected(batch.column(0).to_pylist())
+                counts, more = topics.expected(batch.column(0).to_pylist())
+                total += counts
+                bits += more
             at = np.flatnonzero(total.sum(axis=0) > 0)
             if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(total[j, at]) for j in range(k))], names=["word", *columns])
+                # the bits of all words travel as word -1
+                yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1]), *(pa.array(np.r_[total[j, at], bits if j == 0 else 0.0]) for j in range(k))], names=["word", *columns])
 
-        schema = "word bigint, " + ", ".join(f"{c} double" for c in columns)
         summed = docs.select("units").mapInArrow(expect, schema).groupBy("word").agg(*(F.sum(c).alias(c) for c in columns)).toArrow()
-        counts = np.zeros(model.beta.shape)
+        counts, word = np.zeros(model.beta.shape), summed.column("word").to_numpy()
+        own = word >= 0
         for j, c in enumerate(columns):
-            counts[j, summed.column("word").to_numpy()] = summed.column(c).to_numpy()
-        model = Topics(model.words, smoothed(counts + keep * model.beta), model.alpha, model.subjects)
+            counts[j, word[own]] = summed.column(c).to_numpy()[own]
+        history.append(float(summed.column("c0").to_numpy()[~own].sum()))
+        model = Topics(model.words, ((1 - anchor) * smoothed(counts) + anchor * begin).astype(np.float32), model.alpha, model.subjects, history)
+        if history[-1] == 0 or len(history) > 1 and history[-2] - history[-1] < settled * history[-2]:
+            break
     return model
 
 
 def top_terms(model: Topics, n: int = TOP) -> list[list[str]]:
     """The terms of each topic that stand out most against all topics."""
     words = np.array(list(model.words), dtype=object)
-    lift = model.beta * np.log(model.beta / model.beta.mean(axis=0))
+    beta = model.beta[:, : len(words)]
+    lift = beta * np.log(beta / np.maximum(beta.mean(axis=0), 1e-30))
     return [words[[k for k in np.argsort(-row, kind="stable")[:n] if row[k] > 0]].tolist() for row in lift]
 
 
@@ -282,7 +321,7 @@ def map_topics(model: Topics, pages: list[list[str]], labels: list[set[str]], su
         found.append(subjects[best] if len(subjects) and mean[best] >= even + 0.22 * (1 - even) else None)
     if all(s is not None for s in found):
         found[-1] = None  # without any common ground a unit could not be on no subject
-    return Topics(model.words, model.beta, model.alpha, found)
+    return Topics(model.words, model.beta, model.alpha, found, model.history)
 
 
 @dataclass

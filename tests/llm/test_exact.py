@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from loomline.llm.bpe import PATTERN, TOKENIZERS, Encoder, token_counts, token_ids
 from loomline.llm.cutoffs import cutoffs, source_name
+from loomline.llm import packing
 from loomline.llm.packing import best_fit, fill_report, pack, pack_items
 from loomline.llm.pages import latest
 
@@ -132,3 +133,37 @@ def test_pack_items(spark):
                 assert len(got) == max(1, -(-n // cap)) and sum(x[2] for x in got) == n and [x[1] for x in got] == [cap * k for k in range(len(got))]
     assert all(r.used <= 1 for r in fill_report(out, specs).collect())
     assert pack_items(df.limit(0), specs).count() == 0
+
+
+def test_search_ends_where_no_exchange_gains():
+    """Against brute force over all moves, exchanges and pairs of the containers that are not full."""
+    import itertools
+
+    rng = np.random.default_rng(8)
+    for _ in range(20):
+        capacity = int(rng.integers(20, 60))
+        sizes = rng.integers(1, capacity + 1, 40)
+        bins = packing.improve(sizes, packing.best_fit(sizes, capacity), capacity)
+        fill = np.bincount(bins, weights=sizes).astype(int)
+        assert fill.max() <= capacity and bins.max() + 1 <= packing.best_fit(sizes, capacity).max() + 1
+        if len(fill) == -(-sizes.sum() // capacity):
+            continue
+        for donor, to in itertools.permutations(range(len(fill)), 2):
+            if fill[donor] == capacity or fill[to] == capacity or fill[to] < fill[donor]:
+                continue
+            own, other = sizes[bins == donor], sizes[bins == to]
+            room = capacity - fill[to]
+            assert own.min() > room
+            gains = [a - c for a in own for c in other] + [a + b - c for a, b in itertools.combinations(own, 2) for c in other]
+            assert not any(0 < g <= room for g in gains)
+
+
+def test_one_key_in_all_rows_is_spread_over_shards(spark):
+    rows = spark.createDataFrame([(None if k % 2 else 7, 5) for k in range(900)], "doc_id bigint, n_tokens bigint")
+    specs = spark.createDataFrame([(1, 50)], "spec_id int, capacity int")
+    got = packing.pack_items(rows, specs, shard_items=100).toPandas()
+    assert len(got) == 900 and got.n_tokens.sum() == 4500
+    per = got.groupby(got.container.str.split("-").str[0]).size()
+    assert len(per) == 9 and per.max() < 200
+    report = packing.fill_report(packing.pack_items(rows, specs), specs).first()
+    assert report.least == 90 and report.containers == 90 and report.used == 1.0
