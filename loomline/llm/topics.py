@@ -17,19 +17,20 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain, repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, checkpointed
 from .boilerplate import Boilerplate, Marker
-from .pages import Bounded, annotate, sample_pages
+from .pages import Bounded, annotate, run, sample_pages
 
 #: Labelled documents that start the topics at most.
 LABELLED = 6000
@@ -39,6 +40,10 @@ WORDS, SHARED = 30_000, 4096
 SETTLED, ROUNDS = 0.002, 20
 #: Places met fewer times than this in all documents say nothing of topics.
 LEAST = 3
+#: A document is explained by topics of the languages that hold at least this part of its words.
+PART = 0.05
+#: Expected counts of a word in a topic that a task's documents leave below this are not sent on.
+FAINT = 1e-3
 #: Share of a topic that stays as labelled documents started it.
 ANCHOR = 0.3
 #: Languages in a smaller part of the labelled documents share topics with each other.
@@ -100,6 +105,30 @@ def vocabulary(docs: DataFrame, most: int = WORDS) -> list[str]:
     return sorted(r["word"] for r in rows.orderBy(F.desc("n"), "word").limit(most).collect())
 
 
+@dataclass
+class Coded:
+    """Documents as places of words: all words one after another with the bounds of documents, sizes of all units with theirs."""
+
+    word: np.ndarray
+    bound: np.ndarray
+    size: np.ndarray
+    unit_bound: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.bound) - 1
+
+    def part(self, i: int, j: int) -> Coded:
+        j = min(j, len(self))
+        return Coded(self.word[self.bound[i] : self.bound[j]], self.bound[i : j + 1] - self.bound[i], self.size[self.unit_bound[i] : self.unit_bound[j]], self.unit_bound[i : j + 1] - self.unit_bound[i])
+
+    @classmethod
+    def read(cls, batch: pa.RecordBatch) -> Coded:
+        """From the columns ``ids`` and ``sizes``."""
+        ids, sizes = batch.column("ids"), batch.column("sizes")
+        ends = lambda x: np.r_[0, np.cumsum(pc.list_value_length(x).to_numpy(zero_copy_only=False))].astype(np.int64)
+        return cls(ids.flatten().to_numpy().astype(np.int64), ends(ids), sizes.flatten().to_numpy().astype(np.int64), ends(sizes))
+
+
 @dataclass
 class Topics:
     """Topic-word probabilities (topics x words), the last topics being common ground, and the subject of each topic."""
@@ -110,96 +139,139 @@ class Topics:
     subjects: list[str | None]
     #: Likelihood of all words, in bits, before each round over all documents.
     history: list[float] = field(default_factory=list)
+    #: Number of the language that each topic belongs to.
+    block: np.ndarray | None = None
     _odds: tuple | None = None
+    _of_word: np.ndarray | None = None
 
     def place(self, word: str) -> int:
         """A word's own place, or the one it shares by hash."""
         k = self.words.get(word)
         return k if k is not None else len(self.words) + crc32(word.encode()) % SHARED
 
-    def pairs(self, pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, word, count) of all words."""
-        flat = [" ".join(page).split() for page in pages]
-        size = np.fromiter(map(len, flat), dtype=np.int64, count=len(flat))
-        tokens = list(chain.from_iterable(flat))
+    def coded(self, pages: list[list[str]]) -> Coded:
+        split = [u.split() for page in pages for u in page]
+        size = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        tokens = list(chain.from_iterable(split))
         word = np.fromiter(map(self.words.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
         for k in np.flatnonzero(word < 0):
             word[k] = self.place(tokens[k])
-        doc = np.repeat(np.arange(len(flat)), size)
-        key, n = np.unique(doc * self.beta.shape[1] + word, return_counts=True)
-        return key // self.beta.shape[1], key % self.beta.shape[1], n.astype(float)
+        unit_bound = np.r_[0, np.cumsum(np.fromiter(map(len, pages), dtype=np.int64, count=len(pages)))].astype(np.int64)
+        return Coded(word, np.r_[0, np.cumsum(size)][unit_bound].astype(np.int64), size, unit_bound)
 
-    def infer(self, pages: list[list[str]], rounds: int = 6, allowed: np.ndarray | None = None) -> tuple[np.ndarray, tuple]:
-        """Topic proportions of each document, and (word, count x responsibilities, bits of all words). ``allowed`` bars topics of documents."""
-        doc, word, n = self.pairs(pages)
+    def pairs(self, docs: Coded) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, word, count) of all words."""
+        width = self.beta.shape[1]
+        key, n = np.unique(np.repeat(np.arange(len(docs)), np.diff(docs.bound)) * width + docs.word, return_counts=True)
+        return key // width, key % width, n.astype(float)
+
+    def parts(self, doc: np.ndarray, word: np.ndarray, n: np.ndarray, docs: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(documents, their rows, topics): documents by the languages that hold at least PART of their words, with the topics of those."""
+        if self.block is None or self.block.max() == 0:
+            yield np.arange(docs), np.arange(len(doc)), np.arange(len(self.alpha))
+            return
+        languages = int(self.block.max()) + 1
+        if self._of_word is None:
+            grounds = np.stack([self.beta[self.block == j][-1] for j in range(languages)])
+            self._of_word = grounds.argmax(axis=0)
+        held = np.bincount(doc * languages + self._of_word[word], weights=n, minlength=docs * languages).reshape(docs, languages)
+        uses = held >= np.maximum(PART * held.sum(axis=1, keepdims=True), 1e-9)
+        uses[np.arange(docs), held.argmax(axis=1)] = True
+        sets, of = np.unique(uses, axis=0, return_inverse=True)
+        for k, some in enumerate(sets):
+            own = np.flatnonzero(of == k)
+            yield own, np.flatnonzero((of == k)[doc]), np.flatnonzero(some[self.block])
+
+    def infer(self, docs: Coded, rounds: int = 6, allowed: np.ndarray | None = None) -> tuple[np.ndarray, list[tuple], float]:
+        """Topic proportions of each document; (words, topics, count x responsibilities) of its parts; bits of all words.
+
+        ``allowed`` bars topics of documents, and looks at all languages.
+        """
+        doc, word, n = self.pairs(docs)
         k = len(self.alpha)
-        prior = np.broadcast_to(self.alpha, (len(pages), k)) * (1 if allowed is None else allowed)
-        prior = prior.astype(np.float32)
-        theta = prior / prior.sum(axis=1, keepdims=True)
-        b = self.beta.T[word]
-        r = np.zeros((len(doc), k), dtype=np.float32)
-        has = np.flatnonzero(np.bincount(doc, minlength=len(pages)) > 0)
-        begin = np.searchsorted(doc, has)
-        bits = 0.0
-        for _ in range(rounds if len(doc) else 0):
-            r = theta[doc] * b
-            total = np.maximum(r.sum(axis=1), 1e-30)
-            bits = float(-(n * np.log2(total)).sum())
-            r *= (n / total)[:, None].astype(np.float32)
-            gamma = prior.copy()
-            gamma[has] += np.add.reduceat(r, begin, axis=0)
-            theta = gamma / gamma.sum(axis=1, keepdims=True)
-        return theta, (word, r, bits)
-
-    def expected(self, pages: list[list[str]], rounds: int = 6, allowed: np.ndarray | None = None, chunk: int = 256) -> tuple[np.ndarray, float]:
+        theta = np.zeros((len(docs), k), dtype=np.float32)
+        theta[:] = self.alpha / self.alpha.sum()
+        found, bits = [], 0.0
+        parts = self.parts(doc, word, n, len(docs)) if allowed is None else [(np.arange(len(docs)), np.arange(len(doc)), np.arange(k))]
+        for own, rows, topics in parts:
+            if not len(rows):
+                continue
+            prior = (np.broadcast_to(self.alpha[topics], (len(own), len(topics))) * (1 if allowed is None else allowed)).astype(np.float32)
+            share = prior / prior.sum(axis=1, keepdims=True)
+            at, w, count = np.searchsorted(own, doc[rows]), word[rows], n[rows].astype(np.float32)
+            b = self.beta[np.ix_(topics, w)].T
+            begin = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+            has, logs = at[begin], None
+            for _ in range(rounds):
+                r = share[at] * b
+                logs = np.maximum(r.sum(axis=1), 1e-30)
+                r *= (count / logs)[:, None]
+                gamma = prior.copy()
+                gamma[has] += np.add.reduceat(r, begin, axis=0)
+                share = gamma / gamma.sum(axis=1, keepdims=True)
+            theta[own] = 0
+            theta[np.ix_(own, topics)] = share
+            bits -= float((count * np.log2(logs)).sum())
+            found.append((w, topics, r))
+        return theta, found, bits
+
+    def expected(self, docs: Coded, rounds: int = 6, allowed: np.ndarray | None = None, chunk: int = 256) -> tuple[np.ndarray, float]:
         """Expected counts of each topic's words in some documents, a few documents at a time, and the bits of their words."""
-        total, bits = np.zeros(self.beta.shape), 0.0
-        for i in range(0, len(pages), chunk):
-            _, (word, r, more) = self.infer(pages[i : i + chunk], rounds, None if allowed is None else allowed[i : i + chunk])
+        total, bits = np.zeros(self.beta.shape, dtype=np.float32), 0.0
+        for i in range(0, len(docs), chunk):
+            _, found, more = self.infer(docs.part(i, i + chunk), rounds, None if allowed is None else allowed[i : i + chunk])
             bits += more
-            if len(word):
+            for word, topics, r in found:
                 order = np.argsort(word, kind="stable")
                 first = np.flatnonzero(np.r_[True, np.diff(word[order]) > 0])
-                total[:, word[order][first]] += np.add.reduceat(r[order], first, axis=0).T
+                total[np.ix_(topics, word[order][first])] += np.add.reduceat(r[order], first, axis=0).T
         return total, bits
 
     def odds(self) -> tuple[list[int], np.ndarray]:
-        """(common grounds, log-odds of each word by ground and topic): a unit on a topic mixes the topic's words with the ground's."""
+        """(common grounds, log-odds by ground, word and topic): a unit on a topic mixes the topic's words with the ground's."""
         if self._odds is None:
             grounds = [j for j, s in enumerate(self.subjects) if s is None]
             mean = self.beta.mean(axis=0)
             base = [np.log(0.98 * self.beta[g] + 0.02 * mean) for g in grounds]
-            self._odds = grounds, np.stack([np.log(MIXED * self.beta + (1 - MIXED) * self.beta[g]) - b for g, b in zip(grounds, base, strict=True)]).astype(np.float32)
+            self._odds = grounds, np.ascontiguousarray(np.stack([np.log(MIXED * self.beta + (1 - MIXED) * self.beta[g]) - b for g, b in zip(grounds, base, strict=True)]).astype(np.float32).transpose(0, 2, 1))
         return self._odds
 
-    def shares(self, pages: list[list[str]]) -> np.ndarray:
+    def shares(self, coded: Coded) -> np.ndarray:
         """Share of each document's units given to each topic.
 
         A unit's odds against the document's common ground, with the document's topic proportions as prior, decide.
         """
-        theta, _ = self.infer(pages)
+        theta, _, _ = self.infer(coded)
         grounds, logs = self.odds()
-        out = np.zeros((len(pages), len(self.alpha)))
-        split = [u.split() for page in pages for u in page]
-        size = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-        unit_doc = np.repeat(np.arange(len(pages)), [len(page) for page in pages])
-        tokens = list(chain.from_iterable(split))
-        word = np.fromiter(map(self.words.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
-        for k in np.flatnonzero(word < 0):
-            word[k] = self.place(tokens[k])
-        total = len(size)
-        if not total or not grounds:
+        docs = len(coded)
+        out = np.zeros((docs, len(self.alpha)))
+        size, word = coded.size, coded.word
+        unit_doc = np.repeat(np.arange(docs), np.diff(coded.unit_bound))
+        if not len(size) or not grounds:
             return out
-        unit = np.repeat(np.arange(total), size)
+        unit = np.repeat(np.arange(len(size)), size)
         main = theta[:, grounds].argmax(axis=1)
-        of = main[unit_doc[unit]]
-        score = np.stack([np.bincount(unit, weights=logs[of, j, word], minlength=total) for j in range(len(self.alpha))], axis=1)
-        score += np.log(np.maximum(theta[unit_doc], 1e-3)) - np.log(np.maximum(theta[:, grounds].sum(axis=1)[unit_doc], 1e-2))[:, None]
-        score[:, grounds] = 0
-        best = score.argmax(axis=1)
-        hit = score[np.arange(total), best] > 1.0
-        np.add.at(out, (unit_doc[hit], best[hit]), 1)
-        return out / np.maximum(1, np.bincount(unit_doc, minlength=len(pages)))[:, None]
+        used = theta > 0
+        sets, of = np.unique(used, axis=0, return_inverse=True)
+        for k, some in enumerate(sets):
+            topics = np.flatnonzero(some)
+            units = np.flatnonzero((of == k)[unit_doc])
+            at = np.flatnonzero((of == k)[unit_doc][unit])
+            if not len(units):
+                continue
+            local, w = np.searchsorted(units, unit[at]), word[at]
+            rows = logs[main[unit_doc[unit[at]]][:, None], w[:, None], topics]
+            score = np.zeros((len(units), len(topics)))
+            if len(at):
+                begin = np.flatnonzero(np.r_[True, local[1:] != local[:-1]])
+                score[local[begin]] = np.add.reduceat(rows, begin, axis=0)
+            owner = unit_doc[units]
+            score += np.log(np.maximum(theta[np.ix_(owner, topics)], 1e-3)) - np.log(np.maximum(theta[:, grounds].sum(axis=1)[owner], 1e-2))[:, None]
+            score[:, np.isin(topics, grounds)] = 0
+            best = score.argmax(axis=1)
+            hit = score[np.arange(len(units)), best] > 1.0
+            np.add.at(out, (owner[hit], topics[best[hit]]), 1)
+        return out / np.maximum(1, np.bincount(unit_doc, minlength=docs))[:, None]
 
 
 def smoothed(counts: np.ndarray, least: float = LEAST, eta: float = 0.002) -> np.ndarray:
@@ -228,8 +300,9 @@ def start(words: list[str], pages: list[list[str]], labels: list[set[str]], lang
     k = n_l * (n_s + 1)
     alpha = np.r_[np.full(n_l * n_s, 0.1), np.full(n_l, 0.3)]
     # topics by language then subject, the grounds last
-    model = Topics(index, np.full((k, width), 1.0 / width), alpha, [*subjects * n_l, *[None] * n_l])
-    doc, word, n = model.pairs(pages)
+    model = Topics(index, np.full((k, width), 1.0 / width), alpha, [*subjects * n_l, *[None] * n_l], block=np.r_[np.repeat(np.arange(n_l), n_s), np.arange(n_l)])
+    coded = model.coded(pages)
+    doc, word, n = model.pairs(coded)
     allowed = np.zeros((len(pages), k))
     allowed[:, n_l * n_s :] = 1
     for d, some in enumerate(labels):
@@ -252,7 +325,7 @@ def start(words: list[str], pages: list[list[str]], labels: list[set[str]], lang
             counts[j * n_s + i] = np.maximum(0, np.bincount(word[at], weights=n[at], minlength=width) - 1.3 * tokens[mine].sum() * ground[j])
     model.beta = smoothed(counts, 1)
     for _ in range(rounds):
-        model.beta = smoothed(model.expected(pages, 4, allowed)[0], 1e-3)
+        model.beta = smoothed(model.expected(coded, 4, allowed)[0], 1e-3)
     return model
 
 
@@ -260,11 +333,9 @@ def refine(docs: DataFrame, model: Topics, rounds: int = ROUNDS, settled: float
     """Rounds of expectation-maximisation over all documents until the likelihood of their words settles.
 
     The topics that labelled documents started are the prior: a share ``anchor`` of each topic stays with its start, so that it goes on being
-    about its subject. What comes to the driver in a round is a row per word of the vocabulary.
+    about its subject. What comes to the driver in a round is a number per word and topic, bounded by the vocabulary.
     """
-    k, begin = len(model.alpha), model.beta
-    columns = [f"c{j}" for j in range(k)]
-    schema = "word bigint, " + ", ".join(f"{c} double" for c in columns)
+    k, begin, width = len(model.alpha), model.beta, model.beta.shape[1]
     history: list[float] = []
     for _ in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -273,21 +344,21 @@ def refine(docs: DataFrame, model: Topics, rounds: int = ROUNDS, settled: float
             topics = shared.value
             total, bits = np.zeros(topics.beta.shape), 0.0
             for batch in batches:
-                counts, more = topics.expected(batch.column(0).to_pylist())
+                counts, more = topics.expected(Coded.read(batch))
                 total += counts
                 bits += more
-            at = np.flatnonzero(total.sum(axis=0) > 0)
+            # only cells that got something; the bits of all words travel as cell -1
+            at = np.flatnonzero(total.ravel() > FAINT)
             if len(at):
-                # the bits of all words travel as word -1
-                yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1]), *(pa.array(np.r_[total[j, at], bits if j == 0 else 0.0]) for j in range(k))], names=["word", *columns])
-
-        summed = docs.select("units").mapInArrow(expect, schema).groupBy("word").agg(*(F.sum(c).alias(c) for c in columns)).toArrow()
-        counts, word = np.zeros(model.beta.shape), summed.column("word").to_numpy()
-        own = word >= 0
-        for j, c in enumerate(columns):
-            counts[j, word[own]] = summed.column(c).to_numpy()[own]
-        history.append(float(summed.column("c0").to_numpy()[~own].sum()))
-        model = Topics(model.words, ((1 - anchor) * smoothed(counts) + anchor * begin).astype(np.float32), model.alpha, model.subjects, history)
+                yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1]), pa.array(np.r_[total.ravel()[at], bits])], names=["cell", "n"])
+
+        summed = docs.select("ids", "sizes").mapInArrow(expect, "cell bigint, n double").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        cell, n = summed.column("cell").to_numpy(), summed.column("n").to_numpy()
+        counts = np.zeros(k * width)
+        counts[cell[cell >= 0]] = n[cell >= 0]
+        history.append(float(n[cell < 0].sum()))
+        beta = ((1 - anchor) * smoothed(counts.reshape(k, width)) + anchor * begin).astype(np.float32)
+        model = Topics(model.words, beta, model.alpha, model.subjects, history, model.block)
         if history[-1] == 0 or len(history) > 1 and history[-2] - history[-1] < settled * history[-2]:
             break
     return model
@@ -321,7 +392,7 @@ def map_topics(model: Topics, pages: list[list[str]], labels: list[set[str]], su
         found.append(subjects[best] if len(subjects) and mean[best] >= even + 0.22 * (1 - even) else None)
     if all(s is not None for s in found):
         found[-1] = None  # without any common ground a unit could not be on no subject
-    return Topics(model.words, model.beta, model.alpha, found, model.history)
+    return Topics(model.words, model.beta, model.alpha, found, model.history, model.block)
 
 
 @dataclass
@@ -331,7 +402,7 @@ class Fitted:
 
 
 def fit(documents: DataFrame, labels: DataFrame, areas: DataFrame, body: Boilerplate, labelled: int = LABELLED) -> Fitted:
-    """The topics of all documents, and the documents' units, written once to the checkpoint folder and used by every later pass."""
+    """The topics of all documents, and the documents as places of words, written once to the checkpoint folder and used by every later pass."""
     docs = checkpointed(units(documents.select("doc_id", "lang", "text"), body))
     subjects = sorted(r[0] for r in areas.select("subject").where(F.col("subject").isNotNull()).distinct().collect())
     votes = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.collect_set("subject").alias("subjects"))
@@ -339,25 +410,45 @@ def fit(documents: DataFrame, labels: DataFrame, areas: DataFrame, body: Boilerp
     rows = sample_pages(both, ["units", "subjects", "lang"], labelled, votes.count(), key="doc_id")
     pages, given = [r["units"] for r in rows], [set(r["subjects"]) for r in rows]
     model = start(vocabulary(docs), pages, given, [r["lang"] for r in rows], subjects)
-    return Fitted(docs, map_topics(refine(docs, model), pages, given, subjects))
+    places = checkpointed(encoded(docs.select("doc_id", "units"), model))
+    return Fitted(places, map_topics(refine(places, model), pages, given, subjects))
+
+
+def encoded(docs: DataFrame, model: Topics) -> DataFrame:
+    """(doc_id, ids, sizes): the places of all words, and the words of each unit; passes over all documents then need no strings."""
+    shared = docs.sparkSession.sparkContext.broadcast(Topics(model.words, model.beta[:, :0], model.alpha, model.subjects))
+
+    def work() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        words = shared.value
+
+        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+            got = words.coded([page or [] for page in batch.column(1).to_pylist()])
+            listed = lambda bound, values: pa.ListArray.from_arrays(pa.array(bound.astype(np.int32)), pa.array(values.astype(np.int32)))
+            return pa.RecordBatch.from_arrays([batch.column(0), listed(got.bound, got.word), listed(got.unit_bound, got.size)], names=["doc_id", "ids", "sizes"])
+
+        return each
+
+    return run(docs, work, "doc_id bigint, ids array<int>, sizes array<int>", rows=512)
 
 
 def document_subjects(fitted: Fitted, least: float = SHARE) -> DataFrame:
     """(doc_id, subject, share) of each subject that at least ``least`` of the document's units treat."""
     shared = fitted.docs.sparkSession.sparkContext.broadcast(fitted.model)
 
-    def work():
+    def work() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         model = shared.value
         subjects = sorted({s for s in model.subjects if s is not None})
         of = np.array([[s == t for t in model.subjects] for s in subjects], dtype=float).reshape(len(subjects), len(model.subjects))
+        kind = pa.list_(pa.struct([("subject", pa.string()), ("share", pa.float64())]))
 
-        def each(pages: list[list[str] | None]) -> list[list]:
-            share = model.shares([p or [] for p in pages]) @ of.T
-            return [[[{"subject": subjects[j], "share": float(row[j])} for j in np.flatnonzero(row >= least - 1e-9)] for row in share]]
+        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+            share = model.shares(Coded.read(batch)) @ of.T
+            found = [[{"subject": subjects[j], "share": float(row[j])} for j in np.flatnonzero(row >= least - 1e-9)] for row in share]
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, type=kind)], names=["doc_id", "found"])
 
         return each
 
-    found = annotate(fitted.docs, work, "found array<struct<subject: string, share: double>>", "units")
+    found = run(fitted.docs, work, "doc_id bigint, found array<struct<subject: string, share: double>>", rows=512)
     return found.select("doc_id", F.explode("found").alias("x")).select("doc_id", "x.subject", "x.share")
 
 
