@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import canonical
 from ..schema import CLEAN, LABELS
+from ..session import broadcast_if_small
+from .numbering import with_row_number
 
 BUCKETS = ["Clean", "Mixed", "Non-Clean"]
 
@@ -127,14 +129,24 @@ def correlation_with_p(df: DataFrame, target: str, metrics: list[str]) -> DataFr
 
 
 def box_stats(df: DataFrame, by: str, value: str) -> DataFrame:
-    """Box-plot figures by category: quartiles and the outermost values within 1.5 interquartile ranges."""
-    present = df.where(F.col(value).isNotNull())
-    q = present.groupBy(by).agg(
-        F.count("*").alias("n"), F.min(value).alias("least"), F.max(value).alias("most"),
-        F.percentile(value, F.lit(0.25)).alias("q1"), F.percentile(value, F.lit(0.5)).alias("median"), F.percentile(value, F.lit(0.75)).alias("q3"),
-    )
+    """Box-plot figures by category: quartiles, between neighbours where they fall so, and the outermost values within 1.5 interquartile ranges.
+
+    Exact from one range sort of (category, value): quartiles are looked up by position, so that a category with most rows is no hot group.
+    Null values and categories are left out.
+    """
+    present = df.where(F.col(value).isNotNull() & F.col(by).isNotNull()).select(by, value)
+    numbered = with_row_number(present, by, value)
+    groups = numbered.groupBy(by).agg(F.count("*").alias("n"), F.min(value).alias("least"), F.max(value).alias("most"), F.min("row_no").alias("__from"))
+    parts = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    at = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), ((F.col("n") - 1) * F.lit(q)).alias("at")) for name, q in parts.items()))).alias("w")
+    wanted = groups.select(F.col(by).alias("__by"), "__from", at).select("__by", "w.name", F.col("w.at").alias("at"), F.explode(F.array(F.floor("w.at"), F.ceil("w.at"))).alias("side"), "__from")
+    wanted = broadcast_if_small(wanted.select("__by", "name", "at", (F.col("__from") + F.col("side")).alias("__row")).distinct())
+    found = numbered.join(wanted, (F.col("row_no") == F.col("__row")) & (F.col(by) == F.col("__by")))
+    low, high = F.min(value), F.max(value)
+    quartile = found.groupBy(by, "name").agg((low + (high - low) * (F.first("at") - F.floor(F.first("at")))).alias("x"))
+    q = groups.drop("__from").join(quartile.groupBy(by).pivot("name", list(parts)).agg(F.first("x")), by)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = present.select(by, value).join(q.select(by, "q1", "q3"), by)
+    inside = present.join(broadcast_if_small(q.select(by, "q1", "q3")), by)
     whiskers = inside.groupBy(by).agg(
         F.min(F.when(F.col(value) >= F.col("q1") - reach, F.col(value))).alias("low_whisker"),
         F.max(F.when(F.col(value) <= F.col("q3") + reach, F.col(value))).alias("high_whisker"),

@@ -157,15 +157,33 @@ def vocabulary_growth(lines: DataFrame, label: str, *order: str, every: int = 10
 
 
 def tokens_estimate(text: Column) -> Column:
-    """Estimated tokens: a quarter of the characters, rounded up; a tokenizer plug-in may replace it."""
+    """Estimated tokens: a quarter of the characters, rounded up."""
     return F.ceil(F.length(text) / 4)
 
 
+def tokens_counted(text: Column, make: Callable[[], Callable[[str], int]]) -> Column:
+    """Tokens by a plug-in tokenizer, made once per worker and run in Arrow batches; null for null."""
+
+    @F.pandas_udf("bigint")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        of = make()
+        for batch in batches:
+            yield batch.map(of, na_action="ignore").astype("Int64")
+
+    return count(text)
+
+
 def cost(prompt_tokens: Column, output_tokens: Column, input_price: float = 0.15, output_price: float = 0.6) -> Column:
     """Price of a call, from prices per million tokens."""
     return prompt_tokens * F.lit(input_price / 1e6) + output_tokens * F.lit(output_price / 1e6)
 
 
+def mean_time(df: DataFrame, documents: str, seconds: str) -> DataFrame:
+    """Documents, seconds and seconds a document over the batches of a run; null without documents."""
+    n, s = F.sum(documents), F.sum(seconds)
+    return df.agg(n.cast("bigint").alias("documents"), s.alias("seconds"), F.when(n > 0, s / n).alias("seconds_per_document"))
+
+
 def rewrite(content: Column, synonyms: dict[str, str]) -> Column:
     """Labels of earlier results replaced by their group's name."""
     if not synonyms:

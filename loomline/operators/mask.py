@@ -45,10 +45,12 @@ def mask(
     text: str = "text",
     split: Callable[[Column], Column] = split_lines,
     strict: bool = False,
+    leave: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Rewrites ``text`` and ``arrays`` to the lines that stay; ``keep`` sees ``line`` and the entries of the arrays.
 
-    ``strict`` raises where an array's length differs from the number of lines.
+    ``strict`` raises where an array's length differs from the number of lines. ``leave`` tells from the new text which rows are left: it is
+    asked inside a generator of none or one row, so that the optimizer can't put a copy of the whole mask into a filter.
     """
     lines = split(F.col(text))
     if strict:
@@ -69,7 +71,11 @@ def mask(
         def __getitem__(self, name: str) -> Column:
             return self.z[names[name]]
 
-    kept = df.withColumn("__kept", masked(zipped, lambda z: keep(Named(z)), mode))
-    out = {text: F.when(F.col(text).isNotNull(), join_lines(F.col("__kept")["0"]))}
-    out |= {name: F.when(F.col(name).isNotNull() & F.col(text).isNotNull(), F.col("__kept")[names[name]]).otherwise(F.col(name)) for name in arrays}
-    return kept.withColumns(out).drop("__kept")
+    def rewritten(k: Column) -> Column:
+        made = [F.when(F.col(text).isNotNull(), join_lines(k["0"])).alias(text)]
+        made += [F.when(F.col(name).isNotNull() & F.col(text).isNotNull(), k[names[name]]).otherwise(F.col(name)).alias(name) for name in arrays]
+        return F.struct(*made)
+
+    row = let(masked(zipped, lambda z: keep(Named(z)), mode), rewritten)
+    one = row if leave is None else F.explode(F.filter(F.array(row), lambda r: F.coalesce(leave(r[text]), F.lit(False))))
+    return df.withColumn("__row", one).withColumns({c: F.col(f"__row.{c}") for c in (text, *arrays)}).drop("__row")

@@ -11,6 +11,7 @@ from ..functions.labels import canonical
 from ..functions.lines import argmax, split_lines
 from ..schema import CLEAN, LABELS
 from .mask import check_mode, mask
+from .scoring import LineModel, annotate_by_model
 
 PARALLEL = ["line_quality_labels", "quality_scores"]
 
@@ -19,8 +20,11 @@ def by_label(df: DataFrame, remove: list[str], mode: str = "filter", split: Call
     """Drops (or trims) lines whose label is in ``remove``; a line without label stays. Documents left empty are dropped."""
     if unknown := set(remove) - set(LABELS):
         raise ValueError(f"not a quality label: {sorted(unknown)}")
-    out = mask(df, PARALLEL, lambda z: ~F.coalesce(canonical(z["line_quality_labels"]).isin(remove), F.lit(False)), mode, split=split, strict=strict)
-    return out.where(F.col("text") != "")
+    return mask(df, PARALLEL, lambda z: ~F.coalesce(canonical(z["line_quality_labels"]).isin(remove), F.lit(False)), mode, split=split, strict=strict, leave=filled)
+
+
+def filled(text: Column) -> Column:
+    return text != ""
 
 
 def at_least(score: Column, threshold: float) -> Column:
@@ -35,10 +39,10 @@ def by_score(df: DataFrame, threshold: float, mode: str = "filter", scores: str
     from the lines'. Documents left empty are dropped.
     """
     check_mode(mode)
-    out = mask(df.withColumn("__all", F.col(scores)), [scores], lambda z: at_least(z[scores], threshold), mode)
-    if compat:
-        out = out.withColumn(scores, F.filter(F.col("__all"), lambda s: at_least(s, threshold)))
-    return out.drop("__all").where(F.col("text") != "")
+    if not compat:
+        return mask(df, [scores], lambda z: at_least(z[scores], threshold), mode, leave=filled)
+    out = mask(df.withColumn("__all", F.col(scores)), [scores], lambda z: at_least(z[scores], threshold), mode, leave=filled)
+    return out.withColumn(scores, F.filter(F.col("__all"), lambda s: at_least(s, threshold))).drop("__all")
 
 
 def worth_salvaging(df: DataFrame, below: float = 5.0, min_length: int = 250) -> DataFrame:
@@ -52,15 +56,19 @@ def salvage(df: DataFrame, mode: str = "filter", min_length: int = 250, min_scor
     Row-local predicates, robots.txt included, stand before the mask so that they reach the scan. ``compat``: trim leaves ``langs`` whole.
     """
     weak = worth_salvaging(df.where(F.col("robotstxt") == "allowed"), below, min_length)
+    long = lambda text: F.length(text) >= min_length
     clean = lambda z: canonical(z["line_quality_labels"]) == CLEAN
     if check_mode(mode) == "filter":
         arrays = [*PARALLEL, "langs", "__lang"]
         spread = weak.withColumn("__lang", F.array_repeat("document_lang", F.size(split_lines(F.col("text")))))
-        out = mask(spread, arrays, lambda z: clean(z) & ~F.isnan(z["quality_scores"]) & (z["quality_scores"] > min_score) & (z["langs"] == z["__lang"]), mode)
-        out = out.drop("__lang")
-    else:
-        out = mask(weak, [*PARALLEL, *([] if compat else ["langs"])], clean, mode)
-    return long_enough(out, min_length)
+        return mask(spread, arrays, lambda z: clean(z) & ~F.isnan(z["quality_scores"]) & (z["quality_scores"] > min_score) & (z["langs"] == z["__lang"]), mode, leave=long).drop("__lang")
+    return mask(weak, [*PARALLEL, *([] if compat else ["langs"])], clean, mode, leave=long)
+
+
+def salvage_classified(df: DataFrame, make: Callable[[], LineModel], mode: str = "filter", min_length: int = 250, below: float = 5.0, **limits: float) -> DataFrame:
+    """``salvage`` of documents whose lines a plug-in model labels and scores on the way; what no label can save is dropped before the model."""
+    weak = worth_salvaging(df.where(F.col("robotstxt") == "allowed"), below, min_length)
+    return salvage(annotate_by_model(weak, make), mode, min_length, below=below, **limits)
 
 
 def long_enough(df: DataFrame, min_length: int = 250) -> DataFrame:

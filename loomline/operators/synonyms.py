@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from ..functions.labels import is_junk
 from ..session import broadcast_if_small
+from .labeling import SYNONYMS, rewrite, run_model
 
 #: A clustering holds a square distance matrix of a vocabulary; beyond this it is refused rather than cut.
 MAX_ITEMS = 8000
@@ -146,6 +150,64 @@ def synonym_map(vocab: DataFrame, threshold: float = 0.3) -> DataFrame:
     return linked.join(names, "cluster").select("label", "name")
 
 
+def review(groups: DataFrame, make: Callable[[], Callable[[list[str]], list[str]]], attempts: int = 3) -> DataFrame:
+    """Synonym groups (name, words) as a plug-in text model sees them: it is asked about groups of several words, single ones stay.
+
+    The model may split, rename and unite groups; groups of equal name are united. A group without a usable answer stays as it is.
+    """
+    several = groups.where(F.size("words") > 1)
+    head, tail = SYNONYMS.format(labels="\x00").split("\x00")
+    asked = several.withColumn("prompt", F.concat(F.lit(head), F.array_join("words", ", "), F.lit(tail)))
+    answered = run_model(asked, make, attempts, check=lambda text: repair_groups(text) is not None)
+    told = F.from_json(repaired_groups(F.col("output")), "map<string,array<string>>")
+    entries = F.map_entries(F.coalesce(told, F.map_from_arrays(F.array("name"), F.array("words"))))
+    seen = answered.select(F.explode(entries).alias("e")).select(F.col("e.key").alias("name"), F.col("e.value").alias("words"))
+    return merge_groups(seen.unionByName(groups.where(F.size("words") <= 1).select("name", "words")))
+
+
+def repair_groups(text: str | None) -> str | None:
+    """An object of lists of strings out of a model's answer; null when there is none."""
+    if text is None or "{" not in text:
+        return None
+    try:
+        found = json.loads(text[text.index("{") : text.rindex("}") + 1], strict=False)
+    except ValueError:
+        return None
+    if not isinstance(found, dict) or not all(isinstance(v, list) and all(isinstance(x, str) for x in v) for v in found.values()):
+        return None
+    return json.dumps(found, ensure_ascii=False)
+
+
+@F.pandas_udf(StringType())
+def repaired_groups(texts: pd.Series) -> pd.Series:
+    return texts.map(repair_groups, na_action="ignore").astype(object)
+
+
+def candidates(vocab: DataFrame, threshold: float = 0.2) -> DataFrame:
+    """(name, words): clusters of the labels of a vocabulary, named by their medoid; single labels are groups of one."""
+    labels = vocab.select("label").where(F.col("label").isNotNull()).distinct().withColumn("run", F.lit(0))
+    embedded = with_embedding(labels)
+    linked = embedded.join(clusters(embedded, "run", "label", threshold=threshold).drop("run"), "label")
+    names = medoids(linked, "cluster", "label").select("cluster", F.col("label").alias("name"))
+    return linked.join(names, "cluster").groupBy("name").agg(F.array_sort(F.collect_set("label")).alias("words"))
+
+
+def merge_synonyms(results: DataFrame, previous: DataFrame, vocab: DataFrame, make: Callable[[], Callable[[list[str]], list[str]]], threshold: float = 0.2) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(results, previous results, mapping): junk labels of a run and of the vocabulary so far clustered, reviewed by a model and rewritten in both.
+
+    Results hold ``content``, an array of (line, label). Fewer than two labels leave everything as it is.
+    """
+    fresh = results.select(F.explode("content").alias("c")).select(F.col("c.label").alias("label")).where(is_junk(F.col("label")))
+    groups = review(candidates(fresh.unionByName(vocab.select("label")), threshold), make)
+    mapping = groups.select(F.explode("words").alias("label"), "name").where(F.col("label") != F.col("name")).groupBy("label").agg(F.min("name").alias("name"))
+    # a mapping of a vocabulary is small; it goes into the expression, so that results are rewritten without a shuffle
+    table = {r["label"]: r["name"] for r in mapping.limit(MAX_ITEMS + 1).collect()}
+    if len(table) > MAX_ITEMS:
+        raise ValueError(f"a mapping of over {MAX_ITEMS} labels")
+    put = lambda df: df.withColumn("content", rewrite(F.col("content"), table))
+    return put(results), put(previous), mapping
+
+
 def apply_map(df: DataFrame, mapping: DataFrame, label: str = "label") -> DataFrame:
     """``label`` replaced by its group's name where it has one."""
     names = mapping.select(F.col("label").alias("__from"), F.col("name").alias("__name"))

@@ -19,6 +19,10 @@ from ..operators import training as T
 from ..operators.mask import mask
 from ..operators.numbering import positional_slice
 from ..schema import LABELS, LANGUAGE_OF_CODE, parse_labels
+from ..session import scratch
+from ..sources import readers as I
+from ..sources import writers as W
+from ..sources.readers import parsed_record, valid_record
 from ..sources.writers import split_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,13 +232,13 @@ def rule_labels(docs: DataFrame) -> DataFrame:
 
 @query("rule_filter", "documents", f"SELECT doc_id, string_agg(line, {NL} ORDER BY pos) AS text FROM {_RULED} WHERE label = 'Clean' GROUP BY doc_id HAVING string_agg(line, {NL} ORDER BY pos) <> ''")
 def rule_filter(docs: DataFrame) -> DataFrame:
-    out = mask(R.annotate_by_rules(docs), ["line_quality_labels"], lambda z: z["line_quality_labels"] == "Clean")
-    return out.where(F.col("text") != "").select("doc_id", "text")
+    out = mask(R.annotate_by_rules(docs), ["line_quality_labels"], lambda z: z["line_quality_labels"] == "Clean", leave=Q.filled)
+    return out.select("doc_id", "text")
 
 
-@query("model_labels", "documents")
+@query("model_labels", "documents", f"SELECT label, CAST(count(*) AS BIGINT) AS n FROM {_RULED} GROUP BY label")
 def model_labels(docs: DataFrame) -> DataFrame:
-    scored = R.annotate_by_model(docs.where(F.length("text") >= 250).select("doc_id", "text"), R.rule_model)
+    scored = R.annotate_by_model(docs.select("doc_id", "text"), R.rule_model)
     return scored.select("doc_id", F.explode("line_quality_labels").alias("label")).groupBy("label").agg(F.count("*").alias("n"))
 
 
@@ -285,9 +289,11 @@ t AS (SELECT text, min({_BUCKET.replace('n_clean', 'dm.n_clean').replace('n_line
 
 @query("crosstab", "annotated doc_pred", f"WITH {_METRICS}, {_PRED} SELECT b.bucket, CAST(coalesce(sum(CAST(nemotron_label = 'Low' AS INT)), 0) AS BIGINT) AS \"Low\", CAST(coalesce(sum(CAST(nemotron_label = 'Medium' AS INT)), 0) AS BIGINT) AS \"Medium\", CAST(coalesce(sum(CAST(nemotron_label = 'High' AS INT)), 0) AS BIGINT) AS \"High\" FROM (VALUES ('Clean'), ('Mixed'), ('Non-Clean')) b(bucket) LEFT JOIN (SELECT * FROM t JOIN p USING (text)) j ON j.bucket = b.bucket GROUP BY b.bucket")
 def crosstab(df: DataFrame, pred: DataFrame) -> DataFrame:
-    m = A.doc_metrics(df.where(F.col("text").isNotNull()), ["text"])
-    buckets = m.groupBy("text").agg(F.min(A.bucket(F.col("n_clean"), F.col("n_lines"))).alias("bucket"))
-    return A.crosstab(buckets.join(pred, "text"), "bucket", "nemotron_label", ["Low", "Medium", "High"], A.BUCKETS)
+    # texts meet by a digest of 128 bits, so that they need not be shuffled
+    m = A.doc_metrics(df.where(F.col("text").isNotNull()).withColumn("digest", F.md5("text")), ["digest"])
+    buckets = m.groupBy("digest").agg(F.min(A.bucket(F.col("n_clean"), F.col("n_lines"))).alias("bucket"))
+    told = pred.select(F.md5("text").alias("digest"), "nemotron_label")
+    return A.crosstab(buckets.join(told, "digest"), "bucket", "nemotron_label", ["Low", "Medium", "High"], A.BUCKETS)
 
 
 _NAMES4 = ["mean_line_score", "median_line_score", "min_line_score", "clean_fraction"]
@@ -358,8 +364,10 @@ _GUESS = f"(SELECT truth, guess FROM (SELECT {sql_canonical('line_quality_labels
 
 
 def _guesses(df: DataFrame) -> DataFrame:
-    lines = df.select("line_quality_labels", F.posexplode(L.split_lines(F.col("text"))).alias("pos", "line"))
-    return lines.select(canonical(F.get("line_quality_labels", F.col("pos"))).alias("truth"), R.rule_label(F.col("line")).alias("guess")).where(F.col("truth").isin(LABELS))
+    # labels are made canonical once, in their array: after the explode a filter on them would do it again for every line
+    both = F.arrays_zip(L.split_lines(F.col("text")).alias("line"), F.transform("line_quality_labels", canonical).alias("truth"))
+    lines = df.where(F.col("text").isNotNull()).select(F.explode(both).alias("z")).where(F.col("z.truth").isin(LABELS) & F.col("z.line").isNotNull())
+    return lines.select(F.col("z.truth").alias("truth"), R.rule_label(F.col("z.line")).alias("guess"))
 
 
 @query("confusion", "annotated", f"SELECT truth, guess, CAST(count(*) AS BIGINT) AS n FROM {_GUESS} GROUP BY ALL")
@@ -388,7 +396,7 @@ def classification_metrics(df: DataFrame) -> DataFrame:
 def trained_scorer(results: DataFrame) -> DataFrame:
     data = T.encode(T.stratified_split(_flat(results), key=("id", "k", "text")))
     train = data.where(F.col("split") == "train")
-    model = T.line_classifier(train, A.class_weights(train), features=1 << 12, iterations=10)
+    model = T.line_classifier(train, A.class_weights(train))
     return A.classification_metrics(model.transform(data.where(F.col("split") == "test")).select(F.col("code").alias("truth"), F.col("prediction").cast("int").alias("guess")))
 
 
@@ -471,7 +479,7 @@ def label_attach(results: DataFrame) -> DataFrame:
     return out.groupBy("id", F.col("c.line").alias("line"), F.col("c.label").alias("label")).agg(F.count("*").alias("n"))
 
 
-@query("model_round_trip", "documents")
+@query("model_round_trip", "documents", f"SELECT label, CAST(count(*) AS BIGINT) AS n FROM (SELECT {_RULE} AS label FROM (SELECT unnest(string_split({sql_strip('text')}, {NL})) AS line FROM documents WHERE text IS NOT NULL)) GROUP BY label")
 def model_round_trip(docs: DataFrame) -> DataFrame:
     """Prompt, model, check, repair, attach: the labelling pipeline with the rule labeler in the model's place."""
     answered = B.run_model(B.prompts(docs, key="doc_id"), B.rule_labeler).withColumn("output", B.repaired_json("output"))
@@ -545,6 +553,188 @@ def cluster_labels(df: DataFrame) -> DataFrame:
 
 @query("validate_json", "events", "SELECT event_type, CAST(count(*) FILTER (json_valid(props)) AS BIGINT) AS good, CAST(count(*) FILTER (NOT coalesce(json_valid(props), false)) AS BIGINT) AS bad FROM events GROUP BY event_type")
 def validate_json(events: DataFrame) -> DataFrame:
-    good = F.from_json("props", "k int, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})["_corrupt"].isNull() & F.col("props").isNotNull()
+    good = valid_record(parsed_record(F.col("props"), "k int"))
     return events.groupBy("event_type").agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
 
+
+# Sources and sinks: what was written to the shared folder is read again and must be the table.
+def round_trip(name: str, source: str, sql: str) -> Callable:
+    """Registers a function of (frames..., a fresh path)."""
+
+    def register(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        QUERIES[name] = lambda spark, sf_dir: f(*(table(spark, sf_dir, t) for t in source.split()), scratch(spark))
+        ORACLE[name] = sql
+        return f
+
+    return register
+
+
+_PAGE = "id string, ingest_ts timestamp_ntz, text string, langs array<string>, quality_scores array<double>"
+
+
+@round_trip("sink_jsonl", "annotated", f"SELECT id, ingest_ts, text, array_to_string(list_transform(langs, lambda x: coalesce(x, '-')), ' ') AS langs, CAST(len(quality_scores) AS BIGINT) AS n_scores FROM annotated")
+def sink_jsonl(df: DataFrame, path: str) -> DataFrame:
+    W.write_jsonl(df.select("id", "ingest_ts", "text", "langs", "quality_scores"), path)
+    back = I.read_jsonl(df.sparkSession, path, _PAGE)
+    return back.select("id", "ingest_ts", "text", F.array_join(F.transform("langs", lambda x: F.coalesce(x, F.lit("-"))), " ").alias("langs"), F.when(F.col("quality_scores").isNotNull(), F.size("quality_scores")).cast("bigint").alias("n_scores"))
+
+
+@round_trip("sink_jsonl_gzip", "raw_docs", "SELECT id, text, u FROM raw_docs")
+def sink_jsonl_gzip(df: DataFrame, path: str) -> DataFrame:
+    W.write_jsonl(df.select("id", "text", "u"), path, compression="gzip")
+    return I.read_jsonl(df.sparkSession, path, "id string, text string, u string")
+
+
+@round_trip("sink_zstd", "documents", "SELECT doc_id, text, lang FROM documents")
+def sink_zstd(docs: DataFrame, path: str) -> DataFrame:
+    W.write_zstd(docs.select("doc_id", "text", "lang"), f"{path}.parquet")
+    return I.read_corpus(docs.sparkSession, f"{path}.parquet")
+
+
+@round_trip("source_directory", "documents", "SELECT doc_id, text FROM documents")
+def source_directory(docs: DataFrame, path: str) -> DataFrame:
+    """Files *.jsonl in folders within folders."""
+    W.write_jsonl(docs.select("doc_id", "text"), f"{path}/a/b")
+    return docs.sparkSession.read.schema("doc_id bigint, text string").option("recursiveFileLookup", True).json(path, pathGlobFilter="*.json")
+
+
+@round_trip("source_lossy", "documents", "SELECT doc_id, replace(text, chr(65533), '') AS text FROM documents WHERE text IS NOT NULL")
+def source_lossy(docs: DataFrame, path: str) -> DataFrame:
+    W.write_jsonl(docs.where(F.col("text").isNotNull()).select("doc_id", "text"), path)
+    return I.read_jsonl_lossy(docs.sparkSession, path, "doc_id bigint, text string")
+
+
+@round_trip("source_lenient", "raw_docs", "SELECT id, 'a' || chr(9) || 'b' || chr(1) AS text FROM raw_docs WHERE id IS NOT NULL")
+def source_lenient(raw: DataFrame, path: str) -> DataFrame:
+    """Records with raw control characters within their strings."""
+    line = F.concat(F.lit('{"id": '), F.to_json(F.struct("id")).substr(F.lit(7), F.length(F.to_json(F.struct("id"))) - 7), F.lit(', "text": "a\tb\x01"}'))
+    raw.where(F.col("id").isNotNull()).select(line.alias("value")).write.text(path)
+    return I.read_jsonl(raw.sparkSession, path, "id string, text string", lenient=True)
+
+
+@round_trip("source_lines", "documents", f"SELECT CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(string_split_regex(text, '\\r\\n|[\\r\\n]')) AS x FROM documents WHERE text IS NOT NULL) WHERE {sql_strip('x')} <> ''")
+def source_lines(docs: DataFrame, path: str) -> DataFrame:
+    docs.where(F.col("text").isNotNull()).select("text").write.text(path)
+    return I.read_lines(docs.sparkSession, path).agg(F.count("*").alias("n"))
+
+
+@round_trip("source_first", "documents", "SELECT doc_id FROM documents ORDER BY doc_id LIMIT 100")
+def source_first(docs: DataFrame, path: str) -> DataFrame:
+    """The first hundred rows of a scan of one ordered file."""
+    docs.select("doc_id").orderBy("doc_id").coalesce(1).write.json(path)
+    return I.read_first(I.read_jsonl(docs.sparkSession, path, "doc_id bigint"), 100)
+
+
+@round_trip("source_files", "documents", "SELECT 'part=' || CAST(unnest(range(0, 7)) AS VARCHAR) AS name")
+def source_files(docs: DataFrame, path: str) -> DataFrame:
+    """Folders of parts by prefix, in order."""
+    W.write_parts(docs.select("doc_id"), path, 7, "doc_id")
+    return docs.sparkSession.createDataFrame([(n,) for n in I.files(docs.sparkSession, path, "part=", folders=True)], "name string")
+
+
+@round_trip("sink_parts", "documents", "SELECT doc_id, CAST(ntile(7) OVER (ORDER BY doc_id) - 1 AS INT) AS part FROM documents")
+def sink_parts(docs: DataFrame, path: str) -> DataFrame:
+    W.write_parts(docs.select("doc_id"), path, 7, "doc_id")
+    return docs.sparkSession.read.schema("doc_id bigint, part int").json(path)
+
+
+@round_trip("sink_concatenate", "documents", "SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(doc_id) AS BIGINT) AS total FROM documents")
+def sink_concatenate(docs: DataFrame, path: str) -> DataFrame:
+    spark = docs.sparkSession
+    W.write_jsonl(docs.select("doc_id"), path)
+    W.concatenate(spark, [f"{path}/{n}" for n in I.files(spark, path, ending=".json")], f"{path}-all")
+    return I.read_jsonl(spark, f"{path}-all", "doc_id bigint").agg(F.count("*").alias("n"), F.sum("doc_id").alias("total"))
+
+
+@round_trip("sink_csv", "doc_pred", "SELECT text, nemotron_label, hplt_doc_score FROM doc_pred WHERE text <> ''")
+def sink_csv(pred: DataFrame, path: str) -> DataFrame:
+    W.write_csv(pred.where(F.col("text") != "").select("text", "nemotron_label", "hplt_doc_score"), path)
+    return I.read_predictions(pred.sparkSession, path)
+
+
+@round_trip("sink_vocabulary", "label_vocab", "SELECT label, n FROM label_vocab")
+def sink_vocabulary(vocab: DataFrame, path: str) -> DataFrame:
+    W.write_vocabulary(vocab, path)
+    return I.read_vocabulary(vocab.sparkSession, path)
+
+
+@round_trip("sink_salvaged", "annotated", "SELECT id, text FROM annotated WHERE text <> '' AND robotstxt = 'allowed'")
+def sink_salvaged(df: DataFrame, path: str) -> DataFrame:
+    W.write_salvaged(df.select("id", "text", "robotstxt"), path)
+    return I.read_jsonl(df.sparkSession, path, "id string, text string")
+
+
+@round_trip("sink_splits", "llm_result", f"SELECT label, split, CAST(count(*) AS BIGINT) AS n FROM (SELECT label, CASE WHEN (r - 1) * 100 < n * 70 THEN 'train' WHEN (r - 1) * 100 < n * 85 THEN 'validation' ELSE 'test' END AS split FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_KEY}, id, k, text) AS r, count(*) OVER (PARTITION BY label) AS n FROM {_FLAT})) GROUP BY ALL")
+def sink_splits(results: DataFrame, path: str) -> DataFrame:
+    """Splits and the map of classes are written and read again; rows come back under their class."""
+    spark = results.sparkSession
+    data = T.encode(T.stratified_split(_flat(results), key=("id", "k", "text")))
+    W.write_splits(data.select("text", "code", "split"), path, T.label_map(data))
+    classes = spark.read.schema("label string, code int").json(f"{path}/classes")
+    return spark.read.parquet(f"{path}/data").join(F.broadcast(classes), "code").groupBy("label", "split").agg(F.count("*").alias("n"))
+
+
+@round_trip("sink_settings", "region", "SELECT CAST(0.8 AS DOUBLE) AS threshold, 'trim' AS mode")
+def sink_settings(region: DataFrame, path: str) -> DataFrame:
+    W.write_settings(region.sparkSession, path, threshold=0.8, mode="trim")
+    return region.sparkSession.read.schema("threshold double, mode string").json(path)
+
+
+@round_trip("sink_eval", "annotated", f"WITH {_REPORT}, m AS (SELECT CAST(sum(support) AS BIGINT) AS n, round(sum(hit) / sum(support), 6) AS accuracy FROM s) SELECT unnest(['Test set evaluation results:', 'n: ' || n, 'accuracy: ' || accuracy]) AS value FROM m")
+def sink_eval(df: DataFrame, path: str) -> DataFrame:
+    metrics = A.classification_metrics(_guesses(df)).select("n", F.round("accuracy", 6).alias("accuracy"))
+    W.write_eval(metrics, path)
+    return df.sparkSession.read.text(path)
+
+
+@round_trip("source_validated", "scored", f"SELECT CAST(count(*) FILTER (v IS NOT NULL) AS BIGINT) AS good, CAST(count(*) FILTER (v IS NULL) AS BIGINT) AS bad FROM (SELECT {_NUMBERS} AS v FROM (SELECT {_TUPLE} AS t FROM scored))")
+def source_validated(df: DataFrame, path: str) -> DataFrame:
+    W.write_jsonl(df, path)
+    good, bad = I.read_validated(df.sparkSession, path, "id string, text string, line_quality string")
+    return good.agg(F.count("*").alias("good")).crossJoin(bad.agg(F.count("*").alias("bad")))
+
+
+# Salvage with classification on the way; the rules stand for the model.
+_RULED_LINES = Z.replace("'label': line_quality_labels[i]", "'label': " + _RULE.replace("(line", "(lines[i]"))
+QUERIES["salvage_classified"] = lambda s, d: counted(lambda df: Q.salvage_classified(df.drop(*Q.PARALLEL), R.rule_model, "trim"))(table(s, d, "annotated"))
+ORACLE["salvage_classified"] = sql_mask(_CLEAN, "trim", where=_WEAK, after="length(text) >= 250").replace(Z, _RULED_LINES)
+
+
+def by_first_word() -> Callable[[list[str]], list[str]]:
+    """Stands in for a reviewer: unites the labels of a question by their first word."""
+    import json
+    import re
+
+    def answer(prompt: str) -> str:
+        groups: dict[str, list[str]] = {}
+        for label in re.search(r"same: (.*)\.\n", prompt).group(1).split(", "):
+            groups.setdefault(label.split(" ")[0].lower(), []).append(label)
+        return "Sure:\n" + json.dumps(groups)
+
+    return lambda prompts: [answer(p) for p in prompts]
+
+
+@query("synonym_review", "label_vocab", "SELECT name, string_agg(DISTINCT label, '|' ORDER BY label) AS words FROM (SELECT CASE WHEN count(*) OVER (PARTITION BY lower(label[1])) > 1 THEN lower(string_split(label, ' ')[1]) ELSE lower(label[1]) END AS name, label FROM (SELECT DISTINCT label FROM label_vocab WHERE label NOT LIKE '%,%')) GROUP BY name")
+def synonym_review(vocab: DataFrame) -> DataFrame:
+    """Groups by first letter, split by a reviewer into groups by first word; single labels are not asked about."""
+    labels = vocab.where(~F.col("label").contains(",")).select("label").distinct()
+    groups = labels.groupBy(F.lower(F.substring("label", 1, 1)).alias("name")).agg(F.array_sort(F.collect_set("label")).alias("words"))
+    return S.review(groups, by_first_word).withColumn("words", F.array_join("words", "|"))
+
+
+@query("synonym_merge", "llm_result label_vocab")
+def synonym_merge(results: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Labels of a run and of its own earlier results after clustering, review and rewriting."""
+    now, before, _ = S.merge_synonyms(results, results, vocab, by_first_word)
+    lines = lambda df: df.select(F.explode("content").alias("c")).select("c.label")
+    return lines(now).unionByName(lines(before)).groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query("trained_classifier", "llm_result")
+def trained_classifier(results: DataFrame) -> DataFrame:
+    """Weighted, smoothed loss, evaluation on the way, the best model by validation loss; measured on the test split."""
+    data = T.encode(T.stratified_split(_flat(results), key=("id", "k", "text")))
+    train = data.where(F.col("split") == "train")
+    codes = {r["code"]: r["weight"] for r in A.class_weights(train.select(F.col("code").alias("label"))).select(F.col("label").alias("code"), "weight").collect()}
+    model = T.train_classifier(train, data.where(F.col("split") == "validation"), len(LABELS), codes)
+    return A.classification_metrics(model.predict(data.where(F.col("split") == "test").select("text", F.col("code").alias("truth"))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lines import score_list, strip
@@ -42,6 +42,19 @@ def read_directory(spark: SparkSession, path: str, schema: str = RAW, recursive:
     return df
 
 
+def read_first(df: DataFrame, rows: int) -> DataFrame:
+    """The first rows of a scan, in order of file and place; -1 means all. A limit is this reader's purpose: it ends the scan early."""
+    return df if rows == -1 else df.limit(rows)
+
+
+def files(spark: SparkSession, path: str, prefix: str = "", ending: str = "", folders: bool = False) -> list[str]:
+    """Names of the files (or folders) of a folder by prefix and ending, in order."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)
+    names = [f.getPath().getName() for f in found if f.isFile() != folders]
+    return sorted(n for n in names if n.startswith(prefix) and n.endswith(ending) and n[0] not in "._")
+
+
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Non-blank lines of text files, with the file each comes from."""
     return spark.read.text(path).where(strip(F.col("value")) != "").select("value", F.col("_metadata.file_path").alias("file"))
@@ -59,7 +72,16 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 def read_validated(spark: SparkSession, path: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:
     """(good, bad) records of JSONL. Bad are those that don't parse or whose line_quality is missing or malformed; they come as raw text."""
     raw = spark.read.text(path).where(strip(F.col("value")) != "")
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowUnquotedControlChars": "true"}
-    parsed = raw.select("value", F.from_json("value", f"{schema}, _corrupt string", options).alias("r"))
-    good = F.coalesce(F.col("r._corrupt").isNull() & score_list(F.col("r.line_quality")).isNotNull(), F.lit(False))
+    parsed = raw.select("value", parsed_record(F.col("value"), schema).alias("r"))
+    good = valid_record(F.col("r")) & F.coalesce(score_list(F.col("r.line_quality")).isNotNull(), F.lit(False))
     return parsed.where(good).select("r.*").drop("_corrupt"), parsed.where(~good).select("value")
+
+
+def parsed_record(text: Column, schema: str) -> Column:
+    """A JSON record leniently read; ``_corrupt`` holds the text of one that doesn't parse."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowUnquotedControlChars": "true"}
+    return F.from_json(text, f"{schema}, _corrupt string", options)
+
+
+def valid_record(record: Column) -> Column:
+    return F.coalesce(record.isNotNull() & record["_corrupt"].isNull(), F.lit(False))

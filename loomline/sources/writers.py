@@ -14,7 +14,8 @@ from ..operators.quality import allowed
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "append", compression: str = "none") -> None:
     """One JSON object per row, null fields kept, non-ASCII as it is, timestamps in ISO form."""
-    df.write.mode(mode).option("ignoreNullFields", False).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path, compression=compression)
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    df.write.mode(mode).options(ignoreNullFields=False, timestampFormat=iso, timestampNTZFormat=iso).json(path, compression=compression)
 
 
 def write_salvaged(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -33,8 +34,19 @@ def write_splits(df: DataFrame, path: str, classes: DataFrame) -> None:
     classes.coalesce(1).write.mode("overwrite").json(f"{path}/classes")
 
 
+def write_zstd(df: DataFrame, path: str) -> None:
+    """A corpus compressed with zstd: Parquet, as Spark writes no zstd JSON."""
+    df.write.mode("overwrite").parquet(path, compression="zstd")
+
+
+def write_eval(metrics: DataFrame, path: str, title: str = "Test set evaluation results:") -> None:
+    """A one-row frame of metrics as text: a title, then ``name: value`` lines."""
+    pairs = F.array(F.lit(title), *(F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("None"))) for c in metrics.columns))
+    metrics.select(F.explode(pairs).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, escape='"', quoteAll=True)
+    df.write.mode("overwrite").csv(path, header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_settings(spark: SparkSession, path: str, **settings: object) -> None:
@@ -67,10 +79,27 @@ def write_parts(df: DataFrame, path: str, parts: int, *order: str, ceil: bool =
 
 
 def concatenate(spark: SparkSession, paths: list[str], out: str) -> None:
-    """Text files one after another in order of name, as one file; the last line of a file without newline stays apart from the next."""
-    pieces = []
-    for rank, path in enumerate(sorted(paths)):
-        rows = spark.sparkContext.textFile(path).zipWithIndex().map(lambda p, rank=rank: (rank, p[1], p[0]))
-        pieces.append(rows)
-    lines = spark.createDataFrame(spark.sparkContext.union(pieces), "rank int, row_no bigint, value string")
-    lines.orderBy("rank", "row_no").select("value").coalesce(1).write.mode("overwrite").text(out)
+    """Text files one after another in order of name, as one file; the last line of a file without newline stays apart from the next.
+
+    One file is the purpose, so one task writes it, a file's buffer at a time through the Hadoop file system: nothing is shuffled or held.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(out)
+    target = folder.getFileSystem(conf)
+    target.mkdirs(folder)
+    sink = target.create(jvm.org.apache.hadoop.fs.Path(folder, "part-00000.txt"), True)
+    try:
+        for name in sorted(paths, key=lambda p: p.rpartition("/")[2]):
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            source = path.getFileSystem(conf)
+            length = source.getFileStatus(path).getLen()
+            if not length:
+                continue
+            stream = source.open(path)
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, sink, 1 << 20, False)
+            stream.seek(length - 1)
+            if stream.read() != 10:
+                sink.write(10)
+            stream.close()
+    finally:
+        sink.close()
