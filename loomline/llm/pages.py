@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -85,6 +86,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(4 * cores) if df.rdd.getNumPartitions() < 2 * cores else df
 
 
+def save_model(spark: SparkSession, model: object, path: str) -> None:
+    """A fitted model, of any of the operators, as one row of bytes on the shared file system, to be used by later runs instead of fitting."""
+    spark.createDataFrame([(pickle.dumps(model),)], "model binary").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_model(spark: SparkSession, path: str) -> object:
+    """A saved model. Only files that this library wrote are to be read: they are pickles."""
+    return pickle.loads(spark.read.parquet(path).first()["model"])
+
+
 class Bounded(dict):
     """A memory of results that starts afresh when it holds too many."""
 

@@ -1,8 +1,8 @@
 """Statistics of a page's text, and whether it is natural prose.
 
 Beside the usual ratios (words, word length, symbols, figures, punctuated lines, common words) three measures of layout tell lists and tables:
-vertical delimiter alignment (how alike the numbers of each delimiter are from line to line), indentation periodicity (how often the lead of
-a line comes again at a fixed step) and line-length autocorrelation (how alike the lengths of neighbouring lines are).
+vertical delimiter alignment (whether delimiters and wide gaps stand in the same columns, or the same delimiters come in the same numbers, from
+line to line), indentation periodicity (how often the lead of a line comes again at a fixed step) and line-length autocorrelation over several lags.
 
 Trees over the statistics of the body decide between prose and everything else, trained on line labels of a bounded sample of pages.
 A null text has null statistics; an empty or blank one has zeros. Neither is ever found to be no prose.
@@ -19,13 +19,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from . import boosting
-from .boilerplate import Boilerplate, Marker, Pages
+from .boilerplate import CAPITAL, FIGURE, KIND, LIMIT, Boilerplate, Marker, Pages, points_of
 from .pages import annotate
 
 WORD = re.compile(r"[^\W\d_]+", re.UNICODE)
 STOPS = frozenset(".!?…")
 LEAD = re.compile(r"^\s*(?:[^\w\s]+\s*|\d+[.)]?\s*)?")
 DELIMITERS = "\t|;,·>/-:"
+#: Ends of delimiters and of gaps of two blanks or more: where a column begins.
+COLUMN = re.compile(r"[\t|;,·>/:]\s*|(?<=\S)\s{2,}(?=\S)")
 NO_PROSE = ("tech", "form", "prom")
 PROSE = ("clea", "bibl", "offe")
 # Statistics in order; the first REPORTED are given out.
@@ -37,12 +39,21 @@ STATS = [
 
 
 def alignment(lines: list[str]) -> float:
-    """Mean likeness of neighbouring lines in the numbers of their delimiters; lines without any count as unlike."""
+    """Mean likeness of neighbouring lines in where their delimiters stand: 1 for the same two or more delimiters in the same numbers, else the
+    share of columns, of delimiters and of what follows wide gaps, that both have."""
     if len(lines) < 2:
         return 0.0
-    counts = [tuple(line.count(d) for d in DELIMITERS) for line in lines]
-    same = sum(a == b and any(a) for a, b in zip(counts, counts[1:], strict=False))
-    return same / (len(lines) - 1)
+    counts = [tuple(map(line.count, DELIMITERS)) for line in lines]
+    total = 0.0
+    columns: dict[int, set[int]] = {}
+    for k in range(len(lines) - 1):
+        if counts[k] == counts[k + 1] and sum(counts[k]) > 1:
+            total += 1
+            continue
+        a, b = (columns[i] if i in columns else columns.setdefault(i, {m.end() for m in COLUMN.finditer(lines[i])}) for i in (k, k + 1))
+        if a and b:
+            total += len(a & b) / len(a | b)
+    return total / (len(lines) - 1)
 
 
 def periodicity(lines: list[str], steps: int = 4) -> float:
@@ -55,12 +66,16 @@ def periodicity(lines: list[str], steps: int = 4) -> float:
     return best
 
 
-def autocorrelation(lengths: np.ndarray) -> float:
-    """One less the mean relative difference of neighbouring lengths: 1 for lines of one length."""
-    if len(lengths) < 2:
+def autocorrelation(lengths: np.ndarray, lags: int = 4) -> float:
+    """Greatest normalised autocorrelation of line lengths at lags up to four, which sees layouts of several lines too; 1 for lines of one length."""
+    n = len(lengths)
+    if n < 2:
         return 0.0
-    a, b = lengths[:-1], lengths[1:]
-    return float(1 - np.mean(np.abs(a - b) / np.maximum(1, np.maximum(a, b))))
+    x = lengths - lengths.mean()
+    power = float(np.dot(x, x))
+    if power < 1e-9:
+        return 1.0
+    return max(float(np.dot(x[:-k], x[k:])) / power * n / (n - k) for k in range(1, min(lags, n - 1) + 1))
 
 
 def statistics(lines: list[str], common: set[str]) -> list[float]:
@@ -70,11 +85,10 @@ def statistics(lines: list[str], common: set[str]) -> list[float]:
     text = "\n".join(lines)
     low = text.lower()
     words = WORD.findall(low)
-    raw = text.encode()
+    kind = KIND[np.minimum(points_of([text]), LIMIT)]
     n, chars = len(words), max(1, len(text) - text.count(" ") - text.count("\n"))
     letters = len("".join(words))
-    digits = len(raw) - len(raw.translate(None, b"0123456789"))
-    upper = len(raw) - len(raw.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    digits, upper = int(np.count_nonzero(kind == FIGURE)), int(np.count_nonzero(kind == CAPITAL))
     per = np.array([len(x) for x in lines], dtype=float)
     ends = [x.rstrip(" \t\r\"'»”)")[-1:] in STOPS for x in lines]
     spoken = sum(len(x.split()) for x, e in zip(lines, ends, strict=True) if e)

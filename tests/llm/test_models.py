@@ -115,6 +115,10 @@ def test_spam_and_prose(spark, corpus, body):
 
 def test_layout_measures():
     assert textstats.alignment(["a;b;c", "d;e;f", "g;h;i"]) == 1 and textstats.alignment(["plain words", "more words"]) == 0
+    assert textstats.alignment(["name      12", "longer    77", "x         3"]) == 1 and textstats.alignment(["one, two", "some, other words"]) < 0.5
+    two = np.array([30.0, 5.0] * 8)
+    assert textstats.autocorrelation(two) > 0.9 and textstats.autocorrelation(np.array([3.0, 80.0, 11.0, 54.0, 27.0, 95.0, 8.0])) < 0.9
+    assert textstats.statistics(["١٢٣ ABÉ"], set())[5] == 0.5
     assert textstats.periodicity(["- a", "- b", "- c"]) == 1 and textstats.periodicity(["a", "b"]) == 0
     assert textstats.autocorrelation(np.array([5.0, 5.0, 5.0])) == 1 and textstats.autocorrelation(np.array([1.0])) == 0
 

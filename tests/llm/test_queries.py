@@ -26,3 +26,13 @@ def test_sql(spark, name):
     from tests.oracle import compare
 
     assert compare(spark, SF, QUERIES[name](spark, SF), ORACLE[name]) == ""
+
+
+def test_models_are_saved_and_used_again(spark, tmp_path):
+    from loomline.llm import boilerplate, pages
+
+    texts = [f"Home | Shop\nThe old garden gate {k} was open when we came home." for k in range(40)]
+    body = boilerplate.train(texts, [["Navigation & Interface Elements", "Clean"]] * 40)
+    pages.save_model(spark, body, str(tmp_path / "body"))
+    again = pages.load_model(spark, str(tmp_path / "body"))
+    assert (again.mark(boilerplate.Pages(texts)) == body.mark(boilerplate.Pages(texts))).all()
