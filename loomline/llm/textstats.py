@@ -67,7 +67,8 @@ def periodicity(lines: list[str], steps: int = 4) -> float:
 
 
 def autocorrelation(lengths: np.ndarray, lags: int = 4) -> float:
-    """Greatest normalised autocorrelation of line lengths at lags up to four, which sees layouts of several lines too; 1 for lines of one length."""
+    """Greatest normalised autocorrelation of line lengths at lags up to four (and a third of the lines), which sees layouts of several lines too; 1
+    for lines of one length."""
     n = len(lengths)
     if n < 2:
         return 0.0
@@ -75,7 +76,7 @@ def autocorrelation(lengths: np.ndarray, lags: int = 4) -> float:
     power = float(np.dot(x, x))
     if power < 1e-9:
         return 1.0
-    return max(float(np.dot(x[:-k], x[k:])) / power * n / (n - k) for k in range(1, min(lags, n - 1) + 1))
+    return max(float(np.dot(x[:-k], x[k:])) / power * n / (n - k) for k in range(1, max(1, min(lags, n // 3)) + 1))
 
 
 def statistics(lines: list[str], common: set[str]) -> list[float]:
