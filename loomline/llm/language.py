@@ -103,9 +103,9 @@ def counts(lines: list[bytes]) -> np.ndarray:
 
 
 def words(line: bytes, lang: str | None = None) -> int:
-    """Number of words of a prepared line in a language that may have words of one consonant."""
+    """Number of words of a prepared line in a language that may have words of one consonant, up to WORDS: more are not asked for."""
     short = SHORT.get(lang or "", b"")
-    return int(counts([line])[0]) + sum(len(w) == 1 and w in short for w in line.split())
+    return min(WORDS, int(counts([line])[0]) + sum(len(w) == 1 and w in short for w in line.split()))
 
 
 def noise(line: bytes) -> float:
