@@ -140,7 +140,13 @@ def prompt_lines(docs: DataFrame) -> DataFrame:
     return B.prompts(docs, key="doc_id").select("doc_id", F.col("batch_no").cast("bigint").alias("batch_no"), "prompt")
 
 
-@query("long_line_segments", "documents")
+# Sentences are put together in a string, pieces apart by chr(1); the last piece is the open one.
+_PUT = "CASE WHEN length(string_split(a, chr(1))[-1]) + length(x) + 1 <= 200 THEN a || ' ' || x ELSE a || chr(1) || x END"
+_SENTENCES = rf"string_split(regexp_replace(text, '([.!?]){L.SPACE}+', '\1' || chr(2), 'g'), chr(2))"
+_PIECES = f"(SELECT doc_id, string_split(list_reduce({_SENTENCES}, lambda a, x: {_PUT}, ''), chr(1)) AS p FROM documents WHERE NOT contains(text, {NL}) AND length(text) > 200)"
+
+
+@query("long_line_segments", "documents", f"SELECT doc_id, CAST(pos AS INTEGER) AS pos, {sql_strip('segment')} AS segment FROM (SELECT doc_id, unnest(range(0, len(p))) AS pos, unnest(p) AS segment FROM (SELECT doc_id, CASE WHEN p[-1] = '' THEN p[1:-2] ELSE p END AS p FROM {_PIECES}))")
 def long_line_segments(docs: DataFrame) -> DataFrame:
     single = docs.where(~F.contains("text", F.lit("\n")) & (F.length("text") > 200))
     return single.select("doc_id", F.posexplode(L.segments(F.col("text"))).alias("pos", "segment"))

@@ -33,54 +33,59 @@ SHORTHANDS = {
 LABELS = list(SHORTHANDS.values())
 JUNK_LABELS = LABELS[1:]
 
-# Language codes by language name.
-LANGUAGE_CODES = {
-    "Bulgarian": "bul_Cyrl",
-    "Czech": "ces_Latn",
-    "Danish": "dan_Latn",
-    "German": "deu_Latn",
-    "Greek": "ell_Grek",
-    "English": "eng_Latn",
-    "Estonian": "est_Latn ekk_Latn",
-    "Finnish": "fin_Latn",
-    "French": "fra_Latn",
-    "Irish": "gle_Latn",
-    "Croatian": "hrv_Latn",
-    "Hungarian": "hun_Latn",
-    "Italian": "ita_Latn",
-    "Latvian": "lav_Latn ltg_Latn lvs_Latn",
-    "Lithuanian": "lit_Latn",
-    "Maltese": "mlt_Latn",
-    "Dutch": "nld_Latn",
-    "Polish": "pol_Latn",
-    "Portuguese": "por_Latn",
-    "Romanian": "ron_Latn",
-    "Slovak": "slk_Latn",
-    "Slovene": "slv_Latn",
-    "Spanish": "spa_Latn",
-    "Swedish": "swe_Latn",
-    "Bosnian": "bos_Latn",
-    "Catalan": "cat_Latn",
-    "Basque": "eus_Latn",
-    "Galician": "glg_Latn",
-    "Icelandic": "isl_Latn",
-    "Georgian": "kat_Geor",
-    "Macedonian": "mkd_Cyrl",
-    "Albanian": "sqi_Latn als_Latn",
-    "Serbian": "srp_Cyrl srp_Latn",
-    "Turkish": "tur_Latn",
-    "Ukrainian": "ukr_Cyrl",
-    "Norwegian": "nno_Latn nob_Latn",
-    "Simplified Chinese": "zho_Hans",
-    "Traditional Chinese": "zho_Hant",
-    "Arabic": "ara_Arab",
-    "Russian": "rus_Cyrl",
-    "Thai": "tha_Thai",
-    "Hindi": "hin_Deva",
-    "Swahili": "swh_Latn",
-    "Telugu": "tel_Telu",
+# Names of languages by code.
+LANGUAGE_OF_CODE = {
+    "bul_Cyrl": "Bulgarian",
+    "ces_Latn": "Czech",
+    "dan_Latn": "Danish",
+    "deu_Latn": "German",
+    "ell_Grek": "Greek",
+    "eng_Latn": "English",
+    "est_Latn": "Estonian",
+    "ekk_Latn": "Estonian",
+    "fin_Latn": "Finnish",
+    "fra_Latn": "French",
+    "gle_Latn": "Irish",
+    "hrv_Latn": "Croatian",
+    "hun_Latn": "Hungarian",
+    "ita_Latn": "Italian",
+    "lav_Latn": "Latvian",
+    "ltg_Latn": "Latvian",
+    "lvs_Latn": "Latvian",
+    "lit_Latn": "Lithuanian",
+    "mlt_Latn": "Maltese",
+    "nld_Latn": "Dutch",
+    "pol_Latn": "Polish",
+    "por_Latn": "Portuguese",
+    "ron_Latn": "Romanian",
+    "slk_Latn": "Slovak",
+    "slv_Latn": "Slovene",
+    "spa_Latn": "Spanish",
+    "swe_Latn": "Swedish",
+    "bos_Latn": "Bosnian",
+    "cat_Latn": "Catalan",
+    "eus_Latn": "Basque",
+    "glg_Latn": "Galician",
+    "isl_Latn": "Icelandic",
+    "kat_Geor": "Georgian",
+    "mkd_Cyrl": "Macedonian",
+    "sqi_Latn": "Albanian",
+    "als_Latn": "Albanian",
+    "srp_Cyrl": "Serbian",
+    "srp_Latn": "Serbian",
+    "tur_Latn": "Turkish",
+    "ukr_Cyrl": "Ukrainian",
+    "nno_Latn": "Norwegian",
+    "nob_Latn": "Norwegian",
+    "zho_Hans": "Simplified Chinese",
+    "zho_Hant": "Traditional Chinese",
+    "ara_Arab": "Arabic",
+    "rus_Cyrl": "Russian",
+    "tha_Thai": "Thai",
+    "hin_Deva": "Hindi",
+    "swh_Latn": "Swahili",
+    "tel_Telu": "Telugu",
 }
-LANGUAGE_OF_CODE = {code: name for name, codes in LANGUAGE_CODES.items() for code in codes.split()}
 
 
 def parse_labels(spec: str) -> list[str]:
