@@ -87,9 +87,13 @@ class Ngrams:
 
     @classmethod
     def fit(cls, sequence: np.ndarray, classes: int) -> Ngrams:
+        return cls.counted([np.unique(grams(sequence, n), return_counts=True) for n in (1, 2, 3)], classes)
+
+    @classmethod
+    def counted(cls, parts: list[tuple[np.ndarray, np.ndarray]], classes: int) -> Ngrams:
+        """Of sorted grams of one, two and three with their counts."""
         keys, counts, contexts, totals, kinds = [], [], [], [], []
-        for n in (1, 2, 3):
-            k, c = np.unique(grams(sequence, n), return_counts=True)
+        for k, c in parts:
             ctx, at = np.unique(k >> BITS, return_inverse=True)
             keys.append(k)
             counts.append(np.r_[c, 0].astype(float))

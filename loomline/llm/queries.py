@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lines import SPACE
 from ..session import broadcast_if_small
-from . import abuse, boilerplate, language, pii, spam, textstats, topics
+from . import abuse, boilerplate, language, pii, spam, textstats, topics, whole
 from .bpe import token_counts, token_ids
 from .cutoffs import cutoffs, source_name
 from .packing import fill_report, pack_items
@@ -82,7 +82,11 @@ def _valid(results: DataFrame, *payload: str) -> DataFrame:
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages whose body is mainly keyword, link or tag spam."""
     pages = _pages(spark, sf_dir)
-    texts, labels = boilerplate.labelled_sample(pages)
+    total = pages.count()
+    if total > boilerplate.PAGES:
+        return _valid(whole.spam_rows(pages, total), "spam").where("spam").select("id")
+    # all rows of the table
+    texts, labels = boilerplate.labelled_sample(pages, total)
     body = boilerplate.train(texts, labels)
     flagged = spam.spam_pages(pages.select("id", "ingest_ts", "text"), spam.train(texts, labels, body), body)
     return _valid(flagged, "spam").where("spam").select("id")
