@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -35,43 +35,78 @@ def class_of(token: str) -> int:
 
 
 @dataclass
-class Vocabulary:
-    """Function words in order; their classes follow the shapes."""
+class Tokens:
+    """The tokens of some lines as any vocabulary reads them: their classes by shape, the repeated form where they repeat, the places of words among
+    ``names`` (-1 for what is none), and the number of tokens of each line with its start and end."""
 
-    words: dict[str, int]
+    code: np.ndarray
+    word: np.ndarray
+    size: np.ndarray
+    names: list[str]
 
     @classmethod
-    def fit(cls, lines: list[str], size: int = FUNCTION_WORDS) -> Vocabulary:
-        counts = Counter(t for line in lines for t in {x.lower() for x in TOKEN.findall(line) if x[0].isalpha()})
-        common = [w for w, n in counts.most_common(size) if n > 1]
-        return cls({w: 2 * len(CLASSES) + i for i, w in enumerate(common)})
-
-    def sequence(self, lines: list[str], cache: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(classes, line of each token, whether it repeats) with a start and an end for each line. ``cache`` holds classes of tokens met."""
+    def of(cls, lines: list[str], cache: dict[str, int]) -> Tokens:
+        """``cache`` holds classes of tokens met."""
         found = [["\0", *TOKEN.findall(x), "\1"] for x in lines]
         flat = list(chain.from_iterable(found))
         local = {t: k for k, t in enumerate(dict.fromkeys(flat))}
-        codes = np.zeros(len(local), dtype=np.int64)
-        lowered = np.arange(len(local))
+        codes, lowered, named = np.zeros(len(local), dtype=np.uint8), np.arange(len(local)), np.full(len(local), -1, dtype=np.int32)
         first: dict[str, int] = {}
+        names: dict[str, int] = {}
         for t, k in local.items():
             low = t.lower()
             lowered[k] = first.setdefault(low, k)
             code = cache.get(t)
             if code is None:
-                code = cache[t] = 0 if t == "\0" else 1 if t == "\1" else self.words.get(low, class_of(t))
+                code = cache[t] = 0 if t == "\0" else 1 if t == "\1" else class_of(t)
             codes[k] = code
+            if t[0].isalpha():
+                named[k] = names.setdefault(low, len(names))
         at = np.fromiter(map(local.__getitem__, flat), dtype=np.int64, count=len(flat))
-        cls = codes[at]
-        word = lowered[at]
-        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        code, word = codes[at], lowered[at]
+        size = np.fromiter(map(len, found), dtype=np.int32, count=len(found))
         line = np.repeat(np.arange(len(lines)), size)
         again = np.zeros(len(at), dtype=bool)
-        countable = (cls >= 2) & ~((cls >= 10) & (cls < len(CLASSES)))
         for k in range(1, min(WINDOW, len(at) - 1) + 1):
             again[k:] |= (word[k:] == word[:-k]) & (line[k:] == line[:-k])
-        again &= countable
-        return np.where(again & (cls < len(CLASSES)), cls + len(CLASSES), cls), line, again
+        again &= (code >= 2) & (code < 10)
+        return cls(code + again.astype(np.uint8) * np.uint8(len(CLASSES)), named[at], size, list(names))
+
+    def line(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.size)), self.size)
+
+    def again(self) -> np.ndarray:
+        return self.code >= len(CLASSES)
+
+    def sequence(self, vocabulary: Vocabulary) -> np.ndarray:
+        """Classes: function words are kept as themselves."""
+        own = np.fromiter(chain(map(vocabulary.words.get, self.names, repeat(0)), (0,)), dtype=np.int64, count=len(self.names) + 1)[self.word]
+        return np.where(own > 0, own, self.code)
+
+    def take(self, lines: np.ndarray) -> Tokens:
+        """Of some lines, in the order given."""
+        size = self.size[lines]
+        begin = (np.cumsum(self.size) - self.size)[lines]
+        at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return Tokens(self.code[at], self.word[at], size, self.names)
+
+
+@dataclass
+class Vocabulary:
+    """Function words in order; their classes follow the shapes."""
+
+    words: dict[str, int]
+
+    @classmethod
+    def fit(cls, lines: list[str], size: int = FUNCTION_WORDS) -> Vocabulary:
+        counts = Counter(t for line in lines for t in {x.lower() for x in TOKEN.findall(line) if x[0].isalpha()})
+        common = [w for w, n in counts.most_common(size) if n > 1]
+        return cls({w: 2 * len(CLASSES) + i for i, w in enumerate(common)})
+
+    def sequence(self, lines: list[str], cache: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(classes, line of each token, whether it repeats) with a start and an end for each line. ``cache`` holds classes of tokens met."""
+        told = Tokens.of(lines, cache)
+        return told.sequence(self), told.line(), told.again()
 
 
 @dataclass

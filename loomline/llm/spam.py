@@ -10,6 +10,7 @@ Models are trained on the line labels of a bounded sample of pages. Null and emp
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 
 from . import boosting
 from .boilerplate import Boilerplate, Marker, Pages
-from .ngram import CLASSES, Ngrams, Vocabulary, grams
+from .ngram import CLASSES, Ngrams, Tokens, Vocabulary, grams
 from .pages import Bounded, annotate
 
 PROSE, SPAM, OTHER = ("clea", "bibl"), ("prom",), ("tech", "form")
@@ -44,27 +45,24 @@ class Spam:
         """One row per page, of its body lines."""
         if not lines:
             return np.zeros((n_pages, 16))
-        seq, line, again = self.words.sequence(lines, cache)
+        return self.described(Tokens.of(lines, cache), page, repeats(lines, page, n_pages), n_pages)
+
+    def described(self, tokens: Tokens, page: np.ndarray, same: np.ndarray, n_pages: int) -> np.ndarray:
+        """Of lines as tokens; ``page`` is the page of each line, ``same`` the number of lines of a page that stood on it before."""
+        seq, line, again = tokens.sequence(self.words), tokens.line(), tokens.again()
         owner = page[line]
         different, at = np.unique(grams(seq, 3), return_inverse=True)
         models = [m.bits(different)[at] for m in (self.prose, self.spam, self.other)]
         n = np.maximum(1, np.bincount(owner, minlength=n_pages))
         sums = [np.bincount(owner, weights=m, minlength=n_pages) / n for m in models]
         # lines vote too: a few long ones must not hide the rest
-        length = np.maximum(1, np.bincount(line, minlength=len(lines)))
-        per_line = np.stack([np.bincount(line, weights=m, minlength=len(lines)) / length for m in models])
+        length = np.maximum(1, np.bincount(line, minlength=len(page)))
+        per_line = np.stack([np.bincount(line, weights=m, minlength=len(page)) / length for m in models])
         n_lines = np.maximum(1, np.bincount(page, minlength=n_pages))
         best = per_line.argmin(axis=0)
         votes = [np.bincount(page, weights=best == k, minlength=n_pages) / n_lines for k in range(3)]
         base = seq % len(CLASSES) * (seq < 2 * len(CLASSES)) + (seq >= 2 * len(CLASSES)) * -1
         share = lambda mask: np.bincount(owner, weights=mask, minlength=n_pages) / n
-        same = np.zeros(n_pages)
-        seen: dict[tuple[int, str], int] = {}
-        for p, x in zip(page, lines, strict=True):
-            key = (int(p), x.strip().lower())
-            seen[key] = seen.get(key, 0) + 1
-        for (p, _), k in seen.items():
-            same[p] += k - 1
         function = share(seq >= 2 * len(CLASSES))
         return np.stack(
             [*sums, sums[0] - sums[1], sums[1] - sums[2], *votes, share(again), share(base == 2), share(base == 3), share(base == 10), function, same / n_lines, np.log1p(n), n_lines],
@@ -73,13 +71,21 @@ class Spam:
 
     def flag(self, lines: list[str], page: np.ndarray, n_pages: int, cache: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(flagged, probability, bits a token under the prose model) of each page."""
-        x = self.features(lines, page, n_pages, cache)
+        return self.decide(self.features(lines, page, n_pages, cache), np.bincount(page, minlength=n_pages) > 0 if len(lines) else np.zeros(n_pages, dtype=bool))
+
+    def decide(self, x: np.ndarray, has: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of features; ``has`` tells which pages have a body."""
         p = self.trees.proba(x)
-        has = np.bincount(page, minlength=n_pages) > 0 if len(lines) else np.zeros(n_pages, dtype=bool)
         abnormal = (x[:, 0] < self.low) | (x[:, 0] > self.high)
         return has & abnormal & (p > 0.5), p, x[:, 0]
 
 
+def repeats(lines: list[str], page: np.ndarray, n_pages: int) -> np.ndarray:
+    """Lines of each page that stood on it before."""
+    different = Counter(p for p, _ in set(zip(page.tolist(), (x.strip().lower() for x in lines), strict=True)))
+    return np.bincount(page, minlength=n_pages) - np.array([different[p] for p in range(n_pages)], dtype=float)
+
+
 def body_lines(pages: Pages, mark: np.ndarray) -> tuple[list[str], np.ndarray]:
     keep = np.flatnonzero(~mark)
     return [pages.text[k] for k in keep], pages.page[keep]

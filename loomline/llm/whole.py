@@ -14,7 +14,6 @@ import math
 import pickle
 import uuid
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import chain
@@ -30,9 +29,9 @@ from pyspark.sql.types import StructType
 
 from . import boosting
 from .boilerplate import POSITIVE, SKIPPED, TREES, Boilerplate, Lines, Odds, Pages, around, ends, folded, node_features, points_of
-from .ngram import CLASSES, FUNCTION_WORDS, TOKEN, Ngrams, Vocabulary, grams
+from .ngram import BITS, CLASSES, FUNCTION_WORDS, Ngrams, Tokens, Vocabulary, grams
 from .pages import Bounded
-from .spam import NORMAL, OTHER, PROSE, SPAM, Spam, short
+from .spam import NORMAL, OTHER, PROSE, SPAM, Spam, repeats, short
 
 #: Rows of the table in a part, and parts at most: the sums of a window's parts come to the driver at once.
 PART, PARTS = 3000, 960
@@ -209,6 +208,16 @@ def decoded(codes: np.ndarray) -> np.ndarray:
     return np.where(u >> 31, u & np.uint32((1 << 31) - 1), ~u).astype(np.uint32).view(np.float32)
 
 
+def packed(codes: np.ndarray) -> tuple[tuple[int, ...], bytes]:
+    """Codes as they lie on disk: upper and lower bytes apart, which packs better."""
+    return codes.shape, zlib.compress(np.ascontiguousarray(np.moveaxis(codes.view(np.uint8).reshape(*codes.shape, 2), -1, 0)), 1)
+
+
+def unpacked(shape: tuple[int, ...], data: bytes) -> np.ndarray:
+    low, high = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(2, *shape)
+    return low | high.astype(np.uint16) << 8
+
+
 def together(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     keys, at = np.unique(np.r_[a[0], b[0]], return_inverse=True)
     return keys, np.bincount(at, weights=np.r_[a[1], b[1]], minlength=len(keys)).astype(np.int64)
@@ -396,7 +405,7 @@ def page_blocks(rows: DataFrame, odds: list[Odds]) -> RDD:
                 odd[some] = shared.value[1 + h].of(pages.lines, some)
             x, block = node_features(pages.lines, odd, pages.page, pages.gap)
             w = (code >> 1 & 1).astype(np.uint8)
-            made = {"codes": coded(x), "y": (code & 1).astype(np.uint8), "weight": np.stack([w, w * (half != 0), w * (half != 1)]), "half": half.astype(np.uint8)}
+            made = {"codes": packed(coded(x)), "y": (code & 1).astype(np.uint8), "weight": np.stack([w, w * (half != 0), w * (half != 1)]), "half": half.astype(np.uint8)}
             made |= {"page": pages.page.astype(np.int32), "block": block.astype(np.int32)}
             yield {"made": [pickle.dumps(made, protocol=5)]}
 
@@ -413,8 +422,8 @@ def train_body(rows: DataFrame, trees: int = TREES) -> Boilerplate:
     coded_blocks = page_blocks(rows, odds).persist(StorageLevel.DISK_ONLY)
     if coded_blocks.isEmpty():
         return Boilerplate(odds[0], *(boosting.fit(np.zeros((0, 1)), np.zeros(0)) for _ in range(2)))
-    edges = quantile_codes(coded_blocks, lambda b: b["codes"])
-    blocks = coded_blocks.map(lambda b: without(b, "codes") | {"bins": binned(b["codes"], edges)}).persist(StorageLevel.DISK_ONLY)
+    edges = quantile_codes(coded_blocks, lambda b: unpacked(*b["codes"]))
+    blocks = coded_blocks.map(lambda b: without(b, "codes") | {"bins": binned(unpacked(*b["codes"]), edges)}).persist(StorageLevel.DISK_ONLY)
     blocks.count()
     coded_blocks.unpersist()
     first, *halves = fit_all(blocks, edges, trees // 2)
@@ -471,58 +480,120 @@ def judged(page: np.ndarray, codes: list[bytes]) -> tuple[np.ndarray, np.ndarray
     return kind, per.argmax(axis=0) + 1, per.max(axis=0) / np.maximum(1, per.sum(axis=0))
 
 
+def chosen(k: int, page: np.ndarray, kind: np.ndarray, page_kind: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Places of lines of pages of a kind: a line counts for a model when its page agrees, one of prose when its label does too."""
+    return np.flatnonzero(among[page] & (page_kind[page] == k) & ((kind == 1) | (k != 1)))
+
+
 def of_kind(k: int, lines: list[str], page: np.ndarray, kind: np.ndarray, page_kind: np.ndarray, among: np.ndarray) -> list[str]:
-    """Lines of pages of a kind: a line counts for a model when its page agrees, one of prose when its label does too."""
-    return [lines[i] for i in np.flatnonzero(among[page] & (page_kind[page] == k) & ((kind == 1) | (k != 1)))]
+    """The lines themselves."""
+    return [lines[i] for i in chosen(k, page, kind, page_kind, among)]
+
+
+def spoken(rows: DataFrame) -> DataFrame:
+    """``id``, ``ingest_ts`` and ``page`` of rows with their bodies, and once a batch, with its first row, its bodies as tokens (``made``): texts are
+    read once for everything that follows. Where that was done already nothing is done again."""
+    if "made" in rows.columns:
+        return rows
+
+    def work(batches):
+        cache = Bounded(100_000)
+        for batch in batches:
+            cache.trim()
+            body, codes = batch.column("body").to_pylist(), batch.column("codes").to_pylist()
+            number = {t: k for k, t in enumerate(dict.fromkeys(body))}
+            lines, page = lines_of(list(number))
+            tokens = Tokens.of(lines, cache)
+            if len(tokens.names) < 1 << 15:
+                tokens.word = tokens.word.astype(np.int16)
+            some = [k for k, c in enumerate(codes) if c is not None]
+            made = {
+                "tokens": tokens, "page": page.astype(np.int32), "same": repeats(lines, page, len(number)), "pages": len(number),
+                "of": np.array([number[body[k]] for k in some], dtype=np.int32), "codes": [codes[k] for k in some], "half": np.array([half_of(body[k]) for k in some], dtype=np.int64),
+            }
+            packed = zlib.compress(pickle.dumps(made, protocol=5), 1)
+            yield {"id": batch.column("id"), "ingest_ts": batch.column("ingest_ts"), "page": [number[b] for b in body], "made": [packed, *[None] * (len(body) - 1)]}
+
+    return mapped(rows, work, rows.select("id", "ingest_ts").schema.add("page", "integer").add("made", "binary"))
+
 
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    return (pickle.loads(zlib.decompress(made)) for batch in batches for made in batch.column("made").to_pylist() if made is not None)
 
-def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        body, codes = batch.column("body").to_pylist(), batch.column("codes").to_pylist()
-        lines, page = lines_of(body)
-        if lines:
-            yield lines, page, *judged(page, codes), np.array([half_of(b) for b in body])
+
+def labelled_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(tokens, page of each line, kind of each line and of each page, how sure that is, half and repeated lines of each page) of the labelled rows."""
+    for block in blocks_of(batches):
+        of, page = block["of"], block["page"]
+        n = np.bincount(page, minlength=block["pages"])
+        size = n[of]
+        lines = np.repeat((np.cumsum(n) - n)[of] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        if len(lines):
+            mine = np.repeat(np.arange(len(of)), size)
+            yield block["tokens"].take(lines), mine, *judged(mine, block["codes"]), block["half"], block["same"][of]
+
+
+def made(rows: DataFrame) -> DataFrame:
+    return spoken(rows).where(F.col("made").isNotNull()).select("made")
 
 
 def vocabulary(rows: DataFrame, size: int = FUNCTION_WORDS) -> Vocabulary:
     """The words in most lines of prose; of words in as many lines, the first by name."""
 
     def work(batches):
-        for lines, page, kind, page_kind, _, half in batches_of(batches):
-            prose = of_kind(1, lines, page, kind, page_kind, half >= 0)
-            counts = Counter(t for line in prose for t in {x.lower() for x in TOKEN.findall(line) if x[0].isalpha()})
-            yield {"word": list(counts), "n": list(counts.values())}
-
-    counted = mapped(labelled(rows, "body"), work, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+        for tokens, page, kind, page_kind, _, half, _ in labelled_blocks(batches):
+            prose = tokens.take(chosen(1, page, kind, page_kind, half >= 0))
+            v = max(1, len(prose.names))
+            once = np.unique((prose.line() * v + prose.word)[prose.word >= 0]) % v
+            n = np.bincount(once, minlength=v)
+            some = np.flatnonzero(n)
+            yield {"word": [prose.names[k] for k in some], "n": pa.array(n[some], type=pa.int64())}
+
+    counted = mapped(made(rows), work, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     common = [r.word for r in counted.where("n > 1").orderBy(F.desc("n"), "word").limit(size).collect()]
     return Vocabulary({w: 2 * len(CLASSES) + k for k, w in enumerate(common)})
 
 
+#: Grams are keys of so many bits, above which their kind, half and length stand.
+GRAM = 3 * BITS + 1
+#: Different grams that a task gathers before it gives them out.
+GATHER = 2_000_000
+
+
 def ngrams(rows: DataFrame, words: Vocabulary) -> dict[tuple[int, int], Ngrams]:
     """Models by kind and by the half that is not counted, -1 for none."""
 
     def work(batches):
-        cache = Bounded(100_000)
-        for lines, page, kind, page_kind, _, half in batches_of(batches):
-            cache.trim()
+        held, size = [], 0
+
+        def give() -> dict[str, pa.Array]:
+            keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+            return {"gram": pa.array(keys), "count": pa.array(np.bincount(at, weights=np.concatenate([n for _, n in held]), minlength=len(keys)).astype(np.int64))}
+
+        for tokens, page, kind, page_kind, _, half, _ in labelled_blocks(batches):
             for k in (1, 2, 3):
                 for h in (0, 1):
-                    some = of_kind(k, lines, page, kind, page_kind, half == h)
-                    sequence = words.sequence(some, cache)[0] if some else np.zeros(0, dtype=np.int64)
-                    for n in (1, 2, 3) if some else ():
+                    sequence = tokens.take(chosen(k, page, kind, page_kind, half == h)).sequence(words)
+                    for n in (1, 2, 3) if len(sequence) else ():
                         key, count = np.unique(grams(sequence, n), return_counts=True)
-                        same = lambda v, m=len(key): pa.array(np.full(m, v), type=pa.int32())
-                        yield {"kind": same(k), "half": same(h), "n": same(n), "gram": pa.array(key), "count": pa.array(count)}
-
-    counted = mapped(labelled(rows, "body"), work, "kind int, half int, n int, gram bigint, count bigint")
-    table = counted.groupBy("kind", "half", "n", "gram").agg(F.sum("count").alias("count")).toArrow()
-    kind, half, n, gram, count = (table[c].to_numpy() for c in ("kind", "half", "n", "gram", "count"))
+                        held.append((key | (k * 8 + h * 4 + n) << GRAM, count))
+                        size += len(key)
+            if size > GATHER:
+                yield give()
+                held, size = [], 0
+        if held:
+            yield give()
+
+    counted = mapped(made(rows), work, "gram bigint, count bigint")
+    table = counted.groupBy("gram").agg(F.sum("count").alias("count")).toArrow()
+    gram, count = table["gram"].to_numpy(), table["count"].to_numpy()
+    what, gram = gram >> GRAM, gram & ((1 << GRAM) - 1)
     out = {}
     for k in (1, 2, 3):
         for h in (-1, 0, 1):
             parts = []
             for m in (1, 2, 3):
-                some = (kind == k) & (n == m) & (half != h)
+                some = np.isin(what, [k * 8 + g * 4 + m for g in (0, 1) if g != h])
                 key, at = np.unique(gram[some], return_inverse=True)
                 parts.append((key, np.bincount(at, weights=count[some], minlength=len(key)).astype(np.int64)))
             out[k, h] = Ngrams.counted(parts, 2 * len(CLASSES) + len(words.words))
@@ -574,22 +645,21 @@ def train_spam(rows: DataFrame) -> Spam:
     shared = rows.sparkSession.sparkContext.broadcast(spam[:2])
 
     def work(batches):
-        cache = Bounded(100_000)
-        for lines, page, _, page_kind, sure, half in batches_of(batches):
-            cache.trim()
+        for tokens, page, _, page_kind, sure, half, same in labelled_blocks(batches):
             x = np.zeros((len(half), 16))
             for h in (0, 1):
                 # perplexities that trees learn from come from models of the other half
                 mine = np.flatnonzero(half == h)
                 some = np.flatnonzero(half[page] == h)
-                x[mine] = shared.value[h].features([lines[i] for i in some], np.searchsorted(mine, page[some]), len(mine), cache)
+                if len(some):
+                    x[mine] = shared.value[h].described(tokens.take(some), np.searchsorted(mine, page[some]), same[mine], len(mine))
             has = np.bincount(page, minlength=len(half)) > 0
             weight = np.where(has, sure, 0)
             normal = x[(page_kind == 1) & (weight > 0.8), 0]
             yield {"made": [pickle.dumps({"codes": coded(x), "y": (page_kind == 2).astype(float), "weight": weight[None], "normal": normal}, protocol=5)]}
 
-    made = pickled(mapped(labelled(rows, "body"), work, "made binary"))
-    blocks = placed(gathered(made, -(-made.getNumPartitions() // GATHERED))).persist(StorageLevel.DISK_ONLY)
+    found = pickled(mapped(made(rows), work, "made binary"))
+    blocks = placed(gathered(found, -(-found.getNumPartitions() // GATHERED))).persist(StorageLevel.DISK_ONLY)
     if not blocks.isEmpty():
         spam[2].low, spam[2].high = quantiles(blocks.map(lambda b: b["normal"]), [(1 - NORMAL) / 2, (1 + NORMAL) / 2], 10) or (0.0, 0.0)
         edges = quantile_codes(blocks, lambda b: b["codes"])
@@ -605,22 +675,26 @@ def flagged(rows: DataFrame, model: Spam) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def work(batches):
-        cache = Bounded(100_000)
+        flag: list[bool] = []
         for batch in batches:
-            cache.trim()
-            body = batch.column("body").to_pylist()
-            number = {t: k for k, t in enumerate(dict.fromkeys(body))}
-            flag, _, _ = shared.value.flag(*lines_of(list(number)), len(number), cache)
-            yield {"id": batch.column("id"), "ingest_ts": batch.column("ingest_ts"), "spam": [bool(flag[number[b]]) for b in body]}
+            found = []
+            for page, packed in zip(batch.column("page").to_pylist(), batch.column("made").to_pylist(), strict=True):
+                if packed is not None:
+                    block = pickle.loads(zlib.decompress(packed))
+                    n = block["pages"]
+                    x = shared.value.described(block["tokens"], block["page"], block["same"], n) if len(block["page"]) else np.zeros((n, 16))
+                    flag = shared.value.decide(x, np.bincount(block["page"], minlength=n) > 0)[0].tolist()
+                found.append(flag[page])
+            yield {"id": batch.column("id"), "ingest_ts": batch.column("ingest_ts"), "spam": found}
 
-    return mapped(rows, work, rows.select("id", "ingest_ts").schema.add("spam", "boolean"))
+    return mapped(spoken(rows), work, rows.select("id", "ingest_ts").schema.add("spam", "boolean"))
 
 
 def spam_rows(pages: DataFrame, total: int) -> DataFrame:
     """``id``, ``ingest_ts`` and ``spam`` of all rows, by models fitted on all labelled ones; ``total`` is the number of rows."""
     rows = dealt(pages, max(1, min(PARTS, -(-total // PART)))).persist(StorageLevel.DISK_ONLY)
     body = train_body(rows)
-    mains = bodies(rows, body).persist(StorageLevel.DISK_ONLY)
-    mains.count()
+    told = spoken(bodies(rows, body)).persist(StorageLevel.DISK_ONLY)
+    told.count()
     rows.unpersist()
-    return flagged(mains, train_spam(mains))
+    return flagged(told, train_spam(told))

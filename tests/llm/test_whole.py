@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from loomline.llm import boilerplate, boosting, ngram, whole
+from loomline.llm import boilerplate, boosting, ngram, spam, whole
 from loomline.llm.queries import QUERIES
 
 from .test_models import page
@@ -88,3 +88,28 @@ def test_trees_see_every_row(spark):
     alone = boosting.fit(x[:2500], y[:2500], trees=40, depth=4)
     right = [((m.proba(x[2500:]) > 0.5) == y[2500:]).mean() for m in (model, alone)]
     assert right[0] > 0.95 and right[0] > right[1] - 0.02
+
+
+def test_bodies_are_read_once(spark):
+    """Words, grams and flags all come from one reading of the bodies."""
+    _, made = invented(200)
+    texts, labels = boilerplate.labelled(made)
+    dealt = whole.dealt(spark.createDataFrame(rows(made), SCHEMA), 1)
+    body = boilerplate.train(texts, labels, trees=4)
+    mains = whole.bodies(dealt, body)
+    kept = mains.collect()
+    told = whole.spoken(mains).cache()
+    assert whole.spoken(told) is told and told.where("made is not null").count() == 1
+    words = whole.vocabulary(told)
+    models = whole.ngrams(told, words)
+    model = spam.Spam(words, *(models[k, -1] for k in (1, 2, 3)), spam.train(texts, labels, body).trees, 3.0, 4.0)
+    number = {b: k for k, b in enumerate(dict.fromkeys(r.body for r in kept))}
+    want, _, _ = model.flag(*whole.lines_of(list(number)), len(number), {})
+    got = {r.id: r.spam for r in whole.flagged(told, model).collect()}
+    assert got == {r.id: bool(want[number[r.body]]) for r in kept} and 0 < sum(got.values()) < len(got)
+
+
+def test_codes_lie_packed():
+    codes = whole.coded(np.random.default_rng(2).integers(0, 9, size=(3000, 5)).astype(float))
+    shape, data = whole.packed(codes)
+    assert (whole.unpacked(shape, data) == codes).all() and len(data) < codes.nbytes / 2
