@@ -49,6 +49,8 @@ ANCHOR = 0.3
 #: Languages in a smaller part of the labelled documents share topics with each other.
 OWN = 0.02
 SHARE = 0.25
+#: Documents worked on at once; those of the same languages are one piece of numpy work.
+CHUNK = 2048
 #: Part of a unit's words that its topic is taken to give.
 MIXED = 0.25
 TOP = 60
@@ -183,7 +185,7 @@ class Topics:
             yield own, np.flatnonzero((of == k)[doc]), np.flatnonzero(some[self.block])
 
     def infer(self, docs: Coded, rounds: int = 6, allowed: np.ndarray | None = None) -> tuple[np.ndarray, list[tuple], float]:
-        """Topic proportions of each document; (words, topics, count x responsibilities) of its parts; bits of all words.
+        """Topic proportions of each document; (words, topics, count x responsibilities, a row a topic) of its parts; bits of all words.
 
         ``allowed`` bars topics of documents, and looks at all languages.
         """
@@ -199,15 +201,18 @@ class Topics:
             prior = (np.broadcast_to(self.alpha[topics], (len(own), len(topics))) * (1 if allowed is None else allowed)).astype(np.float32)
             share = prior / prior.sum(axis=1, keepdims=True)
             at, w, count = np.searchsorted(own, doc[rows]), word[rows], n[rows].astype(np.float32)
-            b = self.beta[np.ix_(topics, w)].T
+            # a row a topic, so that the words of a document lie together; its proportion of a topic is the same for all its words
+            b = np.take(self.beta[topics], w, axis=1)
             begin = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
             has, logs = at[begin], None
             for _ in range(rounds):
-                r = share[at] * b
-                logs = np.maximum(r.sum(axis=1), 1e-30)
-                r *= (count / logs)[:, None]
+                mine = np.ascontiguousarray(share.T)
+                r = np.take(mine, at, axis=1)
+                r *= b
+                logs = np.maximum(r.sum(axis=0), 1e-30)
+                r *= count / logs
                 gamma = prior.copy()
-                gamma[has] += np.add.reduceat(r, begin, axis=0)
+                gamma[has] += np.add.reduceat(r, begin, axis=1).T
                 share = gamma / gamma.sum(axis=1, keepdims=True)
             theta[own] = 0
             theta[np.ix_(own, topics)] = share
@@ -215,7 +220,7 @@ class Topics:
             found.append((w, topics, r))
         return theta, found, bits
 
-    def expected(self, docs: Coded, rounds: int = 6, allowed: np.ndarray | None = None, chunk: int = 256) -> tuple[np.ndarray, float]:
+    def expected(self, docs: Coded, rounds: int = 6, allowed: np.ndarray | None = None, chunk: int = CHUNK) -> tuple[np.ndarray, float]:
         """Expected counts of each topic's words in some documents, a few documents at a time, and the bits of their words."""
         total, bits = np.zeros(self.beta.shape, dtype=np.float32), 0.0
         for i in range(0, len(docs), chunk):
@@ -224,7 +229,7 @@ class Topics:
             for word, topics, r in found:
                 order = np.argsort(word, kind="stable")
                 first = np.flatnonzero(np.r_[True, np.diff(word[order]) > 0])
-                total[np.ix_(topics, word[order][first])] += np.add.reduceat(r[order], first, axis=0).T
+                total[np.ix_(topics, word[order][first])] += np.add.reduceat(np.take(r, order, axis=1), first, axis=1)
         return total, bits
 
     def odds(self) -> tuple[list[int], np.ndarray]:
@@ -448,7 +453,7 @@ def document_subjects(fitted: Fitted, least: float = SHARE) -> DataFrame:
 
         return each
 
-    found = run(fitted.docs, work, "doc_id bigint, found array<struct<subject: string, share: double>>", rows=512)
+    found = run(fitted.docs, work, "doc_id bigint, found array<struct<subject: string, share: double>>", rows=CHUNK)
     return found.select("doc_id", F.explode("found").alias("x")).select("doc_id", "x.subject", "x.share")
 
 
