@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from itertools import chain, repeat
 
@@ -99,6 +99,50 @@ def spells(points: np.ndarray, word: str) -> np.ndarray:
     return out
 
 
+def measured(lines: list[str], text: list[str], points: np.ndarray, words: np.ndarray, different: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers, shape, whether it is odd) of non-blank lines, given without outer blanks, as code points, and with how many words and different words they have."""
+    at = np.minimum(points, LIMIT)
+    kind, uses = KIND[at], USES[at]
+    are = lambda use, where=slice(None): (uses[where] & use[0]) > 0
+    n = np.fromiter(map(len, text), dtype=np.int64, count=len(text))
+    after = np.cumsum(n + 1)
+    starts, last = after - n - 1, after - 2
+    count = lambda mask: np.add.reduceat(mask, starts, dtype=np.int64)
+    space, dot = points == 32, are(ENDS)
+    ended = last.copy()
+    while (closed := are(CLOSING, ended) & (ended > starts)).any():
+        ended -= closed
+    end = dot[ended]
+    between = are(BETWEEN)
+    between[1:-1] &= space[:-2] & space[2:]
+    double = np.r_[space[:-1] & space[1:], False]
+    separators = count(between | double | are(ALONE))
+    sentences = count(np.r_[dot[:-1] & space[1:], False]) + end
+    figure = kind == FIGURE
+    digits, symbols, capital = count(figure), count(kind == MARK), count(kind == CAPITAL)
+    letters = n - digits - symbols - count(kind == BLANK)
+    # a bullet, or up to three figures with a dot or bracket, and a blank
+    top = len(points) - 1
+    lead = np.zeros(len(text), dtype=np.int64)
+    for k in range(3):
+        lead += (lead == k) & figure[np.minimum(starts + k, top)]
+    behind = np.minimum(starts + lead, top)
+    mark, gap = points[behind], kind[np.minimum(behind + 1, top)] == BLANK
+    bullet = gap & np.where(lead > 0, (mark == 46) | (mark == 41), are(BULLETS, behind))
+    indent = np.fromiter((len(x) - len(x.lstrip()) if x[0].isspace() else 0 for x in lines), dtype=np.int64, count=len(lines))
+    link = count(spells(points, "http") | spells(points, "www.")) > 0
+    has = lambda c: count(points == ord(c)) > 0
+    some, chars = np.maximum(1, words), np.maximum(1, n)
+    numbers = np.stack([
+        np.log1p(n), words, letters / some, digits / chars, end, separators, separators / some, bullet,
+        capital / some, points[ended] == ord(":"), has("©") | spells(points, "(c)")[starts], has("@"), link, sentences,
+        symbols / chars, indent, kind[starts] == CAPITAL, different / some,
+        figure[last] | (points[last] == ord(")")), figure[starts], has("#"),
+    ], axis=1).astype(float)
+    shape = np.where((sentences > 0) & (words > 5), 4, np.where(bullet, 0, np.where(digits > 0.3 * n, 3, np.where(separators >= 2, 2, 1))))
+    return numbers, shape, (count(are(ODD) | spells(points, " AT ")) > 0) | link
+
+
 @dataclass
 class Lines:
     """What lines show by themselves: numbers (a row each), shapes, the words of each with their number, and the lines as folded.
@@ -120,50 +164,12 @@ class Lines:
             return cls(np.zeros((0, 21)), np.zeros(0, dtype=np.int64), [], np.zeros(0, dtype=np.int64), [], np.zeros(0, dtype=bool))
         text = [x.strip() for x in lines]
         points = points_of(text)
-        at = np.minimum(points, LIMIT)
-        kind, uses = KIND[at], USES[at]
-        are = lambda use, where=slice(None): (uses[where] & use[0]) > 0
         keys = folded(points)
         per = [x.split() for x in keys]
         words = np.fromiter(map(len, per), dtype=np.int64, count=len(per))
         different = np.fromiter((len(set(x)) for x in per), dtype=np.int64, count=len(per))
-        n = np.fromiter(map(len, text), dtype=np.int64, count=len(text))
-        after = np.cumsum(n + 1)
-        starts, last = after - n - 1, after - 2
-        count = lambda mask: np.add.reduceat(mask, starts, dtype=np.int64)
-        space, dot = points == 32, are(ENDS)
-        ended = last.copy()
-        while (closed := are(CLOSING, ended) & (ended > starts)).any():
-            ended -= closed
-        end = dot[ended]
-        between = are(BETWEEN)
-        between[1:-1] &= space[:-2] & space[2:]
-        double = np.r_[space[:-1] & space[1:], False]
-        separators = count(between | double | are(ALONE))
-        sentences = count(np.r_[dot[:-1] & space[1:], False]) + end
-        figure = kind == FIGURE
-        digits, symbols, capital = count(figure), count(kind == MARK), count(kind == CAPITAL)
-        letters = n - digits - symbols - count(kind == BLANK)
-        # a bullet, or up to three figures with a dot or bracket, and a blank
-        top = len(points) - 1
-        lead = np.zeros(len(text), dtype=np.int64)
-        for k in range(3):
-            lead += (lead == k) & figure[np.minimum(starts + k, top)]
-        behind = np.minimum(starts + lead, top)
-        mark, gap = points[behind], kind[np.minimum(behind + 1, top)] == BLANK
-        bullet = gap & np.where(lead > 0, (mark == 46) | (mark == 41), are(BULLETS, behind))
-        indent = np.fromiter((len(x) - len(x.lstrip()) if x[0].isspace() else 0 for x in lines), dtype=np.int64, count=len(lines))
-        link = count(spells(points, "http") | spells(points, "www.")) > 0
-        has = lambda c: count(points == ord(c)) > 0
-        some, chars = np.maximum(1, words), np.maximum(1, n)
-        numbers = np.stack([
-            np.log1p(n), words, letters / some, digits / chars, end, separators, separators / some, bullet,
-            capital / some, points[ended] == ord(":"), has("©") | spells(points, "(c)")[starts], has("@"), link, sentences,
-            symbols / chars, indent, kind[starts] == CAPITAL, different / some,
-            figure[last] | (points[last] == ord(")")), figure[starts], has("#"),
-        ], axis=1).astype(float)
-        shape = np.where((sentences > 0) & (words > 5), 4, np.where(bullet, 0, np.where(digits > 0.3 * n, 3, np.where(separators >= 2, 2, 1))))
-        return cls(numbers, shape, list(chain.from_iterable(per)), words, keys, (count(are(ODD) | spells(points, " AT ")) > 0) | link)
+        numbers, shape, odd = measured(lines, text, points, words, different)
+        return cls(numbers, shape, list(chain.from_iterable(per)), words, keys, odd)
 
     def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places, lines) of the words of some lines, lines numbered among the chosen ones."""
@@ -386,7 +392,7 @@ def decode(raw: np.ndarray, block: np.ndarray, price: float = 0.6) -> np.ndarray
 class Pages:
     """The non-blank lines of some texts, with their pages, line numbers and descriptions."""
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, texts: list[str | None], describe: Callable[[list[str]], object] = Lines.describe):
         self.text, self.page, self.no, self.gap = [], [], [], []
         for p, text in enumerate(texts):
             blank = 0
@@ -400,7 +406,7 @@ class Pages:
                 else:
                     blank = 1
         self.page, self.no, self.gap = np.array(self.page, dtype=np.int64), np.array(self.no, dtype=np.int64), np.array(self.gap, dtype=float)
-        self.lines = Lines.describe(self.text)
+        self.lines = describe(self.text)
 
 
 @dataclass

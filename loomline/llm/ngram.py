@@ -10,6 +10,8 @@ from itertools import chain, repeat
 import numpy as np
 
 TOKEN = re.compile(r"https?://\S+|www\.\S+|[#@][\w-]+|[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,:]\d+)*|[^\w\s]|_", re.UNICODE)
+#: The same, and newlines.
+APART = re.compile(TOKEN.pattern + r"|\n", re.UNICODE)
 #: Words kept as themselves.
 FUNCTION_WORDS = 400
 #: A word counts as repeated when it stood among so many tokens before.
@@ -34,6 +36,14 @@ def class_of(token: str) -> int:
     return _SYMBOL.get(token, 15)
 
 
+def pieces(lines: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Different pieces between blanks, the place of each piece among them, and the number of pieces of each line."""
+    per = [x.split() for x in lines]
+    flat = list(chain.from_iterable(per))
+    number = {x: k for k, x in enumerate(dict.fromkeys(flat))}
+    return list(number), np.fromiter(map(number.__getitem__, flat), dtype=np.int64, count=len(flat)), np.fromiter(map(len, per), dtype=np.int64, count=len(per))
+
+
 @dataclass
 class Tokens:
     """The tokens of some lines as any vocabulary reads them: their classes by shape, the repeated form where they repeat, the places of words among
@@ -47,30 +57,45 @@ class Tokens:
     @classmethod
     def of(cls, lines: list[str], cache: dict[str, int]) -> Tokens:
         """``cache`` holds classes of tokens met."""
-        found = [["\0", *TOKEN.findall(x), "\1"] for x in lines]
-        flat = list(chain.from_iterable(found))
-        local = {t: k for k, t in enumerate(dict.fromkeys(flat))}
+        return cls.within(*pieces(lines), cache)
+
+    @classmethod
+    def within(cls, names: list[str], ids: np.ndarray, pieces: np.ndarray, cache: dict[str, int]) -> Tokens:
+        """Of lines as pieces: no token reaches over a blank, so that every different piece is cut once."""
+        found = APART.findall("\n".join(names) + "\n") if names else []
+        local = {t: k for k, t in enumerate(dict.fromkeys(found))}
         codes, lowered, named = np.zeros(len(local), dtype=np.uint8), np.arange(len(local)), np.full(len(local), -1, dtype=np.int32)
         first: dict[str, int] = {}
-        names: dict[str, int] = {}
+        words: dict[str, int] = {}
         for t, k in local.items():
             low = t.lower()
             lowered[k] = first.setdefault(low, k)
             code = cache.get(t)
             if code is None:
-                code = cache[t] = 0 if t == "\0" else 1 if t == "\1" else class_of(t)
+                code = cache[t] = class_of(t)
             codes[k] = code
             if t[0].isalpha():
-                named[k] = names.setdefault(low, len(names))
-        at = np.fromiter(map(local.__getitem__, flat), dtype=np.int64, count=len(flat))
-        code, word = codes[at], lowered[at]
-        size = np.fromiter(map(len, found), dtype=np.int32, count=len(found))
-        line = np.repeat(np.arange(len(lines)), size)
-        again = np.zeros(len(at), dtype=bool)
-        for k in range(1, min(WINDOW, len(at) - 1) + 1):
-            again[k:] |= (word[k:] == word[:-k]) & (line[k:] == line[:-k])
+                named[k] = words.setdefault(low, len(words))
+        at = np.fromiter(map(local.__getitem__, found), dtype=np.int64, count=len(found))
+        cut = at == local.get("\n", -1)
+        count = np.diff(np.r_[-1, np.flatnonzero(cut)]) - 1
+        at, n = at[~cut], count[ids]
+        begun = np.r_[0, np.cumsum(n)]
+        at = at[np.repeat((np.cumsum(count) - count)[ids] - begun[:-1], n) + np.arange(begun[-1])]
+        last = np.cumsum(pieces)
+        size = begun[last] - begun[last - pieces] + 2
+        end = np.cumsum(size) - 1
+        inner = np.ones(size.sum(), dtype=bool)
+        inner[end - size + 1] = inner[end] = False
+        code, word, name = np.zeros(len(inner), dtype=np.uint8), np.full(len(inner), len(local)), np.full(len(inner), -1, dtype=np.int32)
+        code[end] = 1
+        code[inner], word[inner], name[inner] = codes[at], lowered[at], named[at]
+        word += np.repeat(np.arange(len(size)) * (len(local) + 1), size)
+        again = np.zeros(len(word), dtype=bool)
+        for k in range(1, min(WINDOW, len(word) - 1) + 1):
+            again[k:] |= word[k:] == word[:-k]
         again &= (code >= 2) & (code < 10)
-        return cls(code + again.astype(np.uint8) * np.uint8(len(CLASSES)), named[at], size, list(names))
+        return cls(code + again.astype(np.uint8) * np.uint8(len(CLASSES)), name, size.astype(np.int32), list(words))
 
     def line(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.size)), self.size)

@@ -2,19 +2,21 @@
 labelled text counts, as in ``boilerplate.train`` and ``spam.train``, and what the driver gets are sums.
 
 Rows are dealt out by text, so that a text repeated lies in one place: it is described once and trained on once (with its least labels that are
-as many as its lines). Tokens and trigrams are counted by key; thresholds are order statistics of all prose pages. Trees grow level by level
-from sums over the parts; a tree sees the rows of one window, and the windows of all trees together lie over all rows, evenly, so that a pass
-over the rows is enough for a model however many rows there are. Bins of features end at quantiles of all rows, of values cut to 16 bits.
+as many as its lines). Texts are read once (``reading``) and not kept. Tokens and trigrams are counted by key; thresholds are order statistics of
+all prose pages. A tree sees the rows of one window, and the windows of all trees together lie over all rows, evenly, so that a pass over the rows
+is enough for a model however many rows there are. A tree whose window lies in one part grows there, others level by level from sums over the
+parts. Bins of features end at quantiles of all rows, of values cut to 16 bits.
 """
 
 from __future__ import annotations
 
-import hashlib
+import ctypes
 import math
 import pickle
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 from itertools import chain
 
@@ -28,22 +30,23 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from . import boosting
-from .boilerplate import POSITIVE, SKIPPED, TREES, Boilerplate, Lines, Odds, Pages, around, ends, folded, node_features, points_of
+from .boilerplate import POSITIVE, SKIPPED, TREES, Boilerplate, Pages, around, decode, node_features
 from .ngram import BITS, CLASSES, FUNCTION_WORDS, Ngrams, Tokens, Vocabulary, grams
 from .pages import Bounded
+from .reading import LEAST, Keyed, Read, scattered
 from .spam import NORMAL, OTHER, PROSE, SPAM, Spam, repeats, short
 
 #: Rows of the table in a part, and parts at most: the sums of a window's parts come to the driver at once.
 PART, PARTS = 3000, 960
 #: Parts of pages that are one part when a page is a row of few numbers.
-GATHERED = 16
+GATHERED = 64
 #: Rows worked on at once.
-BATCH = 512
+BATCH = 1024
+#: Lines up to which all are one part when trees grow.
+LONE = 300_000
 #: Rows that a tree sees at least, where its share of all rows allows it.
 SEEN = 20_000
-LEAST = 4
 KINDS = (PROSE, SPAM, OTHER)
-WORD, FIRST, LAST, PAIR, LINE, ALL = range(6)
 TOKENS = ["n0", "p0", "n1", "p1"]
 
 
@@ -58,15 +61,14 @@ def half_of(text: str) -> int:
     return zlib.crc32(text.encode("utf-8", "replace")) & 1
 
 
-def digest(line: str) -> str:
-    return hashlib.blake2b(line.encode("utf-8", "replace"), digest_size=8).hexdigest()
-
-
-class ByDigest(dict):
-    """Odds of whole lines by their digests."""
-
-    def get(self, key: str, default: float = 0.0) -> float:
-        return super().get(digest(key), default)
+def hold_memory() -> None:
+    """In a worker: memory of arrays freed is used again and not given back each time, which costs a quarter of the time of numpy work."""
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 1 << 30)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 256 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):
+        pass  # no glibc
 
 
 def mapped(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[str, list]]], schema: str | StructType) -> DataFrame:
@@ -75,6 +77,7 @@ def mapped(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[
     arrow = list(to_arrow_schema(kind))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_memory()
         small = (b.slice(k, BATCH) for b in batches for k in range(0, b.num_rows, BATCH))
         for columns in f(small):
             yield pa.RecordBatch.from_arrays([columns[c.name] if isinstance(columns[c.name], pa.Array) else pa.array(columns[c.name], type=c.type) for c in arrow], names=[c.name for c in arrow])
@@ -82,115 +85,124 @@ def mapped(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[
     return df.mapInArrow(each, kind)
 
 
+def by_text(pages: DataFrame, parts: int) -> DataFrame:
+    return pages.select("id", "ingest_ts", "text", "line_quality_labels").repartition(parts, "text").sortWithinPartitions("text", "line_quality_labels")
+
+
+def once(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str | None], list[bytes | None]]]:
+    """Batches of rows by text with their texts, and with the codes, a byte a line, of one labelled row of each text."""
+    last = None
+    for batch in batches:
+        labels, text = batch.column("line_quality_labels"), batch.column("text").to_pylist()
+        flat = labels.flatten().dictionary_encode()
+        known = np.array([*map(code_of, flat.dictionary.to_pylist()), code_of(None)], dtype=np.uint8)
+        data = known[flat.indices.fill_null(len(known) - 1).to_numpy(zero_copy_only=False)].tobytes()
+        size = labels.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+        codes, begin = [], 0
+        for t, n in zip(text, size.tolist(), strict=True):
+            made = None
+            if t is not None and n >= 0 and t != last and n == t.count("\n") + 1:
+                last = t
+                made = data[begin : begin + n]
+            begin += max(0, n)
+            codes.append(made)
+        yield batch, text, codes
+
+
 def dealt(pages: DataFrame, parts: int) -> DataFrame:
     """``id``, ``ingest_ts`` and ``text`` of all rows, equal texts one after another, and ``codes``, a byte a line, of one labelled row of each text."""
-    rows = pages.select("id", "ingest_ts", "text", "line_quality_labels").repartition(parts, "text").sortWithinPartitions("text", "line_quality_labels")
+    rows = by_text(pages, parts)
 
     def work(batches):
-        known, last = {}, None
-        for batch in batches:
-            codes = []
-            for t, q in zip(batch.column("text").to_pylist(), batch.column("line_quality_labels").to_pylist(), strict=True):
-                made = None
-                if t is not None and q is not None and t != last and len(q) == t.count("\n") + 1:
-                    last = t
-                    made = bytes([known[x] if x in known else known.setdefault(x, code_of(x)) for x in q])
-                    if len(known) > 10_000:
-                        known.clear()
-                codes.append(made)
+        for batch, _, codes in once(batches):
             yield {c: batch.column(c) for c in ("id", "ingest_ts", "text")} | {"codes": codes}
 
-    kind = rows.drop("line_quality_labels").schema.add("codes", "binary")
-    return mapped(rows, work, kind)
+    return mapped(rows, work, rows.drop("line_quality_labels").schema.add("codes", "binary"))
+
+
+#: A line without label.
+NONE = 255
+
+
+def described(rows: DataFrame) -> DataFrame:
+    """``id``, ``ingest_ts`` and ``page`` of rows by text or as dealt, and once a batch, with its first row, what is read of its different texts
+    (``made``). Where that was done already nothing is done again."""
+    if "made" in rows.columns:
+        return rows
+    given_codes = "codes" in rows.columns
+
+    def work(batches):
+        cache = Bounded(100_000)
+        each = ((b, b.column("text").to_pylist(), b.column("codes").to_pylist()) for b in batches) if given_codes else once(batches)
+        for batch, text, codes in each:
+            cache.trim()
+            number = {t: k for k, t in enumerate(dict.fromkeys(text))}
+            pages = Pages(list(number), partial(Read.describe, cache=cache))
+            given: list[bytes | None] = [None] * len(number)
+            for t, c in zip(text, codes, strict=True):
+                if c is not None:
+                    given[number[t]] = c
+            labelled = np.array([c is not None for c in given])
+            code, has = np.full(len(pages.page), NONE, dtype=np.uint8), labelled[pages.page]
+            size = np.array([len(c or b"") for c in given])
+            code[has] = np.frombuffer(b"".join(c or b"" for c in given), dtype=np.uint8)[(np.cumsum(size) - size)[pages.page[has]] + pages.no[has]]
+            made = {
+                "read": narrowed(pages.lines), "page": pages.page.astype(np.int32), "gap": pages.gap.astype(np.uint8), "codes": code, "pages": len(number),
+                "half": np.array([half_of(t or "") for t in number], dtype=np.uint8), "labelled": labelled,
+            }
+            data = zlib.compress(pickle.dumps(made, protocol=5), 1)
+            yield {"id": batch.column("id"), "ingest_ts": batch.column("ingest_ts"), "page": [number[t] for t in text], "made": [data, *[None] * (len(text) - 1)]}
+
+    return mapped(rows, work, rows.select("id", "ingest_ts").schema.add("page", "integer").add("made", "binary"))
 
 
-def labelled(rows: DataFrame, text: str) -> DataFrame:
-    return rows.where(F.col("codes").isNotNull()).select(text, "codes")
+def narrowed(read: Read) -> Read:
+    """In the least bytes, a row a feature."""
+    read.numbers = np.ascontiguousarray(read.numbers.T.astype(np.float32))
+    read.shape, read.same = read.shape.astype(np.uint8), read.same.astype(np.int32)
+    read.words.ids, read.words.size = read.words.ids.astype(np.uint16 if len(read.words.names) < 1 << 16 else np.int32), read.words.size.astype(np.int32)
+    if len(read.tokens.names) < 1 << 15:
+        read.tokens.word = read.tokens.word.astype(np.int16)
+    return read
+
+
+def widened(read: Read) -> Read:
+    read.numbers, read.shape = np.ascontiguousarray(read.numbers.T.astype(float)), read.shape.astype(np.int64)
+    read.words.ids, read.words.size = read.words.ids.astype(np.int64), read.words.size.astype(np.int64)
+    return read
+
+
+def read_made(column: Iterable[bytes | None]) -> Iterator[dict]:
+    return (pickle.loads(zlib.decompress(made)) for made in column if made is not None)
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    return (block for batch in batches for block in read_made(batch.column("made").to_pylist()))
+
+
+def made(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("made").isNotNull()).select("made")
 
 
 # Tokens of the body model
 
 
-def token_rows(lines: list[str], label: np.ndarray, half: np.ndarray) -> dict[str, list]:
-    """Words, first and last words, pairs and whole lines with the number of lines that hold them, by half and label."""
-    keys = folded(points_of([x.strip() for x in lines]))
-    per = [x.split() for x in keys]
-    size = np.fromiter(map(len, per), dtype=np.int64, count=len(per))
-    flat = list(chain.from_iterable(per))
-    number = {w: k for k, w in enumerate(dict.fromkeys(flat))}
-    names, v = list(number), max(1, len(number))
-    ids = np.fromiter(map(number.__getitem__, flat), dtype=np.int64, count=len(flat))
-    line = np.repeat(np.arange(len(per)), size)
-    cell = 2 * half + label
-    head, tail, both, pairs = ends(ids, line, size, v)
-    found, at = np.unique(pairs, return_inverse=True)
-    whole: dict[str, int] = {}
-    place = np.fromiter((whole.setdefault(x, len(whole)) for x in keys), dtype=np.int64, count=len(keys))
-    kinds, tokens, counts = [], [], []
-    for kind, which, of, texts in (
-        (WORD, ids, line, names), (FIRST, ids[head], line[head], names), (LAST, ids[tail], line[tail], names),
-        (PAIR, at, both, [f"{names[k // v]} {names[k % v]}" for k in found.tolist()]), (LINE, place, np.arange(len(keys)), [digest(x) for x in whole]),
-        (ALL, np.zeros(len(keys), dtype=np.int64), np.arange(len(keys)), [""]),
-    ):
-        n = len(texts)
-        if not n or not len(which):
-            continue
-        once = np.sort(which * len(keys) + of)
-        once = once[np.r_[True, once[1:] != once[:-1]]]
-        table = np.bincount(once // len(keys) * 4 + cell[once % len(keys)], minlength=4 * n).reshape(n, 4)
-        some = np.flatnonzero(table.any(axis=1))
-        kinds.append(np.full(len(some), kind))
-        tokens += [texts[k] for k in some]
-        counts.append(table[some])
-    table = np.concatenate(counts)
-    return {"kind": pa.array(np.concatenate(kinds), type=pa.int32()), "token": tokens} | {c: pa.array(table[:, k], type=pa.int64()) for k, c in enumerate(TOKENS)}
-
-
-def weighed(pages: Pages, codes: list[bytes]) -> np.ndarray:
-    return np.fromiter((codes[p][i] for p, i in zip(pages.page.tolist(), pages.no.tolist(), strict=True)), dtype=np.int64, count=len(pages.text))
-
-
-def odds_of_all(rows: DataFrame) -> list[Odds]:
+def odds_of_all(rows: DataFrame) -> list[Keyed]:
     """Odds of tokens counted on all lines, on those outside the first half and on those outside the second."""
 
     def work(batches):
-        for batch in batches:
-            lines, label, half = [], [], []
-            for t, c in zip(batch.column("text").to_pylist(), batch.column("codes").to_pylist(), strict=True):
-                h = half_of(t)
-                for x, q in zip(t.split("\n"), c, strict=True):
-                    if q & 2 and x.strip():
-                        lines.append(x)
-                        label.append(q & 1)
-                        half.append(h)
-            if lines:
-                yield token_rows(lines, np.array(label), np.array(half))
-
-    counted = mapped(labelled(rows, "text"), work, "kind int, token string, " + ", ".join(f"{c} bigint" for c in TOKENS))
-    kept = counted.groupBy("kind", "token").agg(*(F.sum(c).alias(c) for c in TOKENS)).where(" + ".join(TOKENS) + f" >= {LEAST}").orderBy("kind", "token").toArrow()
-    kind, token, table = kept["kind"].to_numpy(), kept["token"].to_pylist(), np.stack([kept[c].to_numpy() for c in TOKENS], axis=1)
-    names = [token[k] for k in np.flatnonzero(kind == WORD)]
-    number = {w: k for k, w in enumerate(names, 1)}
-    places = {k: np.flatnonzero(kind == k) for k in range(6)}
-    pair = np.array([number[a] * (len(names) + 1) + number[b] for a, b in (token[k].split(" ") for k in places[PAIR])], dtype=np.int64)
-    order = np.argsort(pair)
-    out = []
-    for use in ((0, 1), (1,), (0,)):
-        n, p = table[:, [2 * h for h in use]].sum(axis=1), table[:, [2 * h + 1 for h in use]].sum(axis=1)
-        none, some = n[places[ALL]].sum(), p[places[ALL]].sum()
-        value = np.log((p + 0.5) / (n + 0.5)) - np.log((0.5 + some) / (0.5 + none))
-        value[n + p < LEAST] = np.nan
-
-        def words(k: int, value=value) -> np.ndarray:
-            made = np.full(len(names) + 1, np.nan)
-            made[[number[token[j]] for j in places[k]]] = value[places[k]]
-            return made
-
-        of_pairs = value[places[PAIR]][order]
-        known = ~np.isnan(of_pairs)
-        lines = ByDigest((token[j], float(value[j])) for j in places[LINE] if not np.isnan(value[j]))
-        out.append(Odds(number, words(WORD), words(FIRST), words(LAST), pair[order][known], of_pairs[known], lines))
-    return out
+        for block in blocks_of(batches):
+            codes = block["codes"]
+            some = np.flatnonzero((codes != NONE) & (codes & 2 > 0))
+            if len(some):
+                keys, table = widened(block["read"]).words.take(some).counts(2 * block["half"][block["page"][some]].astype(np.int64) + (codes[some] & 1))
+                yield {"token": pa.array(keys.view(np.int64))} | {c: pa.array(table[:, k], type=pa.int64()) for k, c in enumerate(TOKENS)}
+
+    counted = mapped(made(described(rows)), work, "token bigint, " + ", ".join(f"{c} bigint" for c in TOKENS))
+    kept = counted.groupBy("token").agg(*(F.sum(c).alias(c) for c in TOKENS)).where(" + ".join(TOKENS) + f" >= {LEAST}").toArrow()
+    table = np.stack([kept[c].to_numpy() for c in TOKENS], axis=1)
+    every = Keyed.counted(kept["token"].to_numpy().view(np.uint64), table, [(0, 1), (1,), (0,)])
+    return [every.column(k) for k in range(3)]
 
 
 # Bins, and trees from sums
@@ -223,21 +235,25 @@ def together(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return keys, np.bincount(at, weights=np.r_[a[1], b[1]], minlength=len(keys)).astype(np.int64)
 
 
-def quantile_codes(blocks: RDD, of: Callable[[dict], np.ndarray], bins: int = 48) -> list[np.ndarray]:
-    """Codes of each feature where its bins begin: quantiles of all rows."""
+class Tally:
+    """How often each code of each feature stands in some blocks."""
 
-    def count(part: Iterator[dict]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        out = None
-        for block in part:
-            codes = of(block)
-            out = np.zeros((len(codes), 1 << 16), dtype=np.int64) if out is None else out
-            for row, c in zip(out, codes, strict=True):
-                row += np.bincount(c, minlength=1 << 16)
-        if out is not None:
-            keys = np.flatnonzero(out)
-            yield keys, out.ravel()[keys]
-
-    keys, n = blocks.mapPartitions(count).treeReduce(together)
+    def __init__(self):
+        self.table: np.ndarray | None = None
+
+    def add(self, codes: np.ndarray) -> None:
+        if self.table is None:
+            self.table = np.zeros((len(codes), 1 << 16), dtype=np.int64)
+        for row, c in zip(self.table, codes, strict=True):
+            row += np.bincount(c, minlength=1 << 16)
+
+    def sparse(self) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.flatnonzero(self.table) if self.table is not None else np.zeros(0, dtype=np.int64)
+        return keys, self.table.ravel()[keys] if len(keys) else keys
+
+
+def begins(keys: np.ndarray, n: np.ndarray, bins: int = 48) -> list[np.ndarray]:
+    """Codes of each feature where its bins begin: quantiles of all rows."""
     out = []
     for j in range(int(keys.max() >> 16) + 1 if len(keys) else 0):
         here = keys >> 16 == j
@@ -247,6 +263,36 @@ def quantile_codes(blocks: RDD, of: Callable[[dict], np.ndarray], bins: int = 48
     return out
 
 
+def quantile_codes(blocks: RDD, of: Callable[[dict], np.ndarray], bins: int = 48) -> list[np.ndarray]:
+    """Where the bins of each feature of blocks begin."""
+
+    def count(part: Iterator[dict]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        tally = Tally()
+        for block in part:
+            tally.add(of(block))
+        if tally.table is not None:
+            yield tally.sparse()
+
+    return begins(*blocks.mapPartitions(count).treeReduce(together), bins)
+
+
+#: Blocks, what their models are to know of them (``class_sums``, flat), and after those of a task how often their codes stand.
+BLOCKS = "made binary, sums array<double>, counts binary"
+
+
+def counted_blocks(found: Iterator[tuple[dict, np.ndarray]]) -> Iterator[dict[str, list]]:
+    tally = Tally()
+    for block, codes in found:
+        tally.add(codes)
+        yield {"made": [pickle.dumps(block, protocol=5)], "sums": [class_sum(block).ravel().tolist()], "counts": [None]}
+    if tally.table is not None:
+        yield {"made": [None], "sums": [None], "counts": [pickle.dumps(tally.sparse(), protocol=5)]}
+
+
+def begins_of(blocks: DataFrame) -> list[np.ndarray]:
+    return begins(*pickled(blocks.where(F.col("counts").isNotNull()).select("counts")).treeReduce(together))
+
+
 def binned(codes: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(e, c, side="right") for e, c in zip(edges, codes, strict=True)]).astype(np.uint8)
 
@@ -256,14 +302,14 @@ _KEPT: dict[object, object] = {}
 KEPT = 1_000_000
 
 
-def slopes(block: dict, models: list[boosting.Trees], tree: tuple[str, int], start: float, share: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def slopes(block: dict, models: list[boosting.Trees], tree: tuple[str, int], window: Callable[[dict], np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(rows, gradients, curvatures) of each model in the tree's window."""
     if _KEPT.get("tree") != tree:
         _KEPT.clear()
         _KEPT.update(tree=tree, rows=0)
     if block["name"] in _KEPT:
         return _KEPT[block["name"]]
-    out, seen = [], (block["place"] - start) % 1 < share
+    out, seen = [], window(block)
     for model, weight in zip(models, block["weight"], strict=True):
         rows = np.flatnonzero(seen & (weight > 0))
         w, y = weight[rows], block["y"][rows]
@@ -275,13 +321,13 @@ def slopes(block: dict, models: list[boosting.Trees], tree: tuple[str, int], sta
     return out
 
 
-def level_sums(part: Iterator[dict], models: list[boosting.Trees], grown: list[tuple[np.ndarray, np.ndarray]], tree: tuple[str, int], level: int, start: float, share: float, width: int) -> Iterator[np.ndarray]:
+def level_sums(part: Iterator[dict], models: list[boosting.Trees], grown: list[tuple[np.ndarray, np.ndarray]], tree: tuple[str, int], level: int, window: Callable[[dict], np.ndarray], width: int) -> Iterator[np.ndarray]:
     """Gradients and curvatures of the rows of a window by model, node, feature and bin."""
     out, first, count = None, (1 << level) - 1, 1 << level
     for block in part:
         if out is None:
             out = np.zeros((len(models), 2, len(block["bins"]), count * width))
-        for m, ((rows, g, h), (f, c)) in enumerate(zip(slopes(block, models, tree, start, share), grown, strict=True)):
+        for m, ((rows, g, h), (f, c)) in enumerate(zip(slopes(block, models, tree, window), grown, strict=True)):
             if not len(rows):
                 continue
             b = block["bins"][:, rows]
@@ -297,10 +343,9 @@ def level_sums(part: Iterator[dict], models: list[boosting.Trees], grown: list[t
         yield out
 
 
-def class_sums(part: Iterator[dict]) -> Iterator[np.ndarray]:
+def class_sum(block: dict) -> np.ndarray:
     """Rows, weight and positive weight of each model."""
-    for block in part:
-        yield np.array([[np.count_nonzero(w), w.sum(dtype=float), w.astype(float) @ block["y"]] for w in block["weight"]])
+    return np.array([[np.count_nonzero(w), w.sum(dtype=float), w.astype(float) @ block["y"]] for w in block["weight"]])
 
 
 def windows(trees: int, share: float, rows: float) -> tuple[list[float], float]:
@@ -309,10 +354,66 @@ def windows(trees: int, share: float, rows: float) -> tuple[list[float], float]:
     return [k * step % trees / trees for k in range(trees)], min(1.0, max(1 / trees + 1e-6, min(share, SEEN / max(1.0, rows))))
 
 
-def fit_all(blocks: RDD, edges: list[np.ndarray], trees: int, depth: int = 5, rate: float = 0.15, ridge: float = 2.0, share: float = 0.35) -> list[boosting.Trees]:
+def around_place(block: dict, start: float, share: float) -> np.ndarray:
+    """Rows of a window."""
+    return (block["place"] - start) % 1 < share
+
+
+def in_slot(block: dict, slot: int, trees: int, parts: int) -> np.ndarray:
+    """Rows of one of ``trees`` windows side by side, when one of the numbers divides the other: each row is in one window."""
+    k, each = block["name"][0], max(1, trees // parts)
+    if each == 1:
+        return np.full(len(block["place"]), k * trees // parts == slot)
+    return k * each + np.clip((block["place"] * parts - k) * each, 0, each - 1).astype(np.int64) == slot
+
+
+def settle(level: int, total: np.ndarray, able: list[bool], grown: list[tuple[np.ndarray, np.ndarray]], leaves: list[np.ndarray], last: bool, rate: float, ridge: float) -> None:
+    """The cuts of a level by the sums of its nodes; after the last one the leaves."""
+    first, count, width = (1 << level) - 1, 1 << level, total.shape[-1] >> level
+    total = total.reshape(*total.shape[:3], count, width).transpose(0, 1, 3, 2, 4).cumsum(axis=4)
+    for m, (gs, hs) in enumerate(total):
+        gt, ht = gs[:, :, -1:], hs[:, :, -1:]
+        gain = gs**2 / (hs + ridge) + (gt - gs) ** 2 / (ht - hs + ridge) - gt**2 / (ht + ridge)
+        gain[(hs < 1) | (ht - hs < 1)] = -np.inf
+        where, gains = gain.argmax(axis=2), gain.max(axis=2)
+        best, nodes = gains.argmax(axis=1), np.arange(count)
+        good = (gains[nodes, best] > 1e-6) & able[m]
+        cut = np.where(good, where[nodes, best], width - 1)
+        grown[m][0][first : first + count] = np.where(good, best, 0)
+        grown[m][1][first : first + count] = np.where(good, cut, 255)
+        if last and able[m]:
+            g, h = gs[nodes, best, cut], hs[nodes, best, cut]
+            leaves[m][0::2] = -rate * g / (h + ridge)
+            leaves[m][1::2] = -rate * (gt[nodes, 0, 0] - g) / (ht[nodes, 0, 0] - h + ridge)
+
+
+def grow(sums: Callable[[int, list], list[np.ndarray]], able: list[bool], depth: int, rate: float, ridge: float) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[np.ndarray]]:
+    """A tree of each model from the sums of its levels: features and cuts, and leaves."""
+    size = (1 << depth) - 1
+    grown, leaves = [(np.zeros(size, int), np.full(size, 255)) for _ in able], [np.zeros(size + 1) for _ in able]
+    for level in range(depth):
+        found = sums(level, grown)
+        if not found:
+            break
+        settle(level, sum(found), able, grown, leaves, level == depth - 1, rate, ridge)
+    return grown, leaves
+
+
+def grown_there(part: Iterator[dict], models: list[boosting.Trees], tree: tuple[str, int], window: Callable[[dict], np.ndarray], width: int, able: list[bool], depth: int, rate: float, ridge: float) -> Iterator[tuple]:
+    """A tree of each model whose window lies in this part: its rows are read once."""
+    blocks = []
+    for block in part:
+        rows = np.flatnonzero(window(block))
+        if len(rows):
+            blocks.append({c: block[c][..., rows] for c in ("bins", "y", "weight")} | {"name": block["name"]})
+    every = lambda block: np.ones(len(block["y"]), dtype=bool)
+    yield grow(lambda level, grown: list(level_sums(iter(blocks), models, grown, tree, level, every, width)), able, depth, rate, ridge)
+
+
+def fit_all(blocks: RDD, edges: list[np.ndarray], trees: int, depth: int = 5, rate: float = 0.15, ridge: float = 2.0, share: float = 0.35, sums: np.ndarray | None = None) -> list[boosting.Trees]:
     """Trees as of ``boosting.fit``, for as many models as the blocks have weights: each block has a row of bins for each feature, the labels, and the
-    place of each row in 0..1, part by part."""
-    sums = blocks.mapPartitions(class_sums).treeReduce(np.add)
+    place of each row in 0..1, part by part. ``sums`` are those of all blocks, where they are known."""
+    sums = blocks.map(class_sum).treeReduce(np.add) if sums is None else sums
     size, parts, width = (1 << depth) - 1, blocks.getNumPartitions(), 1 + max(map(len, edges))
     values = [decoded(e) for e in edges]
     models = []
@@ -323,32 +424,23 @@ def fit_all(blocks: RDD, edges: list[np.ndarray], trees: int, depth: int = 5, ra
     if not any(able):
         return models
     starts, share = windows(trees, share, sums[:, 0].max())
+    apart = share <= 1 / trees + 1e-6 and (parts % trees == 0 or trees % parts == 0)
     name = uuid.uuid4().hex
     for tree, start in enumerate(starts):
-        grown = [(np.zeros(size, int), np.full(size, 255)) for _ in models]
-        leaves = [np.zeros(size + 1) for _ in models]
-        meant = [k for k in range(parts) if any(k / parts < a + share and (k + 1) / parts > a for a in (start, start - 1))]
         bare = [boosting.Trees([], m.feature, m.cut, m.leaf, m.base) for m in models]
-        for level in range(depth):
-            first, count = (1 << level) - 1, 1 << level
-            found = blocks.context.runJob(blocks, partial(level_sums, models=bare, grown=grown, tree=(name, tree), level=level, start=start, share=share, width=width), meant)
-            if not found:
-                break
-            total = sum(found).reshape(len(models), 2, len(edges), count, width).transpose(0, 1, 3, 2, 4).cumsum(axis=4)
-            for m, (gs, hs) in enumerate(total):
-                gt, ht = gs[:, :, -1:], hs[:, :, -1:]
-                gain = gs**2 / (hs + ridge) + (gt - gs) ** 2 / (ht - hs + ridge) - gt**2 / (ht + ridge)
-                gain[(hs < 1) | (ht - hs < 1)] = -np.inf
-                where, gains = gain.argmax(axis=2), gain.max(axis=2)
-                best, nodes = gains.argmax(axis=1), np.arange(count)
-                good = (gains[nodes, best] > 1e-6) & able[m]
-                cut = np.where(good, where[nodes, best], width - 1)
-                grown[m][0][first : first + count] = np.where(good, best, 0)
-                grown[m][1][first : first + count] = np.where(good, cut, 255)
-                if level == depth - 1 and able[m]:
-                    g, h = gs[nodes, best, cut], hs[nodes, best, cut]
-                    leaves[m][0::2] = -rate * g / (h + ridge)
-                    leaves[m][1::2] = -rate * (gt[nodes, 0, 0] - g) / (ht[nodes, 0, 0] - h + ridge)
+        if apart:
+            slot = round(start * trees)
+            window: Callable[[dict], np.ndarray] = partial(in_slot, slot=slot, trees=trees, parts=parts)
+            meant = list(range(slot * parts // trees, max(slot * parts // trees + 1, (slot + 1) * parts // trees)))
+        else:
+            window = partial(around_place, start=start, share=share)
+            meant = [k for k in range(parts) if any(k / parts < a + share and (k + 1) / parts > a for a in (start, start - 1))]
+        run = lambda f, meant=meant: blocks.context.runJob(blocks, f, meant)
+        shared = {"models": bare, "tree": (name, tree), "window": window, "width": width}
+        if len(meant) == 1:
+            grown, leaves = run(partial(grown_there, able=able, depth=depth, rate=rate, ridge=ridge, **shared))[0]
+        else:
+            grown, leaves = grow(lambda level, grown, run=run, shared=shared: run(partial(level_sums, grown=grown, level=level, **shared)), able, depth, rate, ridge)
         for m, model in enumerate(models):
             if able[m]:
                 model.feature, model.cut, model.leaf = np.vstack([model.feature, grown[m][0]]), np.vstack([model.cut, grown[m][1]]), np.vstack([model.leaf, leaves[m]])
@@ -387,29 +479,30 @@ def pickled(df: DataFrame) -> RDD:
 # The body model
 
 
-def page_blocks(rows: DataFrame, odds: list[Odds]) -> RDD:
+def page_blocks(rows: DataFrame, odds: list[Keyed]) -> DataFrame:
     """Coded features of all labelled lines, by tokens counted on the other half."""
     shared = rows.sparkSession.sparkContext.broadcast(odds)
 
-    def work(batches):
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            pages = Pages(texts)
-            if not pages.text:
+    def each(batches):
+        for block in blocks_of(batches):
+            page, has = block["page"], np.flatnonzero(block["codes"] != NONE)
+            if not len(has):
                 continue
-            code = weighed(pages, batch.column("codes").to_pylist())
-            half = np.array([half_of(t) for t in texts])[pages.page]
-            odd = np.zeros((len(code), 5))
+            read, half, code = widened(block["read"]), block["half"][page], block["codes"][has]
+            odd = np.zeros((len(page), 5))
             for h in (0, 1):
-                some = np.flatnonzero(half == h)
-                odd[some] = shared.value[1 + h].of(pages.lines, some)
-            x, block = node_features(pages.lines, odd, pages.page, pages.gap)
-            w = (code >> 1 & 1).astype(np.uint8)
-            made = {"codes": packed(coded(x)), "y": (code & 1).astype(np.uint8), "weight": np.stack([w, w * (half != 0), w * (half != 1)]), "half": half.astype(np.uint8)}
-            made |= {"page": pages.page.astype(np.int32), "block": block.astype(np.int32)}
-            yield {"made": [pickle.dumps(made, protocol=5)]}
+                some = has[half[has] == h]
+                odd[some] = shared.value[h].told(read.words.take(some), np.zeros(len(some), dtype=np.int64))
+            x, node = node_features(read, odd, page, block["gap"])
+            w, half, codes = (code >> 1 & 1).astype(np.uint8), half[has], coded(x[has])
+            out = {"codes": packed(codes), "y": (code & 1).astype(np.uint8), "weight": np.stack([w, w * (half != 0), w * (half != 1)]), "half": half.astype(np.uint8)}
+            yield out | {"page": page[has].astype(np.int32), "block": node[has].astype(np.int32)}, codes
 
-    return placed(pickled(mapped(labelled(rows, "text"), work, "made binary")))
+    return mapped(made(rows), lambda batches: counted_blocks(each(batches)), BLOCKS)
+
+
+def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    return (pickle.loads(block.as_buffer()) for batch in batches for block in batch.column("made"))
 
 
 def without(block: dict, *names: str) -> dict:
@@ -418,30 +511,80 @@ def without(block: dict, *names: str) -> dict:
 
 def train_body(rows: DataFrame, trees: int = TREES) -> Boilerplate:
     """As ``boilerplate.train``, on all labelled pages."""
+    rows = described(rows)
     odds = odds_of_all(rows)
-    coded_blocks = page_blocks(rows, odds).persist(StorageLevel.DISK_ONLY)
-    if coded_blocks.isEmpty():
+    found = page_blocks(rows, odds[1:]).persist(StorageLevel.DISK_ONLY)
+    sums = found.agg(*(F.sum(F.col("sums")[k]) for k in range(9))).first()
+    if sums[0] is None:
         return Boilerplate(odds[0], *(boosting.fit(np.zeros((0, 1)), np.zeros(0)) for _ in range(2)))
-    edges = quantile_codes(coded_blocks, lambda b: unpacked(*b["codes"]))
-    blocks = coded_blocks.map(lambda b: without(b, "codes") | {"bins": binned(unpacked(*b["codes"]), edges)}).persist(StorageLevel.DISK_ONLY)
-    blocks.count()
-    coded_blocks.unpersist()
-    first, *halves = fit_all(blocks, edges, trees // 2)
+    sums, edges = np.array(sums, dtype=float).reshape(3, 3), begins_of(found)
+    few = made(found).coalesce(1) if sums[0, 0] <= LONE else made(found)
 
-    def said(block: dict) -> np.ndarray:
-        bins, none = dict(enumerate(block["bins"])), np.zeros((len(block["y"]), 0))
-        p = np.where(block["half"] == 0, *(m.proba(none, bins) for m in halves))
-        return coded(around(p, block["page"], block["block"]))
+    def bins(batches):
+        for b in read_blocks(batches):
+            yield {"made": [pickle.dumps(without(b, "codes") | {"bins": binned(unpacked(*b["codes"]), edges)}, protocol=5)]}
 
-    more = quantile_codes(blocks, said)
-    both = blocks.map(lambda b: without(b, "page", "block", "half") | {"bins": np.concatenate([b["bins"], binned(said(b), more)]), "weight": b["weight"][:1]}).persist(StorageLevel.DISK_ONLY)
-    both.count()
+    blocks = mapped(few, bins, "made binary").persist(StorageLevel.DISK_ONLY)
+    blocks.count()
+    found.unpersist()
+    first, *halves = fit_all(placed(pickled(blocks)), edges, trees // 2, sums=sums)
+
+    def said(batches):
+        for b in read_blocks(batches):
+            p = np.zeros(len(b["y"]))
+            for h, m in enumerate(halves):
+                some = np.flatnonzero(b["half"] == h)
+                p[some] = m.proba(np.zeros((len(some), 0)), dict(enumerate(b["bins"][:, some])))
+            codes = coded(around(p, b["page"], b["block"]))
+            yield without(b, "page", "block", "half") | {"more": codes, "weight": b["weight"][:1]}, codes
+
+    both = mapped(blocks, lambda batches: counted_blocks(said(batches)), BLOCKS).persist(StorageLevel.DISK_ONLY)
+    more = begins_of(both)
     blocks.unpersist()
-    (second,) = fit_all(both, edges + more, trees)
+    (second,) = fit_all(placed(pickled(made(both))).map(lambda b: without(b, "more") | {"bins": np.concatenate([b["bins"], binned(b["more"], more)])}), edges + more, trees, sums=sums[:1])
     both.unpersist()
     return Boilerplate(odds[0], first, second)
 
 
+def marked(rows: DataFrame, model: Boilerplate) -> DataFrame:
+    """What ``spoken`` gives of the ``bodies`` of described rows, halves by the words of the body's lines."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def each(packed: bytes | None) -> bytes | None:
+        if packed is None:
+            return None
+        block = pickle.loads(zlib.decompress(packed))
+        read, page, n = widened(block["read"]), block["page"], block["pages"]
+        keep = np.zeros(0, dtype=np.int64)
+        if len(page):
+            model = shared.value
+            x, node = node_features(read, model.odds.told(read.words, np.zeros(len(page), dtype=np.int64)), page, block["gap"])
+            bins: dict[int, np.ndarray] = {}
+            near = around(model.first.proba(x, bins), page, node)
+            keep = np.flatnonzero(~decode(model.second.raw(np.concatenate([x, near], axis=1), bins), node))
+        page, same, line = page[keep], read.same[keep].astype(np.int64), read.words.line[keep]
+        v = 1 + int(same.max(initial=0))
+        different = np.bincount(np.unique(page * v + same) // v, minlength=n)
+        size = np.bincount(page, minlength=n)
+        order = np.arange(len(page)) - (np.cumsum(size) - size)[page]
+        total = np.r_[np.uint64(0), np.cumsum(scattered(line + order.astype(np.uint64)))]
+        last = np.cumsum(size)
+        half = (scattered(total[last] - total[last - size]) & np.uint64(1)).astype(np.int64)
+        of = np.flatnonzero(block["labelled"])
+        codes = block["codes"][keep].tobytes()
+        made = {
+            "tokens": read.tokens.take(keep), "page": page, "same": (size - different).astype(float), "pages": n,
+            "of": of.astype(np.int32), "codes": [codes[last[k] - size[k] : last[k]] for k in of.tolist()], "half": half[of],
+        }
+        return zlib.compress(pickle.dumps(made, protocol=5), 1)
+
+    def work(batches):
+        for batch in batches:
+            yield {c: batch.column(c) for c in ("id", "ingest_ts", "page")} | {"made": [each(x) for x in batch.column("made").to_pylist()]}
+
+    return mapped(rows, work, rows.schema)
+
+
 def bodies(rows: DataFrame, model: Boilerplate) -> DataFrame:
     """``id``, ``ingest_ts``, ``body`` (the lines of the body) and the codes of its lines. A text repeated is looked at once a batch."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
@@ -517,10 +660,6 @@ def spoken(rows: DataFrame) -> DataFrame:
     return mapped(rows, work, rows.select("id", "ingest_ts").schema.add("page", "integer").add("made", "binary"))
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    return (pickle.loads(zlib.decompress(made)) for batch in batches for made in batch.column("made").to_pylist() if made is not None)
-
-
 def labelled_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """(tokens, page of each line, kind of each line and of each page, how sure that is, half and repeated lines of each page) of the labelled rows."""
     for block in blocks_of(batches):
@@ -533,23 +672,25 @@ def labelled_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield block["tokens"].take(lines), mine, *judged(mine, block["codes"]), block["half"], block["same"][of]
 
 
-def made(rows: DataFrame) -> DataFrame:
-    return spoken(rows).where(F.col("made").isNotNull()).select("made")
-
-
 def vocabulary(rows: DataFrame, size: int = FUNCTION_WORDS) -> Vocabulary:
     """The words in most lines of prose; of words in as many lines, the first by name."""
 
     def work(batches):
+        total: Counter[str] = Counter()
         for tokens, page, kind, page_kind, _, half, _ in labelled_blocks(batches):
             prose = tokens.take(chosen(1, page, kind, page_kind, half >= 0))
             v = max(1, len(prose.names))
-            once = np.unique((prose.line() * v + prose.word)[prose.word >= 0]) % v
-            n = np.bincount(once, minlength=v)
+            found = np.sort((prose.line() * v + prose.word)[prose.word >= 0])
+            n = np.bincount(found[np.r_[True, found[1:] != found[:-1]]] % v, minlength=v) if len(found) else np.zeros(v, dtype=np.int64)
             some = np.flatnonzero(n)
-            yield {"word": [prose.names[k] for k in some], "n": pa.array(n[some], type=pa.int64())}
-
-    counted = mapped(made(rows), work, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+            for k, c in zip(some.tolist(), n[some].tolist(), strict=True):
+                total[prose.names[k]] += c
+            if len(total) > GATHER // 4:
+                yield {"word": list(total), "n": list(total.values())}
+                total.clear()
+        yield {"word": list(total), "n": list(total.values())}
+
+    counted = mapped(made(spoken(rows)), work, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     common = [r.word for r in counted.where("n > 1").orderBy(F.desc("n"), "word").limit(size).collect()]
     return Vocabulary({w: 2 * len(CLASSES) + k for k, w in enumerate(common)})
 
@@ -584,7 +725,7 @@ def ngrams(rows: DataFrame, words: Vocabulary) -> dict[tuple[int, int], Ngrams]:
         if held:
             yield give()
 
-    counted = mapped(made(rows), work, "gram bigint, count bigint")
+    counted = mapped(made(spoken(rows)), work, "gram bigint, count bigint")
     table = counted.groupBy("gram").agg(F.sum("count").alias("count")).toArrow()
     gram, count = table["gram"].to_numpy(), table["count"].to_numpy()
     what, gram = gram >> GRAM, gram & ((1 << GRAM) - 1)
@@ -658,7 +799,7 @@ def train_spam(rows: DataFrame) -> Spam:
             normal = x[(page_kind == 1) & (weight > 0.8), 0]
             yield {"made": [pickle.dumps({"codes": coded(x), "y": (page_kind == 2).astype(float), "weight": weight[None], "normal": normal}, protocol=5)]}
 
-    found = pickled(mapped(made(rows), work, "made binary"))
+    found = pickled(mapped(made(spoken(rows)), work, "made binary"))
     blocks = placed(gathered(found, -(-found.getNumPartitions() // GATHERED))).persist(StorageLevel.DISK_ONLY)
     if not blocks.isEmpty():
         spam[2].low, spam[2].high = quantiles(blocks.map(lambda b: b["normal"]), [(1 - NORMAL) / 2, (1 + NORMAL) / 2], 10) or (0.0, 0.0)
@@ -690,11 +831,17 @@ def flagged(rows: DataFrame, model: Spam) -> DataFrame:
     return mapped(spoken(rows), work, rows.select("id", "ingest_ts").schema.add("spam", "boolean"))
 
 
+def parts_of(rows: int) -> int:
+    """Parts of about ``PART`` rows; where there are many, as many as divide evenly among the trees of a model (``TREES`` and half of them)."""
+    parts, step = max(1, min(PARTS, -(-rows // PART))), TREES // 2
+    return parts if 2 * parts < step else max(step, min(PARTS, round(parts / step) * step))
+
+
 def spam_rows(pages: DataFrame, total: int) -> DataFrame:
     """``id``, ``ingest_ts`` and ``spam`` of all rows, by models fitted on all labelled ones; ``total`` is the number of rows."""
-    rows = dealt(pages, max(1, min(PARTS, -(-total // PART)))).persist(StorageLevel.DISK_ONLY)
+    rows = described(by_text(pages, parts_of(total))).persist(StorageLevel.DISK_ONLY)
     body = train_body(rows)
-    told = spoken(bodies(rows, body)).persist(StorageLevel.DISK_ONLY)
+    told = marked(rows, body).persist(StorageLevel.DISK_ONLY)
     told.count()
     rows.unpersist()
     return flagged(told, train_spam(told))

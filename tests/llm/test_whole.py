@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from loomline.llm import boilerplate, boosting, ngram, spam, whole
+from loomline.llm import boilerplate, boosting, ngram, reading, spam, whole
 from loomline.llm.queries import QUERIES
 
 from .test_models import page
@@ -113,3 +113,40 @@ def test_codes_lie_packed():
     codes = whole.coded(np.random.default_rng(2).integers(0, 9, size=(3000, 5)).astype(float))
     shape, data = whole.packed(codes)
     assert (whole.unpacked(shape, data) == codes).all() and len(data) < codes.nbytes / 2
+
+
+def test_lines_are_read_once(spark):
+    """What is read of texts once gives the same features, tokens and bodies as reading them again for each model."""
+    _, made = invented(200)
+    texts, labels = boilerplate.labelled(made)
+    odd = ["Größe:  12,5 |​ x", " 　a\x85b ", "İstanbul's http://a.b/c?d #t @u $5.20", "– ² ³", "​"]
+    lines = [x for t in texts for x in t.split("\n") if x.strip()] + odd
+    want, got = boilerplate.Lines.describe(lines), reading.Read.describe(lines, {})
+    assert (want.numbers == got.numbers).all() and (want.shape == got.shape).all() and (want.size == got.words.size).all()
+    words = reading.Words.of(want)
+    assert (words.names[words.ids] == got.words.names[got.words.ids]).all() and (words.line == got.words.line).all()
+    for tokens, line in zip([got.tokens.take(np.array([k])) for k in range(len(lines))], lines, strict=True):
+        named = [x.lower() for x in ngram.TOKEN.findall(line) if x[0].isalpha()]
+        assert [got.tokens.names[k] for k in tokens.word if k >= 0] == named and tokens.size[0] == len(ngram.TOKEN.findall(line)) + 2
+    dealt = whole.dealt(spark.createDataFrame(rows(made), SCHEMA), 2)
+    body = boilerplate.train(texts, labels, trees=4)
+    told = whole.bodies(dealt, body)
+    keyed = boilerplate.Boilerplate(reading.Keyed.counted(*reading.Words.of(boilerplate.Pages(texts).lines).counts(2 * (np.arange(len(boilerplate.Pages(texts).text)) % 2)), [(0, 1)]), body.first, body.second)
+    marked = whole.marked(whole.described(dealt), keyed)
+    found = {r.id: r.body for r in whole.bodies(dealt, keyed).collect()}
+    read = {}
+    for part in marked.rdd.glom().collect():
+        block = None
+        for r in part:
+            block = next(whole.read_made([r.made])) if r.made is not None else block
+            read[r.id] = int((block["page"] == r.page).sum())
+    assert told.count() == len(read) and read == {k: b.count("\n") + 1 if b else 0 for k, b in found.items()}
+
+
+def test_trees_grow_in_their_parts(spark):
+    """Where the windows of trees are whole parts, a tree is one task; each row is in one window."""
+    for trees, parts in ((60, 30), (30, 30), (30, 60), (4, 1)):
+        for k in range(parts):
+            block = {"name": (k, 0), "place": ((k + np.linspace(0, 1, 101)) / parts).astype(np.float32)}
+            assert (sum(whole.in_slot(block, s, trees, parts).astype(int) for s in range(trees)) == 1).all()
+    assert [whole.parts_of(n) for n in (10, 9000, 105_640, 10**6, 10**9)] == [1, 3, 30, 330, 960]
