@@ -46,6 +46,8 @@ BATCH = 1024
 LONE = 300_000
 #: Rows that a tree sees at least, where its share of all rows allows it.
 SEEN = 20_000
+#: How hard blocks are squeezed on disk.
+LEVEL = 5
 KINDS = (PROSE, SPAM, OTHER)
 TOKENS = ["n0", "p0", "n1", "p1"]
 
@@ -85,6 +87,22 @@ def mapped(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[dict[
     return df.mapInArrow(each, kind)
 
 
+def squeezed(data: bytes | np.ndarray) -> bytes:
+    """Bytes as they lie on disk."""
+    return pa.Codec("zstd", compression_level=LEVEL).compress(data, asbytes=True)
+
+
+def pressed(made: object) -> bytes:
+    """A thing as it lies on disk: its size, and its bytes squeezed."""
+    data = pickle.dumps(made, protocol=5)
+    return len(data).to_bytes(8, "little") + squeezed(data)
+
+
+def opened(data: bytes | bytearray | pa.Buffer) -> object:
+    view = memoryview(data)
+    return pickle.loads(pa.decompress(view[8:], decompressed_size=int.from_bytes(view[:8], "little"), codec="zstd"))
+
+
 def by_text(pages: DataFrame, parts: int) -> DataFrame:
     return pages.select("id", "ingest_ts", "text", "line_quality_labels").repartition(parts, "text").sortWithinPartitions("text", "line_quality_labels")
 
@@ -150,8 +168,7 @@ def described(rows: DataFrame) -> DataFrame:
                 "read": narrowed(pages.lines), "page": pages.page.astype(np.int32), "gap": pages.gap.astype(np.uint8), "codes": code, "pages": len(number),
                 "half": np.array([half_of(t or "") for t in number], dtype=np.uint8), "labelled": labelled,
             }
-            data = zlib.compress(pickle.dumps(made, protocol=5), 1)
-            yield {"id": batch.column("id"), "ingest_ts": batch.column("ingest_ts"), "page": [number[t] for t in text], "made": [data, *[None] * (len(text) - 1)]}
+            yield {"id": batch.column("id"), "ingest_ts": batch.column("ingest_ts"), "page": [number[t] for t in text], "made": [pressed(made), *[None] * (len(text) - 1)]}
 
     return mapped(rows, work, rows.select("id", "ingest_ts").schema.add("page", "integer").add("made", "binary"))
 
@@ -173,7 +190,7 @@ def widened(read: Read) -> Read:
 
 
 def read_made(column: Iterable[bytes | None]) -> Iterator[dict]:
-    return (pickle.loads(zlib.decompress(made)) for made in column if made is not None)
+    return (opened(made) for made in column if made is not None)
 
 
 def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -222,11 +239,11 @@ def decoded(codes: np.ndarray) -> np.ndarray:
 
 def packed(codes: np.ndarray) -> tuple[tuple[int, ...], bytes]:
     """Codes as they lie on disk: upper and lower bytes apart, which packs better."""
-    return codes.shape, zlib.compress(np.ascontiguousarray(np.moveaxis(codes.view(np.uint8).reshape(*codes.shape, 2), -1, 0)), 1)
+    return codes.shape, squeezed(np.ascontiguousarray(np.moveaxis(codes.view(np.uint8).reshape(*codes.shape, 2), -1, 0)))
 
 
 def unpacked(shape: tuple[int, ...], data: bytes) -> np.ndarray:
-    low, high = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(2, *shape)
+    low, high = np.frombuffer(pa.decompress(data, decompressed_size=2 * math.prod(shape), codec="zstd"), dtype=np.uint8).reshape(2, *shape)
     return low | high.astype(np.uint16) << 8
 
 
@@ -284,9 +301,9 @@ def counted_blocks(found: Iterator[tuple[dict, np.ndarray]]) -> Iterator[dict[st
     tally = Tally()
     for block, codes in found:
         tally.add(codes)
-        yield {"made": [pickle.dumps(block, protocol=5)], "sums": [class_sum(block).ravel().tolist()], "counts": [None]}
+        yield {"made": [pressed(block)], "sums": [class_sum(block).ravel().tolist()], "counts": [None]}
     if tally.table is not None:
-        yield {"made": [None], "sums": [None], "counts": [pickle.dumps(tally.sparse(), protocol=5)]}
+        yield {"made": [None], "sums": [None], "counts": [pressed(tally.sparse())]}
 
 
 def begins_of(blocks: DataFrame) -> list[np.ndarray]:
@@ -473,7 +490,7 @@ def gathered(blocks: RDD, parts: int) -> RDD:
 
 
 def pickled(df: DataFrame) -> RDD:
-    return df.rdd.map(lambda r: pickle.loads(r[0]))
+    return df.rdd.map(lambda r: opened(r[0]))
 
 
 # The body model
@@ -502,7 +519,7 @@ def page_blocks(rows: DataFrame, odds: list[Keyed]) -> DataFrame:
 
 
 def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    return (pickle.loads(block.as_buffer()) for batch in batches for block in batch.column("made"))
+    return (opened(block.as_buffer()) for batch in batches for block in batch.column("made"))
 
 
 def without(block: dict, *names: str) -> dict:
@@ -522,7 +539,7 @@ def train_body(rows: DataFrame, trees: int = TREES) -> Boilerplate:
 
     def bins(batches):
         for b in read_blocks(batches):
-            yield {"made": [pickle.dumps(without(b, "codes") | {"bins": binned(unpacked(*b["codes"]), edges)}, protocol=5)]}
+            yield {"made": [pressed(without(b, "codes") | {"bins": binned(unpacked(*b["codes"]), edges)})]}
 
     blocks = mapped(few, bins, "made binary").persist(StorageLevel.DISK_ONLY)
     blocks.count()
@@ -553,7 +570,7 @@ def marked(rows: DataFrame, model: Boilerplate) -> DataFrame:
     def each(packed: bytes | None) -> bytes | None:
         if packed is None:
             return None
-        block = pickle.loads(zlib.decompress(packed))
+        block = opened(packed)
         read, page, n = widened(block["read"]), block["page"], block["pages"]
         keep = np.zeros(0, dtype=np.int64)
         if len(page):
@@ -576,7 +593,7 @@ def marked(rows: DataFrame, model: Boilerplate) -> DataFrame:
             "tokens": read.tokens.take(keep), "page": page, "same": (size - different).astype(float), "pages": n,
             "of": of.astype(np.int32), "codes": [codes[last[k] - size[k] : last[k]] for k in of.tolist()], "half": half[of],
         }
-        return zlib.compress(pickle.dumps(made, protocol=5), 1)
+        return pressed(made)
 
     def work(batches):
         for batch in batches:
@@ -654,8 +671,7 @@ def spoken(rows: DataFrame) -> DataFrame:
                 "tokens": tokens, "page": page.astype(np.int32), "same": repeats(lines, page, len(number)), "pages": len(number),
                 "of": np.array([number[body[k]] for k in some], dtype=np.int32), "codes": [codes[k] for k in some], "half": np.array([half_of(body[k]) for k in some], dtype=np.int64),
             }
-            packed = zlib.compress(pickle.dumps(made, protocol=5), 1)
-            yield {"id": batch.column("id"), "ingest_ts": batch.column("ingest_ts"), "page": [number[b] for b in body], "made": [packed, *[None] * (len(body) - 1)]}
+            yield {"id": batch.column("id"), "ingest_ts": batch.column("ingest_ts"), "page": [number[b] for b in body], "made": [pressed(made), *[None] * (len(body) - 1)]}
 
     return mapped(rows, work, rows.select("id", "ingest_ts").schema.add("page", "integer").add("made", "binary"))
 
@@ -797,7 +813,7 @@ def train_spam(rows: DataFrame) -> Spam:
             has = np.bincount(page, minlength=len(half)) > 0
             weight = np.where(has, sure, 0)
             normal = x[(page_kind == 1) & (weight > 0.8), 0]
-            yield {"made": [pickle.dumps({"codes": coded(x), "y": (page_kind == 2).astype(float), "weight": weight[None], "normal": normal}, protocol=5)]}
+            yield {"made": [pressed({"codes": coded(x), "y": (page_kind == 2).astype(float), "weight": weight[None], "normal": normal})]}
 
     found = pickled(mapped(made(spoken(rows)), work, "made binary"))
     blocks = placed(gathered(found, -(-found.getNumPartitions() // GATHERED))).persist(StorageLevel.DISK_ONLY)
@@ -821,7 +837,7 @@ def flagged(rows: DataFrame, model: Spam) -> DataFrame:
             found = []
             for page, packed in zip(batch.column("page").to_pylist(), batch.column("made").to_pylist(), strict=True):
                 if packed is not None:
-                    block = pickle.loads(zlib.decompress(packed))
+                    block = opened(packed)
                     n = block["pages"]
                     x = shared.value.described(block["tokens"], block["page"], block["same"], n) if len(block["page"]) else np.zeros((n, 16))
                     flag = shared.value.decide(x, np.bincount(block["page"], minlength=n) > 0)[0].tolist()

@@ -150,3 +150,12 @@ def test_trees_grow_in_their_parts(spark):
             block = {"name": (k, 0), "place": ((k + np.linspace(0, 1, 101)) / parts).astype(np.float32)}
             assert (sum(whole.in_slot(block, s, trees, parts).astype(int) for s in range(trees)) == 1).all()
     assert [whole.parts_of(n) for n in (10, 9000, 105_640, 10**6, 10**9)] == [1, 3, 30, 330, 960]
+
+
+def test_blocks_lie_squeezed():
+    """Blocks of bins lie squeezed on disk, as codes do, and come back as they were."""
+    bins = np.random.default_rng(3).integers(0, 3, size=(5, 3000)).astype(np.uint8)
+    ((lain,), _) = [c["made"] for c in whole.counted_blocks(iter([({"bins": bins, "y": bins[0], "weight": bins[:1]}, bins.astype(np.uint16))]))]
+    assert len(lain) < bins.nbytes / 2
+    for data in (lain, bytearray(lain)):
+        assert (whole.opened(data)["bins"] == bins).all()
