@@ -21,7 +21,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 
@@ -393,19 +393,14 @@ class Pages:
     """The non-blank lines of some texts, with their pages, line numbers and descriptions."""
 
     def __init__(self, texts: list[str | None], describe: Callable[[list[str]], object] = Lines.describe):
-        self.text, self.page, self.no, self.gap = [], [], [], []
-        for p, text in enumerate(texts):
-            blank = 0
-            for i, line in enumerate(text.split("\n") if text else ()):
-                if line.strip():
-                    self.text.append(line)
-                    self.page.append(p)
-                    self.no.append(i)
-                    self.gap.append(blank)
-                    blank = 0
-                else:
-                    blank = 1
-        self.page, self.no, self.gap = np.array(self.page, dtype=np.int64), np.array(self.no, dtype=np.int64), np.array(self.gap, dtype=float)
+        per = [text.split("\n") if text else [] for text in texts]
+        every, size = list(chain.from_iterable(per)), np.fromiter(map(len, per), dtype=np.int64, count=len(per))
+        some = np.fromiter(map(bool, map(str.strip, every)), dtype=bool, count=len(every))
+        at, page = np.flatnonzero(some), np.repeat(np.arange(len(per)), size)
+        self.text = list(compress(every, some.tolist()))
+        self.page = page[at]
+        self.no = at - (np.cumsum(size) - size)[self.page]
+        self.gap = ((self.no > 0) & ~some[at - 1]).astype(float)
         self.lines = describe(self.text)
 
 

@@ -33,18 +33,20 @@ class Trees:
                 bins[j] = np.searchsorted(self.edges[j], np.nan_to_num(x[:, j].astype(np.float32)), side="right").astype(np.uint8)
         b = np.stack([bins[j] for j in used])
         depth, trees = int(np.log2(self.leaf.shape[1])), len(self.feature)
-        f, cut, leaf = np.searchsorted(used, self.feature).astype(np.int32).ravel(), self.cut.astype(np.int32).ravel(), self.leaf.ravel()
-        size, last = self.feature.shape[1], self.leaf.shape[1]
-        base = (np.arange(trees, dtype=np.int32) * size)[:, None]
+        # a row a node, a column a tree
+        f, cut, leaf = np.searchsorted(used, self.feature).T, np.minimum(self.cut, 255).astype(np.uint8).T[..., None], self.leaf.ravel()
+        base = (np.arange(trees) * self.leaf.shape[1])[:, None]
         for i in range(0, len(x), 1024):
             part = np.ascontiguousarray(b[:, i : i + 1024])
-            n = part.shape[1]
-            flat, col = part.ravel(), np.arange(n, dtype=np.int32)
-            node = np.zeros((trees, n), dtype=np.int32)
-            for _ in range(depth):
-                at = node + base
-                node = 2 * node + 1 + (flat.take(f.take(at) * n + col) > cut.take(at))
-            out[i : i + 1024] += leaf.take(node - size + (np.arange(trees, dtype=np.int32) * last)[:, None]).sum(axis=0)
+            at, turns = np.zeros((trees, part.shape[1]), dtype=np.uint8), []
+            for level in range(depth):
+                # what every node of the level says, of which the turns so far, the last one first, leave one
+                said = [(part.take(f[k], axis=0) > cut[k]).view(np.uint8) for k in range((1 << level) - 1, (2 << level) - 1)]
+                for turn in reversed(turns):
+                    said = [l ^ ((l ^ r) & turn) for l, r in zip(said[::2], said[1::2], strict=True)]
+                turns.append(said[0])
+                at = at << 1 | said[0]
+            out[i : i + 1024] += leaf.take(at + base).sum(axis=0)
         return out
 
     def proba(self, x: np.ndarray, bins: dict[int, np.ndarray] | None = None) -> np.ndarray:

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 TOKEN = re.compile(r"https?://\S+|www\.\S+|[#@][\w-]+|[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,:]\d+)*|[^\w\s]|_", re.UNICODE)
 #: The same, and newlines.
@@ -38,6 +40,13 @@ def class_of(token: str) -> int:
 
 def pieces(lines: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Different pieces between blanks, the place of each piece among them, and the number of pieces of each line."""
+    if "" not in lines:
+        # Arrow takes the same characters for blanks as Python; where blanks stand at an end it gives empty pieces
+        cut = pc.utf8_split_whitespace(pa.array(lines, pa.string()))
+        told = cut.flatten().dictionary_encode()
+        names = told.dictionary.to_pylist()
+        if "" not in names:
+            return names, told.indices.to_numpy().astype(np.int64), cut.value_lengths().to_numpy().astype(np.int64)
     per = [x.split() for x in lines]
     flat = list(chain.from_iterable(per))
     number = {x: k for k, x in enumerate(dict.fromkeys(flat))}
@@ -90,7 +99,9 @@ class Tokens:
         code, word, name = np.zeros(len(inner), dtype=np.uint8), np.full(len(inner), len(local)), np.full(len(inner), -1, dtype=np.int32)
         code[end] = 1
         code[inner], word[inner], name[inner] = codes[at], lowered[at], named[at]
-        word += np.repeat(np.arange(len(size)) * (len(local) + 1), size)
+        # words of different lines are different
+        word = word.astype(np.int32 if len(size) * (len(local) + 1) < 1 << 31 else np.int64)
+        word += np.repeat((np.arange(len(size)) * (len(local) + 1)).astype(word.dtype), size)
         again = np.zeros(len(word), dtype=bool)
         for k in range(1, min(WINDOW, len(word) - 1) + 1):
             again[k:] |= word[k:] == word[:-k]

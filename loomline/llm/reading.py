@@ -6,6 +6,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 from .boilerplate import FOLD, INVISIBLE, KIND, LIMIT, Lines, ends, folded, measured, points_of
 from .ngram import Tokens, pieces
@@ -195,6 +196,5 @@ class Read:
         once = np.sort(np.repeat(np.arange(len(text)), words) * v + word)
         once = once[np.r_[True, once[1:] != once[:-1]]] if len(once) else once
         numbers, shape, _ = measured(lines, text, points, words, np.bincount(once // v, minlength=len(text)))
-        equal: dict[str, int] = {}
-        same = np.fromiter((equal.setdefault(x.lower(), len(equal)) for x in text), dtype=np.int64, count=len(text))
+        same = pa.array([x.lower() for x in text], pa.string()).dictionary_encode().indices.to_numpy().astype(np.int64)
         return cls(numbers, shape, Words(word, words, numbers_of(list(number)), line), Tokens.within(names, ids, size, cache), same)

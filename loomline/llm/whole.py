@@ -47,9 +47,8 @@ LONE = 300_000
 #: Rows that a tree sees at least, where its share of all rows allows it.
 SEEN = 20_000
 #: How hard blocks are squeezed on disk.
-LEVEL = 5
+LEVEL = 3
 KINDS = (PROSE, SPAM, OTHER)
-TOKENS = ["n0", "p0", "n1", "p1"]
 
 
 def code_of(label: str | None) -> int:
@@ -201,24 +200,75 @@ def made(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("made").isNotNull()).select("made")
 
 
+# Sums by key
+
+
+#: Different keys that a task gathers before it gives them out.
+GATHER = 2_000_000
+
+
+def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order with the sums of their rows."""
+    keys, table = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])[: len(keys)]
+    return keys[begin], np.add.reduceat(table[order], begin, axis=0, dtype=np.int64) if len(keys) else table.astype(np.int64)
+
+
+def tallied(rows: DataFrame, each: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray]]], least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """What ``each`` gives of the rows of a task, keys with their rows of counts, summed by key over all tasks: those of ``least`` or more, in order.
+
+    Keys travel in slices as bytes; a slice is added up in one task.
+    """
+    slices = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def give(held: list[tuple[np.ndarray, np.ndarray]]) -> dict[str, list]:
+        keys, table = added(held)
+        at = (scattered(keys.view(np.uint64)) >> np.uint64(32)).astype(np.int64) * slices >> 32
+        order = np.argsort(at, kind="stable")
+        bound = np.searchsorted(at[order], np.arange(slices + 1))
+        parts = [(k, order[bound[k] : bound[k + 1]]) for k in np.flatnonzero(np.diff(bound)).tolist()]
+        return {"slice": [k for k, _ in parts], "made": [pressed((keys[x], table[x])) for _, x in parts]}
+
+    def count(batches):
+        held, size = [], 0
+        for found in each(batches):
+            held.append(found)
+            size += len(found[0])
+            if size > GATHER:
+                yield give(held)
+                held, size = [], 0
+        if held:
+            yield give(held)
+
+    def add(batches):
+        held = [part for batch in batches for part in read_made(batch.column("made").to_pylist())]
+        if held:
+            keys, table = added(held)
+            some = table.sum(axis=1) >= least
+            yield {"made": [pressed((keys[some], table[some]))]}
+
+    sliced = mapped(made(rows), count, "slice integer, made binary").repartition("slice")
+    found = list(read_made(mapped(sliced.select("made"), add, "made binary").toArrow()["made"].to_pylist()))
+    return added(found) if found else (np.zeros(0, dtype=np.int64), np.zeros((0, 1), dtype=np.int64))
+
+
 # Tokens of the body model
 
 
 def odds_of_all(rows: DataFrame) -> list[Keyed]:
     """Odds of tokens counted on all lines, on those outside the first half and on those outside the second."""
 
-    def work(batches):
+    def each(batches):
         for block in blocks_of(batches):
             codes = block["codes"]
             some = np.flatnonzero((codes != NONE) & (codes & 2 > 0))
             if len(some):
-                keys, table = widened(block["read"]).words.take(some).counts(2 * block["half"][block["page"][some]].astype(np.int64) + (codes[some] & 1))
-                yield {"token": pa.array(keys.view(np.int64))} | {c: pa.array(table[:, k], type=pa.int64()) for k, c in enumerate(TOKENS)}
+                yield widened(block["read"]).words.take(some).counts(2 * block["half"][block["page"][some]].astype(np.int64) + (codes[some] & 1))
 
-    counted = mapped(made(described(rows)), work, "token bigint, " + ", ".join(f"{c} bigint" for c in TOKENS))
-    kept = counted.groupBy("token").agg(*(F.sum(c).alias(c) for c in TOKENS)).where(" + ".join(TOKENS) + f" >= {LEAST}").toArrow()
-    table = np.stack([kept[c].to_numpy() for c in TOKENS], axis=1)
-    every = Keyed.counted(kept["token"].to_numpy().view(np.uint64), table, [(0, 1), (1,), (0,)])
+    keys, table = tallied(described(rows), each, LEAST)
+    every = Keyed.counted(keys.view(np.uint64), table if len(keys) else np.zeros((0, 4)), [(0, 1), (1,), (0,)])
     return [every.column(k) for k in range(3)]
 
 
@@ -317,6 +367,8 @@ def binned(codes: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
 #: In a worker: rows of the tree now grown with their gradients and curvatures, for its next levels, by block and model.
 _KEPT: dict[object, object] = {}
 KEPT = 1_000_000
+#: Sums of gradients kept beside each other.
+LANES = 4
 
 
 def slopes(block: dict, models: list[boosting.Trees], tree: tuple[str, int], window: Callable[[dict], np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -338,24 +390,31 @@ def slopes(block: dict, models: list[boosting.Trees], tree: tuple[str, int], win
     return out
 
 
-def level_sums(part: Iterator[dict], models: list[boosting.Trees], grown: list[tuple[np.ndarray, np.ndarray]], tree: tuple[str, int], level: int, window: Callable[[dict], np.ndarray], width: int) -> Iterator[np.ndarray]:
-    """Gradients and curvatures of the rows of a window by model, node, feature and bin."""
+def level_sums(part: Iterator[dict], models: list[boosting.Trees], grown: list[tuple[np.ndarray, np.ndarray]], fresh: list[np.ndarray], tree: tuple[str, int], level: int, window: Callable[[dict], np.ndarray], width: int) -> Iterator[np.ndarray]:
+    """Gradients and curvatures of the rows of a window by model, feature, node and bin, in the nodes that are ``fresh``."""
     out, first, count = None, (1 << level) - 1, 1 << level
     for block in part:
+        bins = block["bins"]
         if out is None:
-            out = np.zeros((len(models), 2, len(block["bins"]), count * width))
-        for m, ((rows, g, h), (f, c)) in enumerate(zip(slopes(block, models, tree, window), grown, strict=True)):
+            out = np.zeros((len(models), 2, len(bins), count, width))
+        for m, ((rows, g, h), (f, c), some) in enumerate(zip(slopes(block, models, tree, window), grown, fresh, strict=True)):
+            node = np.zeros(len(rows), dtype=np.int64)
+            for _ in range(level):
+                node = 2 * node + 1 + (bins[f[node], rows] > c[node])
+            node -= first
+            if not some.all():
+                here = np.flatnonzero(some[node])
+                rows, g, h, node = rows[here], g[here], h[here], node[here]
             if not len(rows):
                 continue
-            b = block["bins"][:, rows]
-            node, col = np.zeros(len(rows), dtype=np.int64), np.arange(len(rows))
-            for _ in range(level):
-                node = 2 * node + 1 + (b[f[node], col] > c[node])
-            at = (node - first) * width
-            for j in range(len(b)):
-                slot = at + b[j]
-                out[m, 0, j] += np.bincount(slot, weights=g, minlength=count * width)
-                out[m, 1, j] += np.bincount(slot, weights=h, minlength=count * width)
+            # rows one after another, which are often alike, are added in lanes of their own: a sum need not wait for the one before
+            nodes = np.flatnonzero(some)
+            cells = len(nodes) * width
+            at = (np.cumsum(some) - 1)[node] * width + np.arange(len(rows)) % LANES * cells
+            for j, b in enumerate(bins):
+                slot = at + b[rows]
+                for k, w in enumerate((g, h)):
+                    out[m, k, j, nodes] += np.bincount(slot, weights=w, minlength=LANES * cells).reshape(LANES, len(nodes), width).sum(axis=0)
     if out is not None:
         yield out
 
@@ -384,11 +443,11 @@ def in_slot(block: dict, slot: int, trees: int, parts: int) -> np.ndarray:
     return k * each + np.clip((block["place"] * parts - k) * each, 0, each - 1).astype(np.int64) == slot
 
 
-def settle(level: int, total: np.ndarray, able: list[bool], grown: list[tuple[np.ndarray, np.ndarray]], leaves: list[np.ndarray], last: bool, rate: float, ridge: float) -> None:
-    """The cuts of a level by the sums of its nodes; after the last one the leaves."""
-    first, count, width = (1 << level) - 1, 1 << level, total.shape[-1] >> level
-    total = total.reshape(*total.shape[:3], count, width).transpose(0, 1, 3, 2, 4).cumsum(axis=4)
-    for m, (gs, hs) in enumerate(total):
+def settle(level: int, total: np.ndarray, able: list[bool], grown: list[tuple[np.ndarray, np.ndarray]], leaves: list[np.ndarray], last: bool, rate: float, ridge: float) -> list[np.ndarray]:
+    """The cuts of a level by the sums of its nodes; after the last one the leaves. Gives which nodes of the next level hold less than their siblings."""
+    first, count, width = (1 << level) - 1, 1 << level, total.shape[-1]
+    less = []
+    for m, (gs, hs) in enumerate(total.transpose(0, 1, 3, 2, 4).cumsum(axis=4)):
         gt, ht = gs[:, :, -1:], hs[:, :, -1:]
         gain = gs**2 / (hs + ridge) + (gt - gs) ** 2 / (ht - hs + ridge) - gt**2 / (ht + ridge)
         gain[(hs < 1) | (ht - hs < 1)] = -np.inf
@@ -398,21 +457,30 @@ def settle(level: int, total: np.ndarray, able: list[bool], grown: list[tuple[np
         cut = np.where(good, where[nodes, best], width - 1)
         grown[m][0][first : first + count] = np.where(good, best, 0)
         grown[m][1][first : first + count] = np.where(good, cut, 255)
+        left = 2 * hs[nodes, best, cut] < ht[nodes, best, 0]
+        less.append(np.stack([left, ~left], axis=1).ravel())
         if last and able[m]:
             g, h = gs[nodes, best, cut], hs[nodes, best, cut]
             leaves[m][0::2] = -rate * g / (h + ridge)
             leaves[m][1::2] = -rate * (gt[nodes, 0, 0] - g) / (ht[nodes, 0, 0] - h + ridge)
+    return less
 
 
-def grow(sums: Callable[[int, list], list[np.ndarray]], able: list[bool], depth: int, rate: float, ridge: float) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[np.ndarray]]:
-    """A tree of each model from the sums of its levels: features and cuts, and leaves."""
+def grow(sums: Callable[[int, list, list], list[np.ndarray]], able: list[bool], depth: int, rate: float, ridge: float) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[np.ndarray]]:
+    """A tree of each model from the sums of its levels: features and cuts, and leaves. Of two siblings the smaller is summed; the other is what it leaves of
+    the node above."""
     size = (1 << depth) - 1
     grown, leaves = [(np.zeros(size, int), np.full(size, 255)) for _ in able], [np.zeros(size + 1) for _ in able]
+    fresh, above = [np.ones(1, dtype=bool) for _ in able], None
     for level in range(depth):
-        found = sums(level, grown)
+        found = sums(level, grown, fresh)
         if not found:
             break
-        settle(level, sum(found), able, grown, leaves, level == depth - 1, rate, ridge)
+        total = sum(found)
+        for m, some in enumerate(fresh if level else ()):
+            rest = np.flatnonzero(~some)
+            total[m][:, :, rest] = above[m][:, :, rest >> 1] - total[m][:, :, rest ^ 1]
+        above, fresh = total, settle(level, total, able, grown, leaves, level == depth - 1, rate, ridge)
     return grown, leaves
 
 
@@ -422,9 +490,10 @@ def grown_there(part: Iterator[dict], models: list[boosting.Trees], tree: tuple[
     for block in part:
         rows = np.flatnonzero(window(block))
         if len(rows):
-            blocks.append({c: block[c][..., rows] for c in ("bins", "y", "weight")} | {"name": block["name"]})
+            blocks.append({c: block[c][..., rows] if len(rows) < len(block["y"]) else block[c] for c in ("bins", "y", "weight")})
+    one = [{c: np.concatenate([b[c] for b in blocks], axis=-1) for c in blocks[0]} | {"name": None}] if blocks else []
     every = lambda block: np.ones(len(block["y"]), dtype=bool)
-    yield grow(lambda level, grown: list(level_sums(iter(blocks), models, grown, tree, level, every, width)), able, depth, rate, ridge)
+    yield grow(lambda level, grown, fresh: list(level_sums(iter(one), models, grown, fresh, tree, level, every, width)), able, depth, rate, ridge)
 
 
 def fit_all(blocks: RDD, edges: list[np.ndarray], trees: int, depth: int = 5, rate: float = 0.15, ridge: float = 2.0, share: float = 0.35, sums: np.ndarray | None = None) -> list[boosting.Trees]:
@@ -457,7 +526,7 @@ def fit_all(blocks: RDD, edges: list[np.ndarray], trees: int, depth: int = 5, ra
         if len(meant) == 1:
             grown, leaves = run(partial(grown_there, able=able, depth=depth, rate=rate, ridge=ridge, **shared))[0]
         else:
-            grown, leaves = grow(lambda level, grown, run=run, shared=shared: run(partial(level_sums, grown=grown, level=level, **shared)), able, depth, rate, ridge)
+            grown, leaves = grow(lambda level, grown, fresh, run=run, shared=shared: run(partial(level_sums, grown=grown, fresh=fresh, level=level, **shared)), able, depth, rate, ridge)
         for m, model in enumerate(models):
             if able[m]:
                 model.feature, model.cut, model.leaf = np.vstack([model.feature, grown[m][0]]), np.vstack([model.cut, grown[m][1]]), np.vstack([model.leaf, leaves[m]])
@@ -713,37 +782,22 @@ def vocabulary(rows: DataFrame, size: int = FUNCTION_WORDS) -> Vocabulary:
 
 #: Grams are keys of so many bits, above which their kind, half and length stand.
 GRAM = 3 * BITS + 1
-#: Different grams that a task gathers before it gives them out.
-GATHER = 2_000_000
 
 
 def ngrams(rows: DataFrame, words: Vocabulary) -> dict[tuple[int, int], Ngrams]:
     """Models by kind and by the half that is not counted, -1 for none."""
 
-    def work(batches):
-        held, size = [], 0
-
-        def give() -> dict[str, pa.Array]:
-            keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return {"gram": pa.array(keys), "count": pa.array(np.bincount(at, weights=np.concatenate([n for _, n in held]), minlength=len(keys)).astype(np.int64))}
-
+    def each(batches):
         for tokens, page, kind, page_kind, _, half, _ in labelled_blocks(batches):
             for k in (1, 2, 3):
                 for h in (0, 1):
                     sequence = tokens.take(chosen(k, page, kind, page_kind, half == h)).sequence(words)
                     for n in (1, 2, 3) if len(sequence) else ():
                         key, count = np.unique(grams(sequence, n), return_counts=True)
-                        held.append((key | (k * 8 + h * 4 + n) << GRAM, count))
-                        size += len(key)
-            if size > GATHER:
-                yield give()
-                held, size = [], 0
-        if held:
-            yield give()
+                        yield key | (k * 8 + h * 4 + n) << GRAM, count[:, None]
 
-    counted = mapped(made(spoken(rows)), work, "gram bigint, count bigint")
-    table = counted.groupBy("gram").agg(F.sum("count").alias("count")).toArrow()
-    gram, count = table["gram"].to_numpy(), table["count"].to_numpy()
+    gram, table = tallied(spoken(rows), each)
+    count = table[:, 0]
     what, gram = gram >> GRAM, gram & ((1 << GRAM) - 1)
     out = {}
     for k in (1, 2, 3):

@@ -159,3 +159,47 @@ def test_blocks_lie_squeezed():
     assert len(lain) < bins.nbytes / 2
     for data in (lain, bytearray(lain)):
         assert (whole.opened(data)["bins"] == bins).all()
+
+
+def test_smaller_siblings_are_summed():
+    """Below its root a tree sums at most half of its rows at a level, and its leaves are those of all rows."""
+    rng = np.random.default_rng(5)
+    n, width = 4000, 17
+    block = {"bins": rng.integers(0, width, size=(3, n)).astype(np.uint8), "weight": np.ones((1, n)), "name": (0, 0)}
+    block["y"] = ((block["bins"][0] > 5) ^ (block["bins"][1] > 9)).astype(float)
+    summed, model = [], boosting.Trees([], np.zeros((0, 7), int), np.zeros((0, 7), int), np.zeros((0, 8)), 0.0)
+
+    def sums(level, grown, fresh):
+        out = list(whole.level_sums(iter([block]), [model], grown, fresh, ("siblings", 0), level, lambda b: b["y"] >= 0, width))
+        summed.append(round(4 * out[0][0, 1, 0].sum()))  # a row has curvature 1/4
+        return out
+
+    ((feature, cut),), (leaf,) = whole.grow(sums, [True], 3, 0.15, 2.0)
+    assert summed[0] == n and all(0 < k <= n / 2 for k in summed[1:])
+    node = np.zeros(n, dtype=np.int64)
+    for _ in range(3):
+        node = 2 * node + 1 + (block["bins"][feature[node], np.arange(n)] > cut[node])
+    size, grad = np.bincount(node - 7, minlength=8), np.bincount(node - 7, weights=0.5 - block["y"], minlength=8)
+    assert np.allclose(leaf, -0.15 * grad / (size / 4 + 2.0))
+    trees = boosting.Trees([np.arange(1, width, dtype=np.float32)] * 3, feature[None], cut[None], leaf[None], 0.1)
+    assert np.allclose(trees.raw(block["bins"].T.astype(float)), 0.1 + leaf[node - 7])
+
+
+def test_keys_are_summed_in_slices(spark):
+    """Counts by key of all tasks, small ones left out after the sum, not before."""
+    keys = [np.array([5, -3, 5, 1 << 62]), np.array([7, 5]), np.array([-3, 7])]
+    rows = spark.createDataFrame([(whole.pressed(k),) for k in keys], "made binary").repartition(3)
+    each = lambda batches: ((k, np.stack([np.ones(len(k)), k > 0], axis=1).astype(np.int64)) for k in whole.blocks_of(batches))
+    got, table = whole.tallied(rows, each)
+    assert dict(zip(got.tolist(), table.tolist(), strict=True)) == {-3: [2, 0], 5: [3, 3], 7: [2, 2], 1 << 62: [1, 1]}
+    assert got.tolist() == [-3, 5, 7, 1 << 62] and whole.tallied(rows, each, 3)[0].tolist() == [5, 7]
+    assert [len(x) for x in whole.tallied(rows.limit(0), each)] == [0, 0]
+
+
+def test_pieces_are_cut_as_python_cuts():
+    blanks = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    for lines in ([f"a{c}b{c}{c}ü漢" for c in blanks] + ["x​y﻿q", "İ ı"], [" a b ", "c"], ["", "a"], []):
+        names, ids, size = ngram.pieces(lines)
+        ends = np.cumsum(size)
+        assert [[names[k] for k in ids[e - n : e]] for n, e in zip(size, ends, strict=True)] == [x.split() for x in lines]
+        assert names == list(dict.fromkeys(p for x in lines for p in x.split()))
