@@ -227,7 +227,7 @@ class Topics:
             _, found, more = self.infer(docs.part(i, i + chunk), rounds, None if allowed is None else allowed[i : i + chunk])
             bits += more
             for word, topics, r in found:
-                order = np.argsort(word, kind="stable")
+                order = by_word(word, total.shape[1])
                 first = np.flatnonzero(np.r_[True, np.diff(word[order]) > 0])
                 total[np.ix_(topics, word[order][first])] += np.add.reduceat(np.take(r, order, axis=1), first, axis=1)
         return total, bits
@@ -279,6 +279,11 @@ class Topics:
         return out / np.maximum(1, np.bincount(unit_doc, minlength=docs))[:, None]
 
 
+def by_word(word: np.ndarray, width: int) -> np.ndarray:
+    """The order of words by place, equal ones as they stood: numbers of 16 bits are sorted by digits."""
+    return np.argsort(word.astype(np.uint16) if width <= 1 << 16 else word, kind="stable")
+
+
 def smoothed(counts: np.ndarray, least: float = LEAST, eta: float = 0.002) -> np.ndarray:
     """Word probabilities of topics. What was met fewer than ``least`` times says nothing: it is as likely under all topics, whatever their size."""
     size, met = counts.sum(axis=1, keepdims=True), counts.sum(axis=0)

@@ -26,3 +26,12 @@ def test_documents_are_worked_on_together(monkeypatch):
     assert np.isclose(many.sum(), len(docs.word), rtol=1e-4)
     theta, found, _ = infer(model, docs)
     assert np.allclose(theta.sum(axis=1), 1, atol=1e-4) and all(r.shape == (len(t), len(w)) for w, t, r in found)
+
+
+def test_words_are_ordered_by_digits():
+    """Expected counts need words by place; places that fit 16 bits are sorted by their digits, in the same order as by comparing."""
+    rng = np.random.default_rng(6)
+    for width in (34_096, 1 << 16, 1 << 17):
+        word = rng.integers(0, width, size=5000)
+        word[::7] = width - 1
+        assert (topics.by_word(word, width) == np.argsort(word, kind="stable")).all()
