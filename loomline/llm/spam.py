@@ -14,6 +14,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 from pyspark.sql import DataFrame
 
@@ -51,7 +52,11 @@ class Spam:
         """Of lines as tokens; ``page`` is the page of each line, ``same`` the number of lines of a page that stood on it before."""
         seq, line, again = tokens.sequence(self.words), tokens.line(), tokens.again()
         owner = page[line]
-        different, at = np.unique(grams(seq, 3), return_inverse=True)
+        told = pa.array(grams(seq, 3)).dictionary_encode()
+        different, at = told.dictionary.to_numpy(), told.indices.to_numpy()
+        # looked up in order, which is faster
+        order = np.argsort(different)
+        different, at = different[order], np.argsort(order)[at]
         models = [m.bits(different)[at] for m in (self.prose, self.spam, self.other)]
         n = np.maximum(1, np.bincount(owner, minlength=n_pages))
         sums = [np.bincount(owner, weights=m, minlength=n_pages) / n for m in models]
